@@ -55,9 +55,10 @@ def comments_found(posts: DataFrame, comments: DataFrame) -> DataFrame:
     return posts.drop("comments_got").join(got, "submission_id", "left").fillna({"comments_got": 0})
 
 
-def single_post_threads(harvests: DataFrame) -> DataFrame:
-    """Thread harvests that hold exactly one post."""
-    return harvests.where(F.size("posts") == 1)
+def single_post_threads(posts: DataFrame) -> DataFrame:
+    """Posts (thread_id, ...) of the harvested threads that hold exactly one post."""
+    single = posts.groupBy("thread_id").agg(F.count("*").alias("n")).where("n = 1").select("thread_id")
+    return posts.join(single, "thread_id", "left_semi")
 
 
 def all_comments(base: DataFrame, extra: DataFrame) -> DataFrame:
@@ -121,18 +122,15 @@ def batch_ids(ids: DataFrame, node: list[str], child: str, size: int = IDS_PER_C
     )
 
 
-def collect_mores(harvests: DataFrame) -> DataFrame:
-    """"Load more" nodes on the post, on its comments or loose, with at least one child.
+def collect_mores(on_posts: DataFrame, on_comments: DataFrame, loose: DataFrame) -> DataFrame:
+    """"Load more" nodes (thread_id, depth, children) from posts, comments and the thread itself.
 
-    Input: thread_id, post_more, comments (each with ``more``) and mores, where
-    a node is (depth, children).
+    Each input has thread_id and ``more``, a struct (depth, children) or null;
+    nodes without children are dropped.
     """
-    parts = [
-        harvests.select("thread_id", F.col("post_more").alias("more")),
-        harvests.select("thread_id", F.explode("comments.more").alias("more")),
-        harvests.select("thread_id", F.explode("mores").alias("more")),
-    ]
-    nodes = parts[0].unionByName(parts[1]).unionByName(parts[2])
+    nodes = on_posts.select("thread_id", "more")
+    for other in (on_comments, loose):
+        nodes = nodes.unionByName(other.select("thread_id", "more"))
     return nodes.where(F.size("more.children") > 0).select("thread_id", "more.depth", "more.children")
 
 
