@@ -1,3 +1,3 @@
 """Imports every module that registers queries."""
 
-from gleaner.catalog import forums, logging, market, news, textual  # noqa: F401
+from gleaner.catalog import forums, logging, market, news, streams, textual  # noqa: F401

@@ -62,8 +62,7 @@ def compare(spark, con, sf_dir: str, name: str) -> str:
         return f"columns {sorted(df.columns)} / {sorted(names)}"
     if mine == theirs:
         return "" if mine else "both empty"
-    extra = [r for r in mine if r not in set(theirs)][:2]
-    missing = [r for r in theirs if r not in set(mine)][:2]
+    extra, missing = list(set(mine) - set(theirs))[:2], list(set(theirs) - set(mine))[:2]
     return f"{len(mine)} / {len(theirs)} rows; only here {str(extra)[:600]}; only oracle {str(missing)[:600]}"
 
 

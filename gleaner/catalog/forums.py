@@ -210,7 +210,7 @@ def _(t):
     """Submissions written to CSV with a header and read back."""
     path = scratch_path(t.spark, "export")
     writers.export_csv(t("fx_submission"), path)
-    return t.spark.read.csv(path, header=True, emptyValue="")
+    return t.spark.read.csv(path, header=True, nullValue="NULL")
 
 
 # -- queues -----------------------------------------------------------------------------

@@ -60,12 +60,6 @@ def _(t):
     return bars.latest_bar(t("fx_bars"))
 
 
-NEW_BARS = f"""
-SELECT i.* EXCLUDE (is_new) FROM ({INCOMING}) i
-WHERE i.num_trades > 0 AND i.volume > 0 AND i.open > 0 AND i.close > 0
-  AND NOT EXISTS (SELECT 1 FROM ({STORED}) s WHERE s.listing_id = i.listing_id AND s.data_time >= i.data_time)"""
-
-
 @query("new_bars", f"""
 WITH last AS (SELECT listing_id, max(data_time) AS last_time FROM ({STORED}) GROUP BY listing_id)
 SELECT i.listing_id, i.data_time, {', '.join(f'CAST(i.{c} AS DOUBLE) AS {c}' for c in bars.PRICE_COLUMNS)}

@@ -103,7 +103,9 @@ def write_log_history(history: DataFrame, path: str) -> None:
 
 
 def export_csv(df: DataFrame, path: str) -> None:
-    df.write.mode("error").option("header", True).csv(path)
+    """CSV with a header; blanks at the ends of values stay, null is an unquoted and '' a quoted empty field."""
+    (df.write.mode("error").option("header", True).option("ignoreLeadingWhiteSpace", False)
+     .option("ignoreTrailingWhiteSpace", False).csv(path))
 
 
 def store_processed_text(clean: DataFrame, path: str, now: Column, highest: int = 0) -> DataFrame:

@@ -47,30 +47,30 @@ def stream_delayed_release(queue: DataFrame, lookback_hours: float, path: str, c
     """Release posts (permalink, created_time, arrived) once older than the lookback.
 
     The clock is the latest arrival so far.  Waiting posts lie in a table by
-    the hour they fall due; a batch reads only the hours its clock has passed
+    the day they fall due; a batch reads only the days its clock has passed
     and releases what fell due since the last batch, so each post leaves once
     and none is late.  Unlike the batch twin, an old post behind a younger one
     does not wait.
     """
     due_time = F.col("created_time") + F.make_dt_interval(secs=F.lit(lookback_hours * 3600))
 
-    def hour(t: Column) -> Column:
-        return F.date_format(t, "yyyyMMddHH").cast("long")
+    def day(t: Column) -> Column:
+        return F.date_format(t, "yyyyMMdd").cast("long")
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         rows = batch.withColumn("due_time", due_time)
-        by_hour = rows.withColumn("due_hour", hour(F.col("due_time")))
-        by_hour.write.mode("overwrite").partitionBy("due_hour").parquet(f"{path}/waiting/batch={batch_id}")
+        by_day = rows.withColumn("due_day", day(F.col("due_time")))
+        by_day.write.mode("overwrite").partitionBy("due_day").parquet(f"{path}/waiting/batch={batch_id}")
         last = _earlier(spark, f"{path}/clock", batch_id)
         before = last.agg(F.max("clock")).first()[0] if last is not None else None
         clock = max(c for c in (before, rows.agg(F.max("arrived")).first()[0]) if c is not None)
         due = rows.where(F.col("due_time") <= F.lit(clock)).select("permalink", "created_time")
         if before is not None:
             held = _earlier(spark, f"{path}/waiting", batch_id)
-            hours = F.col("due_hour").between(hour(F.lit(before)), hour(F.lit(clock)))
+            days = F.col("due_day").between(day(F.lit(before)), day(F.lit(clock)))
             passed = (F.col("due_time") > F.lit(before)) & (F.col("due_time") <= F.lit(clock))
-            due = due.unionByName(held.where(hours & passed).select("permalink", "created_time"))
+            due = due.unionByName(held.where(days & passed).select("permalink", "created_time"))
         due.write.mode("overwrite").parquet(f"{path}/released/batch={batch_id}")
         spark.range(1).select(F.lit(clock).alias("clock")).write.mode("overwrite").parquet(
             f"{path}/clock/batch={batch_id}")
