@@ -93,6 +93,4 @@ def is_meaningful(sentence: Column) -> Column:
 
 def words(text: Column) -> Column:
     """Lower-case words in order, without stop words."""
-    stop = F.array(*[F.lit(w) for w in STOP_WORDS])
-    tokens = F.split(F.lower(text), TOKEN_BREAK)
-    return F.filter(tokens, lambda w: (w != "") & ~F.array_contains(stop, w))
+    return F.filter(F.split(F.lower(text), TOKEN_BREAK), lambda w: ~w.isin("", *STOP_WORDS))

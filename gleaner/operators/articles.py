@@ -82,8 +82,9 @@ def known_links(articles: DataFrame, seen: DataFrame | None = None) -> DataFrame
     return links.where(F.coalesce(F.col("link"), F.lit("")) != "").distinct()
 
 
-def _unseen(rows: DataFrame, seen: DataFrame, column: str) -> DataFrame:
-    # A link of at most one byte skips the test: its key is null and matches nothing.
+def unseen(rows: DataFrame, seen: DataFrame, column: str) -> DataFrame:
+    """Rows whose value of ``column`` is not a known link; null and one-byte values pass."""
+    # Their key is null and matches nothing.
     key = F.when(urls.long_link(F.col(column)), F.col(column))
     known = seen.select(F.col("link").alias("__key"))
     return rows.withColumn("__key", key).join(known, "__key", "left_anti").drop("__key")
@@ -91,12 +92,12 @@ def _unseen(rows: DataFrame, seen: DataFrame, column: str) -> DataFrame:
 
 def unseen_links(sources: DataFrame, seen: DataFrame) -> DataFrame:
     """Sources whose link is not known."""
-    return _unseen(sources, seen, "link")
+    return unseen(sources, seen, "link")
 
 
 def unseen_canonical(raw: DataFrame, seen: DataFrame) -> DataFrame:
     """Extracted pages whose canonical link is not known."""
-    return _unseen(raw, seen, "canonical")
+    return unseen(raw, seen, "canonical")
 
 
 def drop_blocked_hosts(rows: DataFrame, blocklist: DataFrame) -> DataFrame:

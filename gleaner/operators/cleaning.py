@@ -11,7 +11,14 @@ from gleaner.operators.adjacency import place_targets
 from gleaner.session import shuffle_width, widened, written
 
 MAX_DISTANCE = 9
-BAND = MAX_DISTANCE + 1
+# One edit removes at most two letter pairs and adds at most two.
+MAX_PAIR_CHANGES = 4 * MAX_DISTANCE
+MASKS = 4
+# Shorter sentences have too few letter pairs to be told apart by them.
+MASKS_FROM = 40
+# Length bands, each at least ten wide, so near lengths lie in neighbouring bands:
+# tens up to 300, hundreds up to 2300, then one band.
+FINE_END, FINE, COARSE, N_COARSE = 300, 10, 100, 20
 # Check sentences compared at once in one array.
 PIECE = 1000
 
@@ -64,14 +71,43 @@ def except_sentences(targets: DataFrame, check: DataFrame) -> DataFrame:
     return targets.join(check.select("target_id", "sentence").distinct(), ["target_id", "sentence"], "left_anti")
 
 
-def _sized(sentences: Column) -> Column:
-    return F.transform(sentences, lambda s: F.struct(F.length(s).alias("n"), s.alias("s")))
+def _band(n: Column) -> Column:
+    coarse = FINE_END // FINE + F.least(F.floor((n - FINE_END) / COARSE), F.lit(N_COARSE))
+    return F.when(n < FINE_END, F.floor(n / FINE)).otherwise(coarse).cast("int")
 
 
-def _is_near(sized: Column, candidates: Column) -> Column:
-    """Some candidate (n, s) has an edit distance under ten to the sentence (n, s), in code points."""
-    return F.exists(candidates, lambda c: (F.abs(c["n"] - sized["n"]) <= MAX_DISTANCE) & (
-        (c["s"] == sized["s"]) | (F.levenshtein(c["s"], sized["s"], MAX_DISTANCE) >= 0)))
+def _described(sentence: Column, pos: Column) -> Column:
+    """(pos, n, s, masks): a sentence with its length and, unless short, its letter pairs hashed to 256 bits."""
+    def masks(letters: Column) -> Column:
+        pairs = F.transform(letters, lambda c, i: F.pmod(
+            F.xxhash64(c, F.coalesce(F.get(letters, i + 1), F.lit(""))), F.lit(64 * MASKS)).cast("int"))
+        return let(pairs, lambda bits: F.array(*[_mask(bits, k) for k in range(MASKS)]))
+
+    return F.named_struct(
+        F.lit("pos"), pos, F.lit("n"), F.length(sentence), F.lit("s"), sentence,
+        F.lit("masks"), F.when(F.length(sentence) >= MASKS_FROM, let(F.split(sentence, ""), masks)))
+
+
+def _mask(bits: Column, k: int) -> Column:
+    own = F.filter(bits, lambda b: F.shiftright(b, 6) == k)
+    return F.aggregate(own, F.lit(0).cast("long"), lambda m, b: m.bitwiseOR(
+        F.call_function("shiftleft", F.lit(1).cast("long"), b.bitwiseAND(F.lit(63)))))
+
+
+def _is_near(one: Column, candidates: Column) -> Column:
+    """Some candidate has an edit distance under ten to the sentence, in code points; both are ``_described``.
+
+    The length and the letter pairs rule out nearly all candidates before a
+    distance is computed; both are necessary conditions, so none is lost.
+    """
+    def differing(c: Column) -> Column:
+        bits = [F.bit_count(F.get(c["masks"], F.lit(k)).bitwiseXOR(F.get(one["masks"], F.lit(k)))) for k in range(MASKS)]
+        return bits[0] + bits[1] + bits[2] + bits[3]
+
+    return F.exists(candidates, lambda c: (
+        (F.abs(c["n"] - one["n"]) <= MAX_DISTANCE)
+        & ((one["n"] < MASKS_FROM) | (c["n"] < MASKS_FROM) | (differing(c) <= MAX_PAIR_CHANGES))
+        & (F.levenshtein(c["s"], one["s"], MAX_DISTANCE) >= 0)))
 
 
 def unique_sentences(targets: DataFrame, check: DataFrame) -> DataFrame:
@@ -81,27 +117,37 @@ def unique_sentences(targets: DataFrame, check: DataFrame) -> DataFrame:
     of their own target whose length is near enough, in arrays of about a
     thousand, so no sentence pair is ever a row.
     """
-    distinct = check.select("target_id", "sentence").distinct().withColumn(
-        "band", F.floor(F.length("sentence") / BAND).cast("int"))
+    distinct = check.select("target_id", "sentence").distinct().withColumn("band", _band(F.length("sentence")))
     sizes = distinct.groupBy("target_id", "band").agg(F.ceil(F.count("*") / PIECE).alias("n_pieces"))
     arrays = (
         distinct.join(sizes, ["target_id", "band"])
         .withColumn("piece", F.pmod(F.xxhash64("sentence"), F.col("n_pieces")))
         .groupBy("target_id", "band", "piece")
-        .agg(F.collect_list(F.struct(F.length("sentence").alias("n"), F.col("sentence").alias("s"))).alias("pool"))
+        .agg(F.collect_list(_described(F.col("sentence"), F.lit(0))).alias("pool"))
     )
     left = except_sentences(targets, check)
-    band = F.floor(F.length("sentence") / BAND).cast("int")
+    band = _band(F.length("sentence"))
     near = (
-        left.select("target_id", "pos", "sentence", F.explode(F.array(band - 1, band, band + 1)).alias("band"))
+        left.select("target_id", "pos", _described(F.col("sentence"), F.col("pos")).alias("one"),
+                    F.explode(F.array(band - 1, band, band + 1)).alias("band"))
         .join(arrays, ["target_id", "band"])
-        .where(let(F.struct(F.length("sentence").alias("n"), F.col("sentence").alias("s")),
-                   lambda s: _is_near(s, F.col("pool"))))
+        .where(_is_near(F.col("one"), F.col("pool")))
         .select("target_id", "pos").distinct()
     )
     return left.join(near, ["target_id", "pos"], "left_anti").select("target_id", "pos", "sentence")
 
 
+def banded_sentences(table: DataFrame) -> DataFrame:
+    """(article_id, n_sentences, bands): the described sentences of an article by length band."""
+    def bands(described: Column) -> Column:
+        top = F.array_max(F.transform(described, lambda d: _band(d["n"])))
+        return F.transform(F.sequence(F.lit(0), top), lambda b: F.filter(described, lambda d: _band(d["n"]) == b))
+
+    described = F.transform("sentences", _described)
+    return table.where(F.size("sentences") > 0).select(
+        "article_id", F.size("sentences").alias("n_sentences"), let(described, bands).alias("bands"))
+
+
 def clean_articles(targets: DataFrame, articles: DataFrame, cutoff: int, **adjacency) -> DataFrame:
     """(article_id, clean_body): the body without sentences it shares with its neighbours.
 
@@ -114,15 +160,14 @@ def clean_articles(targets: DataFrame, articles: DataFrame, cutoff: int, **adjac
     the collection of each target's pool happen inside the block's partition.
     """
     width = shuffle_width(articles.sparkSession)
-    table = written(article_sentences(articles), "sentences")
+    table = written(banded_sentences(article_sentences(articles)), "sentences")
     placed = written(
         place_targets(targets.where(F.col("body").isNotNull()), articles, **adjacency), "neighbours")
     # The target itself rides along with weight 0; other weights count the sides an article is on.
     both = F.concat("before", "after")
     wanted = placed.select(
-        "block", F.col("article_id").alias("target_id"), F.size(both).alias("n_neighbours"),
+        "block", F.col("article_id").alias("target_id"), F.size(both).alias("n_neighbours"), "before", "after",
         F.explode(F.array_distinct(F.concat(F.array("article_id"), both))).alias("other_id"),
-        F.col("before"), F.col("after"),
     ).select(
         "block", "target_id", "n_neighbours", "other_id",
         (F.array_contains("before", F.col("other_id")).cast("int")
@@ -136,14 +181,24 @@ def clean_articles(targets: DataFrame, articles: DataFrame, cutoff: int, **adjac
     own = F.col("weight") == 0
     pooled = pairs.groupBy("block", "target_id").agg(
         F.max("n_neighbours").alias("n_neighbours"),
-        F.first(F.when(own, F.col("sentences")), ignorenulls=True).alias("own"),
-        F.sum(F.col("weight") * F.coalesce(F.size("sentences"), F.lit(0))).alias("n_check"),
-        F.array_distinct(F.flatten(F.collect_list(F.when(~own, F.col("sentences"))))).alias("pool"),
+        F.first(F.when(own, F.col("bands")), ignorenulls=True).alias("own"),
+        F.sum(F.col("weight") * F.coalesce(F.col("n_sentences"), F.lit(0))).alias("n_check"),
+        F.collect_list(F.when(~own, F.col("bands"))).alias("others"),
     )
     enough = (F.col("n_neighbours") >= cutoff) & (F.col("n_check") >= cutoff)
-    kept = let(_sized(F.col("pool")), lambda pool: F.filter(_sized(F.col("own")), lambda s: ~_is_near(s, pool)))
+    # The check sentences of each length band that the target has or touches.
+    empty = F.filter(F.get("own", F.lit(0)), lambda _: F.lit(False))
+    by_band = F.transform(F.sequence(F.lit(0), F.size("own")), lambda b: F.flatten(
+        F.transform("others", lambda bands: F.coalesce(F.get(bands, b), empty))))
+
+    def is_unique(one: Column, pool: Column) -> Column:
+        band = _band(one["n"])
+        return ~(_is_near(one, F.get(pool, band)) | _is_near(one, F.get(pool, band + 1))
+                 | ((band > 0) & _is_near(one, F.get(pool, F.greatest(band - 1, F.lit(0))))))
+
+    kept = let(by_band, lambda pool: F.filter(F.array_sort(F.flatten("own")), lambda one: is_unique(one, pool)))
     return (
-        pooled.select("target_id", F.when(enough, F.transform(kept, lambda s: s["s"])).alias("kept"))
+        pooled.select("target_id", F.when(enough, F.transform(kept, lambda one: one["s"])).alias("kept"))
         .select(F.col("target_id").alias("article_id"),
                 F.when(F.size("kept") >= 2, F.array_join("kept", " ")).alias("clean_body"))
     )

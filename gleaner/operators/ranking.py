@@ -23,6 +23,7 @@ from pyspark.sql.window import Window
 from gleaner.functions import text as tx
 from gleaner.functions.arrays import let, total
 from gleaner.functions.fields import summary_tenths
+from gleaner.session import shuffle_width
 
 ROUNDS, DAMPING = 20, 0.85
 K1, B = 1.5, 0.75
@@ -50,7 +51,7 @@ def _sentence_graph(table: DataFrame, key: str) -> DataFrame:
     entries = (
         base.select(key, "n", "mean", "pos", F.size("words").alias("len"),
                     F.explode(F.concat(F.array(F.lit("")), "words")).alias("word"))
-        .repartition(key)
+        .repartition(shuffle_width(table.sparkSession), key)
         .groupBy(key, "n", "mean", "pos", "len", "word").agg(F.count("*").cast("double").alias("count"))
         .withColumn("df", F.count("*").over(Window.partitionBy(key, "word"))).where("df > 1")
         .withColumn("t", F.dense_rank().over(Window.partitionBy(key).orderBy("word")) - 1)
@@ -126,25 +127,31 @@ def keywords(docs: DataFrame, key: str, column: str = "text", n_words: int = N_K
     worded = docs.select(key, tx.words(F.col(column)).alias("w")).where(F.size("w") > 0)
     single = worded.where(F.size(F.array_distinct("w")) == 1).select(
         key, F.lit(1).alias("rank"), F.get("w", F.lit(0)).alias("word"))
-    pairs = F.transform("w", lambda a, i: F.struct(a.alias("u"), F.get("w", i + 1).alias("v")))
-    once = (
-        worded.select(key, F.inline(pairs)).where(F.col("v").isNotNull() & (F.col("u") != F.col("v")))
-        .select(key, F.inline(F.array(F.struct("u", "v"), F.struct(F.col("v").alias("u"), F.col("u").alias("v")))))
-        .repartition(key).groupBy(key, "u", "v").agg(F.lit(1).alias("one"))
-    )
-    edges = (
-        once.withColumn("weight", 1.0 / F.count("*").over(Window.partitionBy(key, "u")))
-        .withColumn("i", F.dense_rank().over(Window.partitionBy(key).orderBy("u")) - 1)
+    # One shuffle by document; the windows and groupings below stay inside it.
+    tokens = worded.select(key, F.posexplode("w").alias("p", "word")).repartition(
+        shuffle_width(docs.sparkSession), key)
+    by_word, by_place = Window.partitionBy(key).orderBy("word"), Window.partitionBy(key).orderBy("p")
+    steps = (
+        tokens.withColumn("i", F.dense_rank().over(by_word) - 1)
+        .select(key, "i", "word", F.lead("i").over(by_place).alias("j"), F.lead("word").over(by_place).alias("next"))
+        .where("j <> i")
+        .select(key, F.inline(F.array(
+            F.struct("i", "word", "j"), F.struct(F.col("j").alias("i"), F.col("next").alias("word"), F.col("i").alias("j")))))
     )
     rows = (
-        edges.groupBy(key, "v").agg(F.sort_array(F.collect_list(F.struct("i", "weight"))).alias("near"))
-        .groupBy(key).agg(F.sort_array(F.collect_list(F.struct("v", "near"))).alias("rows"))
+        steps.groupBy(key, "i").agg(F.sort_array(F.collect_set("j")).alias("near"), F.first("word").alias("word"))
+        .groupBy(key).agg(F.sort_array(F.collect_list(F.struct("i", "word", "near"))).alias("rows"))
     )
     n = F.size("rows")
-    scores = _iterate(
-        lambda r: F.transform("rows", lambda row: (1 - DAMPING) / n + DAMPING * total(
-            row["near"], lambda e: e["weight"] * F.get(r, e["i"]))), n)
+    near = F.transform("rows", lambda row: row["near"])
+
+    def step(r: Column, near: Column) -> Column:
+        given = F.zip_with(r, near, lambda score, row: score / F.size(row))
+        return let(given, lambda x: F.transform(
+            near, lambda row: (1 - DAMPING) / n + DAMPING * total(row, lambda i: F.get(x, i))))
+
+    scores = let(near, lambda lists: _iterate(lambda r: step(r, lists), n))
     ranked = F.array_sort(F.zip_with("rows", scores, lambda row, s: F.struct(
-        (-F.round(s, SCORE_DIGITS)).alias("score"), row["v"].alias("word"))))
+        (-F.round(s, SCORE_DIGITS)).alias("score"), row["word"].alias("word"))))
     top = rows.select(key, F.posexplode(F.slice(ranked, 1, n_words)).alias("rank", "best"))
     return top.select(key, (F.col("rank") + 1).alias("rank"), "best.word").unionByName(single)

@@ -102,9 +102,7 @@ def stream_dedup_articles(stream: DataFrame, path: str, checkpoint: str, key: st
         rows = batch
         if before is not None:
             seen = articles.known_links(before)
-            rows = articles.unseen_links(rows, seen)
-            known = seen.select(F.col("link").alias("canonical_link"))
-            rows = rows.join(known, "canonical_link", "left_anti").select(*batch.columns)
+            rows = articles.unseen(articles.unseen_links(rows, seen), seen, "canonical_link")
         articles.dedup_batch(rows, key).write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
 
     each_batch(stream, handle, checkpoint)
