@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from gleaner.session import pinned
+from gleaner.session import pinned, written
 
 N_BEFORE, N_AFTER = 10, 5
 # A host timeline longer than this is cut into time slices.
@@ -70,11 +70,9 @@ def _sliced(groups: DataFrame, line: DataFrame, hot_rows: int) -> tuple[DataFram
         .agg(F.percentile_approx(F.unix_micros("t"), shares, 10000).alias("cuts"))
     )
     number = F.size(F.filter("cuts", lambda c: c <= F.unix_micros("t")))
-    return (
-        groups.join(cuts, _LINE, "left")
-        .withColumn("slice", F.coalesce(F.when(F.col("cuts").isNotNull(), number), F.lit(0))).drop("cuts"),
-        True,
-    )
+    sliced = groups.join(cuts, _LINE, "left").withColumn(
+        "slice", F.coalesce(F.when(F.col("cuts").isNotNull(), number), F.lit(0))).drop("cuts")
+    return written(sliced, "slices"), True
 
 
 def _with_halo(groups: DataFrame, n_before: int, n_after: int) -> DataFrame:

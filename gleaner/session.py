@@ -99,11 +99,14 @@ def shuffle_width(spark: SparkSession) -> int:
 
 
 def widened(df: DataFrame) -> DataFrame:
-    """Spread a narrow input over all cores before CPU-heavy row work.
+    """Spread a narrow scan over all cores before CPU-heavy row work.
 
-    A table of many files is returned as it is; one of fewer partitions than
-    cores is dealt out evenly.
+    A scan of fewer splits than cores is dealt out evenly; a wider one, or
+    rows that come out of a shuffle, stay as they are.
     """
+    plan = df._jdf.queryExecution().executedPlan()
+    if "Exchange" in plan.toString():
+        return df
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores) if df._jdf.rdd().getNumPartitions() < cores else df
 

@@ -50,7 +50,7 @@ def stream_delayed_release(queue: DataFrame, lookback_hours: float, path: str, c
     the day they fall due; a batch reads only the days its clock has passed
     and releases what fell due since the last batch, so each post leaves once
     and none is late.  Unlike the batch twin, an old post behind a younger one
-    does not wait.
+    does not wait.  A batch run again replaces its own output.
     """
     due_time = F.col("created_time") + F.make_dt_interval(secs=F.lit(lookback_hours * 3600))
 
@@ -60,24 +60,30 @@ def stream_delayed_release(queue: DataFrame, lookback_hours: float, path: str, c
     def handle(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         rows = batch.withColumn("due_time", due_time)
-        by_day = rows.withColumn("due_day", day(F.col("due_time")))
-        by_day.write.mode("overwrite").partitionBy("due_day").parquet(f"{path}/waiting/batch={batch_id}")
-        last = _earlier(spark, f"{path}/clock", batch_id)
-        before = last.agg(F.max("clock")).first()[0] if last is not None else None
-        clock = max(c for c in (before, rows.agg(F.max("arrived")).first()[0]) if c is not None)
+        placed = rows.withColumn("due_day", day(F.col("due_time"))).withColumn("batch", F.lit(batch_id))
+        (placed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("due_day", "batch").parquet(f"{path}/waiting"))
+        last = _previous(spark, f"{path}/clock", batch_id)
+        before = last.first()["clock"] if last is not None else None
+        clock = max((c for c in (before, rows.agg(F.max("arrived")).first()[0]) if c is not None), default=None)
         due = rows.where(F.col("due_time") <= F.lit(clock)).select("permalink", "created_time")
         if before is not None:
-            held = _earlier(spark, f"{path}/waiting", batch_id)
             days = F.col("due_day").between(day(F.lit(before)), day(F.lit(clock)))
             passed = (F.col("due_time") > F.lit(before)) & (F.col("due_time") <= F.lit(clock))
-            due = due.unionByName(held.where(days & passed).select("permalink", "created_time"))
+            held = spark.read.parquet(f"{path}/waiting").where((F.col("batch") < batch_id) & days & passed)
+            due = due.unionByName(held.select("permalink", "created_time"))
         due.write.mode("overwrite").parquet(f"{path}/released/batch={batch_id}")
-        spark.range(1).select(F.lit(clock).alias("clock")).write.mode("overwrite").parquet(
+        spark.range(1).select(F.lit(clock).cast("timestamp").alias("clock")).write.mode("overwrite").parquet(
             f"{path}/clock/batch={batch_id}")
 
     each_batch(queue, handle, checkpoint)
 
 
+def _previous(spark: SparkSession, path: str, batch_id: int) -> DataFrame | None:
+    """What the batch before this one left; each batch leaves a full state."""
+    return spark.read.parquet(f"{path}/batch={batch_id - 1}") if batch_id else None
+
+
 # -- links --------------------------------------------------------------------
 
 def stream_dedup_links(links: DataFrame) -> DataFrame:
@@ -94,47 +100,41 @@ def stream_dedup_articles(stream: DataFrame, path: str, checkpoint: str, key: st
     """Append articles whose link and canonical link are both new, by micro-batch.
 
     A batch is tested against the links stored by earlier batches, then inside
-    itself.  A batch run again after a failure replaces its own output.
+    itself.  The stored links are only scanned: those the batch asks for are
+    found by a semi join with its own few keys, and the batch is tested
+    against these hits.  A batch run again replaces its own output.
     """
     def handle(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        before = _earlier(spark, path, batch_id)
         rows = batch
-        if before is not None:
-            seen = articles.known_links(before)
-            rows = articles.unseen(articles.unseen_links(rows, seen), seen, "canonical_link")
+        if batch_id:
+            before = batch.sparkSession.read.parquet(path).where(F.col("batch") < batch_id)
+            stored = before.select(F.explode(F.array("link", "canonical_link")).alias("link"))
+            hits = stored.join(articles.known_links(batch), "link", "left_semi").distinct()
+            rows = articles.unseen(articles.unseen_links(rows, hits), hits, "canonical_link")
         articles.dedup_batch(rows, key).write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
 
     each_batch(stream, handle, checkpoint)
 
 
-def _earlier(spark: SparkSession, path: str, batch_id: int) -> DataFrame | None:
-    """Rows written by batches before this one."""
-    if batch_id == 0:
-        return None
-    return spark.read.option("basePath", path).parquet(*[f"{path}/batch={i}" for i in range(batch_id)]).drop("batch")
-
-
 # -- bars ---------------------------------------------------------------------
 
 def stream_new_bars(stream: DataFrame, path: str, checkpoint: str) -> None:
     """Per listing keep positive bars newer than the newest one of earlier batches.
 
-    The maxima of each batch are a small table of their own, so a batch reads
-    one row per listing and earlier batch and not the bars.
+    Each batch leaves the maxima of all bars so far, one row per listing, so
+    the next one reads that small table and not the bars.
     """
     def handle(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        maxima = _earlier(spark, f"{path}/latest", batch_id)
+        maxima = _previous(spark, f"{path}/latest", batch_id)
         rows = bars.positive_bars(batch)
         if maxima is not None:
-            stored = maxima.select("listing_id", F.col("last_time").alias("data_time"))
-            rows = bars.new_bars(batch, stored)
+            rows = bars.new_bars(batch, maxima.withColumnRenamed("last_time", "data_time"))
         rows.write.mode("overwrite").parquet(f"{path}/bars/batch={batch_id}")
-        kept = spark.read.parquet(f"{path}/bars/batch={batch_id}")
-        latest = bars.latest_bar(kept)
+        latest = bars.latest_bar(spark.read.parquet(f"{path}/bars/batch={batch_id}"))
         if maxima is not None:
-            latest = latest.unionByName(maxima).groupBy("listing_id").agg(F.max("last_time").alias("last_time"))
+            both = latest.unionByName(maxima)
+            latest = both.groupBy("listing_id").agg(F.max("last_time").alias("last_time"))
         latest.write.mode("overwrite").parquet(f"{path}/latest/batch={batch_id}")
 
     each_batch(stream, handle, checkpoint)
