@@ -76,16 +76,17 @@ def _band(n: Column) -> Column:
     return F.when(n < FINE_END, F.floor(n / FINE)).otherwise(coarse).cast("int")
 
 
-def _described(sentence: Column, pos: Column) -> Column:
+def _described(sentence: Column, pos: Column, masked: bool = True) -> Column:
     """(pos, n, s, masks): a sentence with its length and, unless short, its letter pairs hashed to 256 bits."""
     def masks(letters: Column) -> Column:
         pairs = F.transform(letters, lambda c, i: F.pmod(
             F.xxhash64(c, F.coalesce(F.get(letters, i + 1), F.lit(""))), F.lit(64 * MASKS)).cast("int"))
         return let(pairs, lambda bits: F.array(*[_mask(bits, k) for k in range(MASKS)]))
 
+    long_enough = (F.length(sentence) >= MASKS_FROM) if masked else F.lit(False)
     return F.named_struct(
         F.lit("pos"), pos, F.lit("n"), F.length(sentence), F.lit("s"), sentence,
-        F.lit("masks"), F.when(F.length(sentence) >= MASKS_FROM, let(F.split(sentence, ""), masks)))
+        F.lit("masks"), F.when(long_enough, let(F.split(sentence, ""), masks)))
 
 
 def _mask(bits: Column, k: int) -> Column:
@@ -99,6 +100,7 @@ def _is_near(one: Column, candidates: Column) -> Column:
 
     The length and the letter pairs rule out nearly all candidates before a
     distance is computed; both are necessary conditions, so none is lost.
+    Sentences without masks are compared by length only.
     """
     def differing(c: Column) -> Column:
         bits = [F.bit_count(F.get(c["masks"], F.lit(k)).bitwiseXOR(F.get(one["masks"], F.lit(k)))) for k in range(MASKS)]
@@ -106,7 +108,7 @@ def _is_near(one: Column, candidates: Column) -> Column:
 
     return F.exists(candidates, lambda c: (
         (F.abs(c["n"] - one["n"]) <= MAX_DISTANCE)
-        & ((one["n"] < MASKS_FROM) | (c["n"] < MASKS_FROM) | (differing(c) <= MAX_PAIR_CHANGES))
+        & F.coalesce(differing(c) <= MAX_PAIR_CHANGES, F.lit(True))
         & (F.levenshtein(c["s"], one["s"], MAX_DISTANCE) >= 0)))
 
 
@@ -123,12 +125,12 @@ def unique_sentences(targets: DataFrame, check: DataFrame) -> DataFrame:
         distinct.join(sizes, ["target_id", "band"])
         .withColumn("piece", F.pmod(F.xxhash64("sentence"), F.col("n_pieces")))
         .groupBy("target_id", "band", "piece")
-        .agg(F.collect_list(_described(F.col("sentence"), F.lit(0))).alias("pool"))
+        .agg(F.collect_list(_described(F.col("sentence"), F.lit(0), masked=False)).alias("pool"))
     )
     left = except_sentences(targets, check)
     band = _band(F.length("sentence"))
     near = (
-        left.select("target_id", "pos", _described(F.col("sentence"), F.col("pos")).alias("one"),
+        left.select("target_id", "pos", _described(F.col("sentence"), F.col("pos"), masked=False).alias("one"),
                     F.explode(F.array(band - 1, band, band + 1)).alias("band"))
         .join(arrays, ["target_id", "band"])
         .where(_is_near(F.col("one"), F.col("pool")))
@@ -143,7 +145,7 @@ def banded_sentences(table: DataFrame) -> DataFrame:
         top = F.array_max(F.transform(described, lambda d: _band(d["n"])))
         return F.transform(F.sequence(F.lit(0), top), lambda b: F.filter(described, lambda d: _band(d["n"]) == b))
 
-    described = F.transform("sentences", _described)
+    described = F.transform("sentences", lambda s, pos: _described(s, pos))
     return table.where(F.size("sentences") > 0).select(
         "article_id", F.size("sentences").alias("n_sentences"), let(described, bands).alias("bands"))
 
