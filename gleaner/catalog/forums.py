@@ -191,16 +191,16 @@ def _(t):
 
 @query("check_keys", """
 SELECT 'repeated' AS violation, comment_id AS key_value, count(*) AS n
-FROM (SELECT comment_id FROM fx_comment UNION ALL SELECT comment_id FROM fx_comment WHERE user_name = 'system')
+FROM (SELECT comment_id FROM fx_comment UNION ALL SELECT comment_id FROM fx_comment WHERE user_name = 'assistant')
 GROUP BY comment_id HAVING count(*) > 1
 UNION ALL
 SELECT 'orphan', comment_id, 1
-FROM (SELECT * FROM fx_comment UNION ALL SELECT * FROM fx_comment WHERE user_name = 'system')
+FROM (SELECT * FROM fx_comment UNION ALL SELECT * FROM fx_comment WHERE user_name = 'assistant')
 WHERE submission_id NOT IN (SELECT submission_id FROM fx_thread)""")
 def _(t):
-    """Comments with those of the system role stored twice, against a parent table with missing threads."""
+    """Comments with those of one role stored twice, against a parent table with missing threads."""
     rows = t("fx_comment")
-    rows = rows.unionByName(rows.where("user_name = 'system'"))
+    rows = rows.unionByName(rows.where("user_name = 'assistant'"))
     return forum.check_keys(rows, "comment_id", "submission_id", t("fx_thread"))
 
 

@@ -348,14 +348,13 @@ def _(t):
 
 
 @query("authors_json", """
-SELECT conv_id, CASE WHEN count(*) FILTER (turn > 3) = 0 THEN '[]'
-       ELSE concat('["', string_agg(role, '","' ORDER BY turn) FILTER (turn > 3), '"]') END AS authors
-FROM conversations GROUP BY conv_id""")
-def _(t):
-    """Roles of the turns after the fourth as an author list; many conversations have none."""
-    late = F.when(F.col("turn") > 3, F.struct("turn", "role"))
-    rows = t("conversations").groupBy("conv_id").agg(F.array_sort(F.collect_list(late)).alias("late"))
-    return rows.select("conv_id", articles.authors_json(F.transform("late", lambda s: s["role"])).alias("authors"))
+SELECT doc_id, CASE WHEN doc_id % 3 = 0 OR doc_id % 5 = 0 THEN '[]' ELSE concat('["', source, '","', lang, '"]') END AS authors
+FROM documents""")
+def _(t):
+    """Two names per document, an empty array for some and null for others."""
+    none = F.when(F.col("doc_id") % 3 == 0, F.array().cast("array<string>"))
+    names = F.coalesce(none, F.when(F.col("doc_id") % 5 != 0, F.array("source", "lang")))
+    return t("documents").select("doc_id", articles.authors_json(names).alias("authors"))
 
 
 # -- landed files ----------------------------------------------------------------------------
