@@ -119,20 +119,21 @@ def unique_sentences(targets: DataFrame, check: DataFrame) -> DataFrame:
     of their own target whose length is near enough, in arrays of about a
     thousand, so no sentence pair is ever a row.
     """
-    distinct = check.select("target_id", "sentence").distinct().withColumn("band", _band(F.length("sentence")))
-    sizes = distinct.groupBy("target_id", "band").agg(F.ceil(F.count("*") / PIECE).alias("n_pieces"))
+    place = ["target_id", "band"]
+    band = _band(F.length("sentence"))
+    # Repeats only make the pieces smaller, so they need not be removed to count.
+    sizes = check.select("target_id", band.alias("band")).groupBy(*place).agg(F.ceil(F.count("*") / PIECE).alias("n_pieces"))
     arrays = (
-        distinct.join(sizes, ["target_id", "band"])
+        check.select("target_id", "sentence").distinct().withColumn("band", band).join(sizes, place)
         .withColumn("piece", F.pmod(F.xxhash64("sentence"), F.col("n_pieces")))
-        .groupBy("target_id", "band", "piece")
+        .groupBy(*place, "piece")
         .agg(F.collect_list(_described(F.col("sentence"), F.lit(0), masked=False)).alias("pool"))
     )
     left = except_sentences(targets, check)
-    band = _band(F.length("sentence"))
     near = (
         left.select("target_id", "pos", _described(F.col("sentence"), F.col("pos"), masked=False).alias("one"),
                     F.explode(F.array(band - 1, band, band + 1)).alias("band"))
-        .join(arrays, ["target_id", "band"])
+        .join(arrays, place)
         .where(_is_near(F.col("one"), F.col("pool")))
         .select("target_id", "pos").distinct()
     )
