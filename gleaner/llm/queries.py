@@ -7,13 +7,23 @@ import os
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from gleaner.llm import exact_dedup, packing
+from gleaner.llm import exact_dedup, packing, secrets, toxicity
 from gleaner.llm.common import table
 
 #: Folder of the tokenizer files; a parameter, as they are never part of the repository.
 TOKENIZERS = os.path.dirname(public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return secrets.digest(secrets.find_secrets(docs, secrets.markov_ratios(docs)))
+
+
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.toxic_scores(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
 
@@ -22,5 +32,5 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), f"{TOKENIZERS}/word_bpe_49k.json")
 
 
-QUERIES = {f.__name__: f for f in (op9_exact_dedup, op10_packing)}
+QUERIES = {f.__name__: f for f in (op4_secrets, op5_toxicity, op9_exact_dedup, op10_packing)}
 ORACLES = {"op9_exact_dedup": exact_dedup.ORACLE}
