@@ -7,7 +7,7 @@ import os
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from gleaner.llm import exact_dedup, packing, secrets, toxicity
+from gleaner.llm import exact_dedup, near_dedup, packing, secrets, toxicity
 from gleaner.llm.common import table
 
 #: Folder of the tokenizer files; a parameter, as they are never part of the repository.
@@ -24,6 +24,10 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxic_scores(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
 
 
+def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_classes(table(spark, sf_dir, "documents"))
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
 
@@ -32,5 +36,5 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), f"{TOKENIZERS}/word_bpe_49k.json")
 
 
-QUERIES = {f.__name__: f for f in (op4_secrets, op5_toxicity, op9_exact_dedup, op10_packing)}
+QUERIES = {f.__name__: f for f in (op4_secrets, op5_toxicity, op8_near_dedup, op9_exact_dedup, op10_packing)}
 ORACLES = {"op9_exact_dedup": exact_dedup.ORACLE}
