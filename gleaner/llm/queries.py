@@ -5,15 +5,24 @@ from __future__ import annotations
 import os
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from gleaner.llm import exact_dedup, near_dedup, packing, secrets, toxicity
+from gleaner.llm import ann, exact_dedup, html_text, near_dedup, packing, secrets, toxicity
 from gleaner.llm.common import table
 
 #: Folder of the tokenizer files; a parameter, as they are never part of the repository.
 TOKENIZERS = os.path.dirname(public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op2_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    return html_text.extract(pages, html_text.train(pages))
+
+
+def op3_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return secrets.digest(secrets.find_secrets(docs, secrets.markov_ratios(docs)))
@@ -36,5 +45,5 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), f"{TOKENIZERS}/word_bpe_49k.json")
 
 
-QUERIES = {f.__name__: f for f in (op4_secrets, op5_toxicity, op8_near_dedup, op9_exact_dedup, op10_packing)}
+QUERIES = {f.__name__: f for f in (op2_html_text, op3_nearest, op4_secrets, op5_toxicity, op8_near_dedup, op9_exact_dedup, op10_packing)}
 ORACLES = {"op9_exact_dedup": exact_dedup.ORACLE}
