@@ -7,7 +7,7 @@ import os
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from gleaner.llm import ann, exact_dedup, html_text, near_dedup, packing, secrets, toxicity
+from gleaner.llm import ann, exact_dedup, html_text, near_dedup, packing, sampled_pieces, secrets, token_counts, toxicity
 from gleaner.llm.common import table
 
 #: Folder of the tokenizer files; a parameter, as they are never part of the repository.
@@ -33,6 +33,15 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxic_scores(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
 
 
+def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return token_counts.count_tokens(docs, f"{TOKENIZERS}/byte_bpe_50k.tiktoken", public_tokenizers.PATTERN)
+
+
+def op7_sampled_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sampled_pieces.sample_pieces(table(spark, sf_dir, "documents"), f"{TOKENIZERS}/piece_bpe_32k.model")
+
+
 def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_classes(table(spark, sf_dir, "documents"))
 
@@ -45,5 +54,5 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), f"{TOKENIZERS}/word_bpe_49k.json")
 
 
-QUERIES = {f.__name__: f for f in (op2_html_text, op3_nearest, op4_secrets, op5_toxicity, op8_near_dedup, op9_exact_dedup, op10_packing)}
+QUERIES = {f.__name__: f for f in (op2_html_text, op3_nearest, op4_secrets, op5_toxicity, op6_token_counts, op7_sampled_pieces, op8_near_dedup, op9_exact_dedup, op10_packing)}
 ORACLES = {"op9_exact_dedup": exact_dedup.ORACLE}
