@@ -7,13 +7,17 @@ import os
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from gleaner.llm import ann, exact_dedup, html_text, near_dedup, packing, sampled_pieces, secrets, token_counts, toxicity
+from gleaner.llm import ann, exact_dedup, html_text, licenses, near_dedup, packing, sampled_pieces, secrets, token_counts, toxicity
 from gleaner.llm.common import table
 
 #: Folder of the tokenizer files; a parameter, as they are never part of the repository.
 TOKENIZERS = os.path.dirname(public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op1_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
 def op2_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages")
     return html_text.extract(pages, html_text.train(pages))
@@ -54,5 +58,5 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), f"{TOKENIZERS}/word_bpe_49k.json")
 
 
-QUERIES = {f.__name__: f for f in (op2_html_text, op3_nearest, op4_secrets, op5_toxicity, op6_token_counts, op7_sampled_pieces, op8_near_dedup, op9_exact_dedup, op10_packing)}
+QUERIES = {f.__name__: f for f in (op1_licenses, op2_html_text, op3_nearest, op4_secrets, op5_toxicity, op6_token_counts, op7_sampled_pieces, op8_near_dedup, op9_exact_dedup, op10_packing)}
 ORACLES = {"op9_exact_dedup": exact_dedup.ORACLE}
