@@ -18,7 +18,7 @@ from __future__ import annotations
 import math
 import re
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 RUN = 3
 LEAST = 0.8
@@ -110,7 +110,7 @@ def template_table(spark: SparkSession, templates: list[tuple[str, str]]) -> Dat
 def scan(docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES, least: float = LEAST, miss: float = MISS) -> DataFrame:
     """doc_id, license, template, containment, n_windows, first_word of every template found in a document.
 
-    In a window only the templates that it holds best count.  containment is that of the best window, n_windows counts the windows that match, first_word is the first one's place.
+    Of templates of a class found within half a window of each other only those held best count.  containment is that of the best window, n_windows counts the windows that match, first_word is the first one's place.
     """
     spark = docs.sparkSession
     known = template_table(spark, templates)
@@ -131,11 +131,10 @@ def scan(docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES, least: f
         cut = cut.select("doc_id", "start", "runs", F.explode(_bands(F.col("runs"), bands)).alias("key"))
         pairs = cut.select("doc_id", "start", "runs", "key.*").join(keys, ["band", "low"]).join(own, "template")
         share = F.size(F.array_intersect("runs", "own")) / F.size("own")
-        hits = pairs.select("doc_id", F.lit(window).alias("window"), "start", "template", "license", share.alias("share")).filter(F.col("share") >= least)
+        hits = pairs.select("doc_id", "start", "template", "license", share.alias("share")).filter(F.col("share") >= least)
+        near = Window.partitionBy("doc_id").orderBy("start").rangeBetween(-(window // 2), window // 2)
+        hits = hits.distinct().withColumn("best", F.max("share").over(near)).filter("share = best").drop("best")
         found = hits if found is None else found.unionByName(hits)
-    windows = found.distinct()
-    best = windows.groupBy("doc_id", "window", "start").agg(F.max("share").alias("best"))
-    windows = windows.join(best, ["doc_id", "window", "start"]).filter("share = best")
-    return windows.groupBy("doc_id", "license", "template").agg(
+    return found.groupBy("doc_id", "license", "template").agg(
         F.max("share").alias("containment"), F.count("*").alias("n_windows"), F.min("start").cast("long").alias("first_word")
     )

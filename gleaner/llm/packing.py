@@ -16,6 +16,7 @@ import re
 import zlib
 from collections import defaultdict
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -26,42 +27,65 @@ from gleaner.llm.common import pinned
 
 CAPACITY = 4096
 END_ID = 1
-#: Words whose ids a worker remembers before it starts afresh.
-CACHE_WORDS = 400_000
+#: Words whose ids a worker remembers before the generation before the last is forgotten.
+CACHE_WORDS = 500_000
+#: Documents whose unknown words are encoded together.
+TOGETHER = 256
 
 _BLANK = re.compile(r"[ \t\n\r]+")
+_SEPARATOR = re.compile(r"[\x1c-\x1f]")  # blanks to Python, not to the tokenizer
 
 
 class WordEncoder:
-    """Ids as little-endian bytes for a tokenizer whose pre-tokens never cross white space: words are encoded once."""
+    """Ids as little-endian bytes for a tokenizer whose pre-tokens never cross white space: a word is encoded once.
+
+    What a worker has learnt is kept in two generations, so frequent words stay known in bounded memory.
+    """
 
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.known: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
 
     def _learn(self, words: set[str]) -> None:
-        known = self.known
-        if len(known) > CACHE_WORDS:
-            known.clear()
-        bare = {w: w[:-1] if len(w) > 1 and w[-1] in ".," and w[-2].isalpha() else w for w in words}
-        need = {b.lower() if b.isascii() and "<" not in b else b for b in bare.values()} | {".", ","}
+        known, old = self.known, self.old
+        bare = {}
+        for w in words:
+            ids = old.get(w)
+            if ids is not None:
+                known[w] = ids
+            else:
+                b = w[:-1] if len(w) > 1 and w[-1] in ".," and w[-2].isalpha() else w
+                bare[w] = (b.lower() if b.isascii() and "<" not in b else b, "" if b is w else w[-1])
+        need = {x for pair in bare.values() for x in pair if x and x not in known}
+        for w in need & old.keys():
+            known[w] = old[w]
         new = [w for w in need if w not in known]
         for w, e in zip(new, self.tokenizer.encode_batch(new, add_special_tokens=False), strict=True):
             known[w] = np.array(e.ids, dtype="<u4").tobytes()
-        for w, b in bare.items():
-            ids = known[b.lower() if b.isascii() and "<" not in b else b]
-            known[w] = ids if b is w else ids + known[w[-1]]
+        for w, (b, mark) in bare.items():
+            known[w] = known[b] + known[mark] if mark else known.get(b, b"")
 
     def __call__(self, texts: list[str]) -> Iterator[bytes]:
-        for text in texts:
-            words = _BLANK.split(text)
-            try:
-                yield b"".join(map(self.known.__getitem__, words))
-            except KeyError:
-                self._learn({w for w in words if w not in self.known} | set(words))
-                yield b"".join(map(self.known.__getitem__, words))
+        for at in range(0, len(texts), TOGETHER):
+            if len(self.known) > CACHE_WORDS:
+                self.known, self.old = {}, self.known
+            split = [t.split() if not _SEPARATOR.search(t) else _BLANK.split(t) for t in texts[at:at + TOGETHER]]
+            new: set[str] = set()
+            for words in split:
+                new.update(set(words).difference(self.known))
+            self._learn(new)
+            get = self.known.__getitem__
+            for words in split:
+                yield b"".join(map(get, words))
+
+
+@lru_cache(maxsize=2)
+def encoder(path: str) -> WordEncoder:
+    """One encoder for each worker process; its tasks share what it has learnt."""
+    return WordEncoder(path)
 
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, part int, nth long"
@@ -69,7 +93,7 @@ PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, part
 
 def _cut(path: str, capacity: int, end_id: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encode, part = WordEncoder(path), TaskContext.get().partitionId()
+        encode, part = encoder(path), TaskContext.get().partitionId()
         seen: dict[int, int] = defaultdict(int)
         end, width = np.array([end_id], dtype="<u4").tobytes(), 4 * capacity
         for batch in batches:

@@ -29,7 +29,8 @@ BYTE_PENALTY = 20.0
 CACHE_PLACES = 700_000
 TOGETHER = 400_000
 MARK, KEPT = "▁", "\ud800"  # the blank mark; a stand-in, never valid text, for a mark in the text
-_WORD = re.compile(rf"{MARK}*[^{MARK}]+|{MARK}+")
+#: Words; a line feed stands alone, as no piece holds one beside other characters (checked when a vocabulary is read).
+_WORD = re.compile(rf"{MARK}*[^{MARK}\n]+|{MARK}+|\n")
 _M1, _M2, _STEP = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -47,18 +48,54 @@ class Sampler:
         size = model.vocab_size()
         self.spelled: list[bytes] = [b""] * size
         self.byte = [0] * 256
-        self.pieces: dict[str, tuple[int, float]] = {}
+        found: dict[str, tuple[int, float]] = {}
         for i in range(size):
             piece = model.id_to_piece(i)
             if model.is_byte(i):
                 self.byte[int(piece[1:-1], 16)] = i
                 self.spelled[i] = bytes([int(piece[1:-1], 16)])
             elif not (model.is_control(i) or model.is_unknown(i)):
-                self.pieces[piece] = (i, float((i + 1.0) ** -theta))
+                found[piece] = (i, float((i + 1.0) ** -theta))
                 self.spelled[i] = piece.replace(MARK, " ").encode()
-        self.longest = max(map(len, self.pieces))
+        if any("\n" in p and p != "\n" or MARK in p.lstrip(MARK) for p in found):
+            raise ValueError("the vocabulary has pieces across words")
+        self.longest = max(map(len, found))
+        self.ids = np.array([-1, *(i for i, _ in found.values())], dtype=np.int32)
+        self.weights = np.array([0.0, *(w for _, w in found.values())])
+        with np.errstate(over="ignore"):
+            self.powers = np.array([pow(int(_M1), k, 1 << 64) for k in range(self.longest)], dtype=np.uint64)
+            names = [np.array([ord(c) for c in reversed(p)], dtype=np.uint64) for p in found]
+            self.hashes = np.array([0, *((n * self.powers[:len(n)]).sum(dtype=np.uint64) + np.uint64(len(n)) for n in names)], dtype=np.uint64)
+        self._tabulate()
         self._clear()
 
+    def _tabulate(self) -> None:
+        """An open hash table of the pieces with probes of at most three slots."""
+        for turn in range(1, 1000):
+            slots: dict[int, int] = {}
+            with np.errstate(over="ignore"):
+                self.turn = _STEP * np.uint64(2 * turn + 1)
+                places = (self.hashes[1:] * self.turn >> np.uint64(44)).tolist()
+            for k, at in enumerate(places, 1):
+                free = next((at + i for i in range(3) if at + i not in slots), None)
+                if free is None:
+                    break
+                slots[free] = k
+            else:
+                self.slots = np.zeros((1 << 20) + 3, dtype=np.int32)
+                self.slots[list(slots)] = list(slots.values())
+                return
+        raise ValueError("no hash table without long probes")
+
+    def _lookup(self, hashes: np.ndarray) -> np.ndarray:
+        """Number of the piece with each hash, 0 where there is none."""
+        at = (hashes * self.turn >> np.uint64(44)).astype(np.int64)
+        found = np.zeros(len(at), dtype=np.int32)
+        for i in range(3):
+            hit = self.slots[at + i]
+            found = np.where(self.hashes[hit] == hashes, hit, found)
+        return found
+
     def _clear(self) -> None:
         self.base: dict[str, int] = {}
         self.used = 0
@@ -66,45 +103,55 @@ class Sampler:
         self.piece = np.zeros((1 << 16, self.longest), dtype=np.int32)
 
     def _filter(self, words: list[str]) -> None:
-        """Forward filtering: for every place of a word the cumulative shares of the pieces that end there, by length."""
-        pieces, longest, unknown = self.pieces, self.longest, np.exp(-BYTE_PENALTY)
-        rows, cols, shares, ids, at = [], [], [], [], self.used
-        for word in words:
-            self.base[word] = at
-            sums = [1.0]
-            for end in range(1, len(word) + 1):
-                total, found = 0.0, []
-                for n in range(1, min(longest, end) + 1):
-                    hit = pieces.get(word[end - n:end])
-                    if hit is not None:
-                        w = hit[1] * sums[end - n]
-                        found.append((n, hit[0], w))
-                        total += w
-                if not found or found[0][0] != 1:
-                    w = unknown * sums[end - 1]
-                    found.append((1, -1 - ord(word[end - 1]), w))
-                    total += w
-                for n, i, w in found:
-                    rows.append(at + end)
-                    cols.append(n - 1)
-                    shares.append(w / total)
-                    ids.append(i)
-                sums.append(total)
-                if total < 1e-200:  # long words: only shares count, so the last sums may be scaled together
-                    low = max(0, end - longest)
-                    sums[low:] = [s / total for s in sums[low:]]
-            at += len(word) + 1
-        while at > len(self.upto):
+        """Forward filtering: for every place of a word the cumulative shares of the pieces that end there, by length.
+
+        Substrings are looked up by rolling hashes and all words advance side by side, place by place.
+        """
+        if not words:
+            return
+        lengths = np.array([len(w) for w in words])
+        base = np.cumsum(lengths + 1) - lengths - 1
+        total = int(base[-1] + lengths[-1] + 1)
+        codes = np.zeros(total, dtype=np.uint64)  # a word's first place stays zero
+        inside = np.ones(total, dtype=bool)
+        inside[base] = False
+        codes[inside] = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), dtype="<u4")
+        depth = np.arange(total) - np.repeat(base, lengths + 1)
+        ids, weights = np.zeros((total, self.longest), np.int32), np.zeros((total, self.longest))
+        with np.errstate(over="ignore"):
+            rolling = np.zeros(total, dtype=np.uint64)
+            for k in range(self.longest):
+                at = np.flatnonzero(depth > k)
+                rolling[at] += codes[at - k] * self.powers[k]
+                hit = self._lookup(rolling[at] + np.uint64(k + 1))
+                ids[at, k], weights[at, k] = self.ids[hit], self.weights[hit]
+        bare = inside & (weights[:, 0] == 0)
+        ids[bare, 0], weights[bare, 0] = -1 - codes[bare].astype(np.int64), np.exp(-BYTE_PENALTY)
+        plain = bare & (codes < 128)  # one byte
+        ids[plain, 0] = np.array(self.byte)[codes[plain].astype(np.int64)]
+        sums, upto = np.zeros(total), np.zeros((total, self.longest))
+        sums[base] = 1.0
+        order = np.argsort(-lengths, kind="stable")
+        ordered, back = base[order], np.arange(1, self.longest + 1)
+        alive = np.searchsorted(-lengths[order], -np.arange(1, lengths.max() + 1), side="right")
+        for j, n in enumerate(alive.tolist(), 1):
+            at = ordered[:n] + j
+            terms = sums[np.maximum(at[:, None] - back, 0)] * weights[at]
+            part = np.cumsum(terms, axis=1)
+            sums[at] = part[:, -1]
+            upto[at] = part / part[:, -1:]
+            if j % 16 == 0:  # only shares count, so a word's last sums are scaled together
+                scale = sums[at]
+                for k in range(min(j, self.longest - 1) + 1):
+                    sums[at - k] /= scale
+        upto[upto > 1 - 1e-6] = 2.0
+        end = self.used + total
+        while end > len(self.upto):
             self.upto = np.concatenate([self.upto, np.zeros_like(self.upto)])
             self.piece = np.concatenate([self.piece, np.zeros_like(self.piece)])
-        rows, cols = np.array(rows, dtype=np.int64), np.array(cols, dtype=np.int64)
-        self.upto[self.used:at] = 0
-        self.upto[rows, cols] = shares
-        self.piece[rows, cols] = ids
-        part = np.cumsum(self.upto[self.used:at], axis=1, dtype=np.float64)
-        part[part > 1 - 1e-6] = 2.0
-        self.upto[self.used:at] = part
-        self.used = at
+        self.upto[self.used:end], self.piece[self.used:end] = upto, ids
+        self.base.update(zip(words, (base + self.used).tolist(), strict=True))
+        self.used = end
 
     def __call__(self, keys: list[int], texts: list[str]) -> Iterator[np.ndarray]:
         """The pieces of every text."""
