@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from gleaner.functions import fields, urls
 from gleaner.operators.ids import assign_ids
-from gleaner.session import sized_broadcast
+from gleaner.session import written
 
 FEED_SOURCE = "RSS Feed"
 POST_SOURCE = "Reddit Submission"
@@ -102,20 +102,21 @@ def unseen_canonical(raw: DataFrame, seen: DataFrame) -> DataFrame:
 
 def drop_blocked_hosts(rows: DataFrame, blocklist: DataFrame) -> DataFrame:
     """Rows whose host is not exactly a blocked one."""
-    return rows.join(sized_broadcast(blocklist.select("host").distinct()), "host", "left_anti")
+    return rows.join(blocklist.select("host"), "host", "left_anti")
 
 
 def find_article(wanted: DataFrame, articles: DataFrame) -> DataFrame:
     """(url, article_id): the lowest article whose link or canonical link is the url; no row without one.
 
-    The two equalities become one equi-join on a lookup with one row per link.
+    The two equalities become one equi-join; stored links that nobody wants go before they are aggregated.
     """
+    wanted = wanted.select("url").distinct()
     lookup = (
         articles.select("article_id", F.explode(F.array("link", "canonical_link")).alias("url"))
-        .where(F.col("url").isNotNull())
+        .join(wanted, "url", "left_semi")
         .groupBy("url").agg(F.min("article_id").alias("article_id"))
     )
-    return wanted.select("url").distinct().join(lookup, "url")
+    return lookup.select("url", "article_id")
 
 
 # -- articles ---------------------------------------------------------------
@@ -159,22 +160,32 @@ def article_quality_gate(articles: DataFrame, blocklist: DataFrame) -> DataFrame
 def dedup_batch(
     articles: DataFrame, key: str = "item_no", order: tuple[str, ...] = ("source_published_time", "link"),
 ) -> DataFrame:
-    """Drop a row when an earlier row of the batch has the same link or canonical link.
+    """Accept rows one by one: a row goes when an accepted earlier row has the same link or canonical link.
 
-    Earlier means smaller by (``order``, ``key``).  A dropped row still blocks
-    later ones, so only in chains does this differ from accepting rows one by
-    one; the result does not depend on the order of processing.
+    Earlier means smaller by (``order``, ``key``).  A rejected row blocks
+    nothing.  Each round accepts the rows that come first in all their links
+    and rejects those that share a link with an accepted one; only rows behind
+    an undecided one go on, so a batch without chains takes one round.
     """
     rank = F.struct(*order, key)
-    keyed = (
+    open_ = written(
         articles.select(
             F.col(key), rank.alias("__rank"),
             F.explode(F.array_distinct(F.array("link", "canonical_link"))).alias("__link"),
-        ).where(F.coalesce(F.col("__link"), F.lit("")) != "")
+        ).where(F.coalesce(F.col("__link"), F.lit("")) != ""), "batch_links",
     )
-    first = keyed.groupBy("__link").agg(F.min("__rank").alias("__first"))
-    later = keyed.join(first, "__link").where(F.col("__first") < F.col("__rank")).select(key)
-    return articles.join(later, key, "left_anti")
+    dropped = None
+    while True:
+        first = open_.groupBy("__link").agg(F.min("__rank").alias("__first"))
+        placed = open_.join(first, "__link").withColumn("__ahead", F.col("__first") == F.col("__rank"))
+        accepted = placed.groupBy(key).agg(F.min("__ahead").alias("__ok")).where("__ok").select(key)
+        taken = open_.join(accepted, key, "left_semi").select("__link").distinct()
+        rest = open_.join(accepted, key, "left_anti")
+        lost = written(rest.join(taken, "__link", "left_semi").select(key).distinct(), "batch_dropped")
+        dropped = lost if dropped is None else dropped.unionByName(lost)
+        open_ = written(rest.join(lost, key, "left_anti"), "batch_links")
+        if open_.isEmpty():
+            return articles.join(dropped, key, "left_anti")
 
 
 def accept_articles(
@@ -202,7 +213,8 @@ def link_posts_to_articles(
 
     unknown = wanted.join(seen.select(F.col("link").alias("url")), "url", "left_anti")
     sources = source_from_post(unknown)
-    pages = raw.select("link", "title", "text", "canonical", "pubdate").dropDuplicates(["link"])
+    page = F.min(F.struct("title", "text", "canonical", "pubdate")).alias("page")
+    pages = raw.groupBy("link").agg(page).select("link", "page.*")
     pages = sources.select("submission_id", "link").join(pages, "link").drop("link")
     made = accept_articles(sources, pages, seen, blocklist, "submission_id")
     made = assign_ids(made, ["source_published_time", "link", "submission_id"], "article_id", max_id)

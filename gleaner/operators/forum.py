@@ -18,27 +18,29 @@ MAX_DEPTH, MIN_CHILDREN, MAX_CALLS, IDS_PER_CALL = 6, 2, 32, 100
 
 
 def ingest_submissions(lines: DataFrame, column: str = "value") -> DataFrame:
-    """Post JSON -> submission columns; epoch seconds become timestamps."""
+    """Post JSON -> submission columns; epoch seconds become timestamps, absent flags false and absent counts 0."""
+    no, zero = F.lit(False), F.lit(0)
     post = F.from_json(F.col(column), schemas.POST_JSON)
     return lines.select(post.alias("p")).select(
         F.col("p.name").alias("reddit_id"), "p.title", "p.url", "p.permalink",
         fields.epoch_to_ts(F.col("p.created_utc")).alias("created_time"),
         F.col("p.author").alias("user_name"), F.col("p.subreddit").alias("subreddit_name"), "p.subreddit_id",
-        "p.selftext", "p.selftext_html", "p.num_comments", "p.score",
-        F.col("p.ups").alias("up_votes"), F.col("p.downs").alias("down_votes"),
-        F.col("p.over_18").alias("is_nsfw"), "p.is_self",
-        F.col("p.is_reddit_media_domain").alias("is_media"), F.coalesce("p.deleted", F.lit(False)).alias("is_deleted"),
+        "p.selftext", "p.selftext_html", F.coalesce("p.num_comments", zero).alias("num_comments"), F.coalesce("p.score", zero).alias("score"),
+        F.coalesce("p.ups", zero).alias("up_votes"), F.coalesce("p.downs", zero).alias("down_votes"),
+        F.coalesce("p.over_18", no).alias("is_nsfw"), F.coalesce("p.is_self", no).alias("is_self"),
+        F.coalesce("p.is_reddit_media_domain", no).alias("is_media"), F.coalesce("p.deleted", no).alias("is_deleted"),
     )
 
 
 def submission_gate(posts: DataFrame, cutoff: int) -> DataFrame:
-    """Posts that are not deleted and whose comments plus score reach the cutoff."""
-    return posts.where(~F.col("is_deleted") & (F.col("num_comments") + F.col("score") >= cutoff))
+    """Posts that are not deleted and whose comments plus score reach the cutoff; null is false or 0."""
+    deleted, zero = F.coalesce("is_deleted", F.lit(False)), F.lit(0)
+    return posts.where(~deleted & (F.coalesce("num_comments", zero) + F.coalesce("score", zero) >= cutoff))
 
 
 def external_links(posts: DataFrame) -> DataFrame:
-    """Posts that are neither self posts nor on the forum's media domain."""
-    return posts.where(~(F.col("is_media") | F.col("is_self")))
+    """Posts that are neither self posts nor on the forum's media domain; null is false."""
+    return posts.where(~(F.coalesce("is_media", F.lit(False)) | F.coalesce("is_self", F.lit(False))))
 
 
 def needs_more_comments(posts: DataFrame) -> DataFrame:

@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gleaner.functions import fields
-from gleaner.session import sized_broadcast
 
 SNAPSHOT_COLUMNS = ["is_enabled", "symbol", "name", "type", "region", "currency", "exchange"]
 ACTIVE_TYPES = ["et", "cs"]
@@ -25,8 +24,12 @@ def russell_listings(listings: DataFrame) -> DataFrame:
 
 
 def last_wins(rows: DataFrame, key: str, order: str) -> DataFrame:
-    """One row per key: the last by ``order``; a partial aggregate, so a hot key costs nothing."""
-    last = F.max_by(F.struct(*rows.columns), F.col(order)).alias("__last")
+    """One row per key: the last by ``order``; a partial aggregate, so a hot key costs nothing.
+
+    A null order comes before any value; of equal orders the choice does not depend on the layout.
+    """
+    rank = F.struct(F.col(order).isNotNull(), F.col(order), F.xxhash64(*rows.columns))
+    last = F.max_by(F.struct(*rows.columns), rank).alias("__last")
     return rows.groupBy(key).agg(last).select("__last.*")
 
 
@@ -75,7 +78,7 @@ def _is_member(listings: DataFrame, members: DataFrame, flag: str) -> DataFrame:
     """Replace ``flag`` by whether the upper-case stored symbol is in the trimmed, upper-case members."""
     keys = members.select(fields.symbol_key(F.col("symbol")).alias("__key")).distinct().withColumn("__hit", F.lit(True))
     return (
-        listings.withColumn("__key", F.upper("symbol")).join(sized_broadcast(keys), "__key", "left")
+        listings.withColumn("__key", F.upper("symbol")).join(keys, "__key", "left")
         .withColumn(flag, F.col("__hit").isNotNull()).select(*listings.columns)
     )
 

@@ -13,6 +13,7 @@ MIN_TEXT, MIN_TITLE = 10, 3
 
 TITLE = r"(?is)<title[^>]*>(.*?)</title\s*>"
 ARTICLE = r"(?is)<article[^>]*>(.*?)</article\s*>"
+PARAGRAPH = r"(?is)<p(?:\s[^>]*)?>(.*?)(?=</p\s*>|<p[\s>]|</body|\z)"
 BLOCK_END = r"(?i)</(p|div|h[1-6]|li|blockquote)\s*>|<br\s*/?>"
 
 # Entities decoded here, in this order; & comes last so that nothing is decoded twice (fixed values).
@@ -55,18 +56,24 @@ def _plain(html: Column) -> Column:
 def extract_pages(pages: DataFrame) -> DataFrame:
     """(page_id, link, title, text, authors, canonical, pubdate) of pages (page_id, url, html).
 
-    No row for a text under 10 or a title under 3 characters.  An absent date
-    or canonical link is ''.
+    The text is that of all articles of a page, or of its paragraphs where it
+    marks no article.  No row for a text under 10 or a title under 3
+    characters.  An absent date or canonical link is ''.  The row is built once,
+    as the one element of an array, so that the length test repeats nothing.
     """
     html = F.col("html")
-    rows = widened(pages.select("page_id", "url", "html")).select(
+    articles = F.array_join(F.regexp_extract_all(html, F.lit(ARTICLE), F.lit(1)), "</p>")
+    paragraphs = F.array_join(F.regexp_extract_all(html, F.lit(PARAGRAPH), F.lit(1)), "</p>")
+    row = F.struct(
         "page_id",
         F.col("url").alias("link"),
         trimmed(_decoded(F.regexp_replace(F.regexp_extract(html, TITLE, 1), r"\s+", " "))).alias("title"),
-        _plain(F.regexp_extract(html, ARTICLE, 1)).alias("text"),
+        _plain(F.when(html.rlike(ARTICLE), articles).otherwise(paragraphs)).alias("text"),
         F.filter(F.array_distinct(F.concat(*[F.regexp_extract_all(html, F.lit(p), F.lit(1)) for p in AUTHOR])),
                  lambda a: F.length(a) > 0).alias("authors"),
         _first(html, CANONICAL).alias("canonical"),
         _first(html, PUBLISHED).alias("pubdate"),
     )
-    return rows.where((F.length("text") >= MIN_TEXT) & (F.length("title") >= MIN_TITLE))
+    long_enough = lambda r: (F.length(r["text"]) >= MIN_TEXT) & (F.length(r["title"]) >= MIN_TITLE)
+    rows = widened(pages.select("page_id", "url", "html"))
+    return rows.select(F.explode(F.filter(F.array(row), long_enough)).alias("__row")).select("__row.*")

@@ -109,22 +109,3 @@ def widened(df: DataFrame) -> DataFrame:
         return df
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores) if df._jdf.rdd().getNumPartitions() < cores else df
-
-
-# Reference sides up to this many bytes are broadcast.
-BROADCAST_BYTES = 64 * 1024 * 1024
-
-
-def sized_broadcast(df: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
-    """``broadcast(df)`` when its measured size is under ``limit``, else ``df``.
-
-    The measure is one aggregate over a reference table (block list, members),
-    whose rows come back unchanged; over the limit the join shuffles and AQE
-    handles hot keys.
-    """
-    strings = [f.name for f in df.schema.fields if f.dataType.simpleString() == "string"]
-    width = F.lit(16 * len(df.columns))
-    for name in strings:
-        width = width + F.coalesce(F.octet_length(F.col(name)), F.lit(0))
-    size = df.agg(F.coalesce(F.sum(width), F.lit(0)).alias("n")).first()["n"]
-    return F.broadcast(df) if size <= limit else df
