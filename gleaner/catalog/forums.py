@@ -241,6 +241,15 @@ def _(t):
     return queues.drain_aged_prefix(t("fx_queue"), when, 24.0)
 
 
+@query("queue_remainder", """
+SELECT * FROM fx_queue WHERE pos >= coalesce((
+  SELECT min(pos) FROM fx_queue
+  WHERE created_time > TIMESTAMP '2024-01-30 00:00:00' - INTERVAL '24' HOUR), 9223372036854775807)""")
+def _(t):
+    when = F.lit("2024-01-30 00:00:00").cast("timestamp")
+    return queues.queue_remainder(t("fx_queue"), when, 24.0)
+
+
 @query("age_hours", """
 SELECT pos, (epoch_us(TIMESTAMP '2024-01-30 00:00:00') - epoch_us(created_time)) / 3.6e9 AS age_hours FROM fx_queue""")
 def _(t):

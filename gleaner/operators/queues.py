@@ -46,13 +46,21 @@ def rejected_entries(queue: DataFrame) -> DataFrame:
     return queue.where(F.col("created_time").isNull())
 
 
+def _stop(queue: DataFrame, now: Column, lookback_hours: float) -> Column:
+    """The position of the first entry younger than the lookback: one aggregate, compared as a scalar."""
+    young = fields.age_hours(F.col("created_time"), now) < lookback_hours
+    return F.coalesce(queue.where(young).agg(F.min("pos").alias("stop")).scalar(), F.lit(2**63 - 1))
+
+
 def drain_aged_prefix(queue: DataFrame, now: Column, lookback_hours: float) -> DataFrame:
     """Entries from the head of the queue up to the first one younger than the lookback.
 
-    An old entry behind a younger one waits.  The stop position is one
-    aggregate, compared as a scalar.
+    An old entry behind a younger one waits.
     """
-    young = fields.age_hours(F.col("created_time"), now) < lookback_hours
-    stop = queue.where(young).agg(F.min("pos").alias("stop")).scalar()
     due = queue.where(F.col("created_time").isNotNull())
-    return due.where(F.col("pos") < F.coalesce(stop, F.lit(2**63 - 1)))
+    return due.where(F.col("pos") < _stop(queue, now, lookback_hours))
+
+
+def queue_remainder(queue: DataFrame, now: Column, lookback_hours: float) -> DataFrame:
+    """What stays behind the aged prefix: the first young entry and all after it, in their order."""
+    return queue.where(F.col("pos") >= _stop(queue, now, lookback_hours))

@@ -34,7 +34,9 @@ class Store:
         """A stored table; an empty one while nothing has been written."""
         try:
             return self.spark.read.parquet(self.path(table))
-        except AnalysisException:
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
             return self.spark.createDataFrame([], schema)
 
 
@@ -45,12 +47,15 @@ def collect_news(store: Store, items: DataFrame, page_table: DataFrame, blocklis
     """
     stored = store.read("articles", schemas.ARTICLE)
     seen = articles.known_links(stored)
-    sources = articles.link_length_filter(articles.source_from_feed(items.dropDuplicates(["link"])))
+    rest = [c for c in items.columns if c != "link"]
+    once = items.groupBy("link").agg(F.min(F.struct(*rest)).alias("item")).select("link", "item.*")
+    sources = articles.link_length_filter(articles.source_from_feed(once))
     sources = sources.withColumn("item_no", F.col("link"))
     # Links that are known or blocked never reach the pages.
     fresh = articles.drop_blocked_hosts(articles.unseen_links(sources, seen), blocklist)
     raw = pages.extract_pages(page_table.join(fresh.select(F.col("link").alias("url")), "url", "left_semi"))
-    raw = raw.dropDuplicates(["link"]).select(
+    rest = [c for c in raw.columns if c != "link"]
+    raw = raw.groupBy("link").agg(F.min(F.struct(*rest)).alias("page")).select("link", "page.*").select(
         F.col("link").alias("item_no"), "title", "text", "canonical", "pubdate", F.col("authors").alias("page_authors"))
     kept = articles.accept_articles(fresh, raw, seen, blocklist).drop("item_no", "is_short")
     return writers.append_articles(kept, store.path("articles"), now, writers.max_id(stored, "article_id"))
@@ -61,21 +66,32 @@ def due_posts(queue: DataFrame, now: Column, lookback_hours: float) -> DataFrame
     return queues.drain_aged_prefix(queues.queue_entries(queue), now, lookback_hours)
 
 
+def waiting_posts(queue: DataFrame, now: Column, lookback_hours: float) -> DataFrame:
+    """What stays in the queue (pos, value, ...) when due_posts is taken: the young tail, with its order; store it as the next queue.
+
+    Broken entries before the tail are in neither; see queues.rejected_entries.
+    """
+    return queues.queue_remainder(queues.queue_entries(queue.withColumn("entry", F.col("value")), "entry"), now, lookback_hours)
+
+
 def harvest_posts(store: Store, due: DataFrame, posts: DataFrame, comments: DataFrame, extra: DataFrame,
                   cutoff: int, now: Column) -> DataFrame:
     """Due posts and their harvested threads -> submissions and comments, appended; returns the submissions.
 
     ``posts`` are ingested posts by permalink, ``comments`` and ``extra`` carry
-    the permalink of their thread.
+    the permalink of their thread.  What is stored already is not stored again:
+    posts by permalink, comments by their id at the source.
     """
     stored = store.read("submissions", schemas.SUBMISSION)
     single = forum.single_post_threads(posts.withColumn("thread_id", F.col("permalink"))).drop("thread_id")
     ready = forum.submission_gate(single.join(due.select("permalink"), "permalink", "left_semi"), cutoff)
+    ready = ready.join(stored.select("permalink"), "permalink", "left_anti")
     added = writers.append_submissions(
         ready, store.path("submissions"), now, writers.max_id(stored, "submission_id"))
     ids = added.select("permalink", "submission_id")
     known = store.read("comments", schemas.COMMENT)
     rows = forum.all_comments(comments, extra).join(ids, "permalink").drop("permalink")
+    rows = rows.join(known.select("reddit_id"), "reddit_id", "left_anti")
     writers.append_comments(rows, store.path("comments"), now, writers.max_id(known, "comment_id"))
     return added
 

@@ -5,7 +5,15 @@ from __future__ import annotations
 import json
 import random
 
+import datetime
+
+import pytest
+from pyspark.sql import functions as F
+
+from gleaner import schemas
 from gleaner.operators import articles, forum, listings, pages
+from gleaner.plans import jobs
+from gleaner.session import scratch_path
 
 
 def test_batch_equals_accepting_one_by_one(spark):
@@ -46,3 +54,32 @@ def test_pages_without_and_with_two_articles(spark):
     df = spark.createDataFrame(rows, "page_id long, url string, html string")
     got = {r["page_id"]: r["text"] for r in pages.extract_pages(df).collect()}
     assert got == {1: "First part here.\n\nSecond part.", 2: "Only paragraphs here.\n\nAnd another one."}
+
+
+NOW = datetime.datetime(2024, 3, 1)
+
+
+def test_forum_job_twice_and_queue(spark):
+    store = jobs.Store(spark, scratch_path(spark, "store"))
+    old = '{"CreatedTime":"2024-02-01T00:00:00Z","Permalink":"/p/%d"}'
+    young = '{"CreatedTime":"2024-02-29T23:00:00Z","Permalink":"/p/2"}'
+    queue = spark.createDataFrame([(0, old % 0), (1, "{broken"), (2, young), (3, old % 3), (4, "{broken")], "pos long, value string")
+    due = jobs.due_posts(queue, F.lit(NOW), 24.0)
+    assert [r["permalink"] for r in due.collect()] == ["/p/0"]
+    assert sorted(r["pos"] for r in jobs.waiting_posts(queue, F.lit(NOW), 24.0).collect()) == [2, 3, 4]
+    posts = spark.createDataFrame(
+        [("/p/0", "post", "http://a.com/1", NOW, 5, 50, False, False, False)],
+        "permalink string, title string, url string, created_time timestamp, num_comments int, score int, is_deleted boolean, is_self boolean, is_media boolean")
+    comments = spark.createDataFrame([("/p/0", "c1", NOW)], "permalink string, reddit_id string, created_time timestamp")
+    for _ in range(2):
+        jobs.harvest_posts(store, due, posts, comments, comments.limit(0), 30, F.lit(NOW))
+        assert spark.read.parquet(store.path("submissions")).count() == 1
+        assert spark.read.parquet(store.path("comments")).count() == 1
+
+
+def test_only_a_missing_path_is_an_empty_table(spark):
+    store = jobs.Store(spark, scratch_path(spark, "store"))
+    assert store.read("articles", schemas.ARTICLE).count() == 0
+    spark.createDataFrame([("x",)], "v string").write.text(store.path("articles"))
+    with pytest.raises(Exception, match="(?i)parquet"):
+        store.read("articles", schemas.ARTICLE).count()
