@@ -100,7 +100,7 @@ def _signed(damping: float):
         shingle = Shingler()
         for batch in batches:
             rows = []
-            for doc, text in zip(batch["doc_id"], batch["text"], strict=True):
+            for doc, key, text in zip(batch["doc_id"], batch["key"], batch["text"], strict=True):
                 words = shingle.words(text)
                 if not words:
                     rows.append((doc, None, None, None, None))
@@ -112,15 +112,15 @@ def _signed(damping: float):
                     for k in range(ROWS):
                         bands = mixed(bands ^ owner[k::ROWS])
                 node = hashlib.blake2b(" ".join(words).encode("utf-8", "surrogatepass"), digest_size=16).digest()
-                rows.append((doc, node, (owner & np.uint64(0xFFFFFFFF)).astype("<u4").tobytes(), bands.view(np.int64), text))
-            yield pd.DataFrame(rows, columns=["doc_id", "node", "sig", "bands", "text"]).astype({"doc_id": "Int64"})
+                rows.append((doc, node, owner.astype("<u2").tobytes(), bands.view(np.int64), key))
+            yield pd.DataFrame(rows, columns=["doc_id", "node", "sig", "bands", "key"]).astype({"doc_id": "Int64"})
 
     return run
 
 
 @F.pandas_udf(DoubleType())
 def agreement(a: pd.Series, b: pd.Series) -> pd.Series:
-    return pd.Series([float(np.mean(np.frombuffer(x, "<u4") == np.frombuffer(y, "<u4"))) for x, y in zip(a, b, strict=True)])
+    return pd.Series([float(np.mean(np.frombuffer(x, "<u2") == np.frombuffer(y, "<u2"))) for x, y in zip(a, b, strict=True)])
 
 
 @F.pandas_udf(DoubleType())
@@ -143,7 +143,7 @@ def _plausible(least: float) -> float:
     return least - 5.5 * (least * (1 - least) / m) ** 0.5
 
 
-def _linked(pairs: DataFrame, nodes: DataFrame, least: float) -> DataFrame:
+def _linked(pairs: DataFrame, nodes: DataFrame, texts: DataFrame, least: float) -> DataFrame:
     """Pairs (a, b) whose exact similarity is `least` or more; texts travel only for pairs whose signatures allow it."""
     sig = nodes.select("node", "sig")
     near = (
@@ -151,8 +151,7 @@ def _linked(pairs: DataFrame, nodes: DataFrame, least: float) -> DataFrame:
         .filter(agreement("sig_a", "sig_b") >= _plausible(least)).select("a", "b")
     )
     near = pinned(near, "near")
-    text = nodes.select("node", "text")
-    both = near.join(text.toDF("a", "text_a"), "a").join(text.toDF("b", "text_b"), "b")
+    both = near.join(texts.toDF("a", "text_a"), "a").join(texts.toDF("b", "text_b"), "b")
     return both.filter(jaccard("text_a", "text_b") >= least).select("a", "b")
 
 
@@ -160,7 +159,7 @@ def _across(least: float):
     """Pairs of different classes in a block pair (or one block) whose signatures could reach `least`."""
     def run(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values("node", kind="stable")
-        sig = np.stack([np.frombuffer(s, "<u4") for s in group["sig"]])
+        sig = np.stack([np.frombuffer(s, "<u2") for s in group["sig"]])
         nodes, side = group["node"].to_numpy(), group["block"].to_numpy()
         label = pd.factorize(group["root"])[0]
         _, low, high = key
@@ -177,13 +176,19 @@ def _across(least: float):
     return run
 
 
-def links(nodes: DataFrame, least: float = LEAST) -> DataFrame:
-    """Verified links (a, b) that connect every class of `nodes` (node, sig, bands, text)."""
+def links(nodes: DataFrame, docs: DataFrame, least: float = LEAST) -> DataFrame:
+    """Verified links (a, b) that connect every class of `nodes` (node, sig, bands, key); `docs` has (key, text).
+
+    Only the texts of nodes that share a bucket are fetched.
+    """
     members = nodes.select(F.explode("bands").alias("bucket"), "node")
     leaders = members.groupBy("bucket").agg(F.min("node").alias("leader"), F.count("*").alias("n")).filter("n > 1")
     members = pinned(members.join(leaders, "bucket"), "buckets")
+    wanted = nodes.select("node", "key").join(members.select("node").distinct(), "node", "left_semi")
+    texts = docs.join(wanted, "key").groupBy("node").agg(F.first("text").alias("text"))
+    texts = pinned(texts, "texts")
     tested = members.filter("node <> leader").select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct()
-    found = pinned(_linked(tested, nodes, least), "leader_links")
+    found = pinned(_linked(tested, nodes, texts, least), "leader_links")
 
     roots = components(found)
     placed = members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
@@ -195,19 +200,19 @@ def links(nodes: DataFrame, least: float = LEAST) -> DataFrame:
     rest = rest.select("bucket", "node", "root", "block", pairs).join(nodes.select("node", "sig"), "node")
     rest = rest.withColumns({"low": F.least("block", "other"), "high": F.greatest("block", "other")}).drop("other")
     more = rest.groupBy("bucket", "low", "high").applyInPandas(_across(least), "a binary, b binary").distinct()
-    return found.unionByName(pinned(_linked(more, nodes, least), "more_links"))
+    return found.unionByName(pinned(_linked(more, nodes, texts, least), "more_links"))
 
 
 def near_classes(docs: DataFrame, least: float = LEAST, damping: float = 0.0) -> DataFrame:
     """One row per document: doc_id, class_id (smallest doc_id of the class), class_size."""
-    signed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInPandas(
-        _signed(damping), "doc_id long, node binary, sig binary, bands array<long>, text string"
-    )
+    key = F.unhex(F.md5(F.col("text").cast("binary"))).alias("key")
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), key, "text")
+    signed = texts.mapInPandas(_signed(damping), "doc_id long, node binary, sig binary, bands array<long>, key binary")
     signed = pinned(signed, "signed")
     nodes = pinned(
-        signed.filter("node is not null").groupBy("node").agg(*[F.first(c).alias(c) for c in ("sig", "bands", "text")]), "nodes"
+        signed.filter("node is not null").groupBy("node").agg(*[F.first(c).alias(c) for c in ("sig", "bands", "key")]), "nodes"
     )
-    roots = pinned(components(links(nodes, least)), "roots")
+    roots = pinned(components(links(nodes, texts.select("key", "text"), least)), "roots")
     ids = signed.select("doc_id", "node")
     owned = ids.filter("node is not null").groupBy("node").agg(F.min("doc_id").alias("id"), F.count("*").alias("n"))
     owned = owned.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
