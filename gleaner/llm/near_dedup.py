@@ -8,9 +8,10 @@ are, 0 (used by the query, whose similarity is that of sets) makes it the plain
 
 Bands of registers give candidates; a link is a pair whose exact Jaccard of runs is `least` or more, and a class is a connected
 component of links.  Texts with the same words are one node.  In a bucket every node is first tested against one leader.
-Buckets that still hold several classes are searched whole, in blocks of members by signature, and pairs of different classes
-that could reach `least` are tested; inside a class no pair is needed.  With 32 bands of 6, a pair at 0.8 shares no bucket with
-probability 6e-5; the signature filter (5.5 standard deviations) adds less than 1e-7.
+Buckets that still hold several classes are searched whole, in blocks of members by signature: first each node's likeliest
+partner in another class is tested, then all pairs still in different classes that could reach `least`; inside a class no pair
+is needed.  With 32 bands of 6, a pair at 0.8 shares no bucket with
+probability 6e-5; the signature filter (4.5 standard deviations) adds about 1e-5.
 
 Null, empty and wordless texts are alone in their class; repeated rows and copies share a class; rows without an identifier
 take part, but name a class only if no row of it has one; an empty table gives no rows; other columns are ignored.
@@ -140,7 +141,7 @@ def jaccard(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Serie
 
 def _plausible(least: float) -> float:
     m = BANDS * ROWS
-    return least - 5.5 * (least * (1 - least) / m) ** 0.5
+    return least - 4.5 * (least * (1 - least) / m) ** 0.5
 
 
 def _linked(pairs: DataFrame, nodes: DataFrame, texts: DataFrame, least: float) -> DataFrame:
@@ -155,8 +156,11 @@ def _linked(pairs: DataFrame, nodes: DataFrame, texts: DataFrame, least: float)
     return both.filter(jaccard("text_a", "text_b") >= least).select("a", "b")
 
 
-def _across(least: float):
-    """Pairs of different classes in a block pair (or one block) whose signatures could reach `least`."""
+def _across(least: float, best: bool):
+    """Pairs of different classes in a block pair (or one block) whose signatures could reach `least`.
+
+    `best`: of every node only the pair whose signatures agree most.
+    """
     def run(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values("node", kind="stable")
         sig = np.stack([np.frombuffer(s, "<u2") for s in group["sig"]])
@@ -169,8 +173,10 @@ def _across(least: float):
             others = second[second > i] if low == high else second
             others = others[label[others] != label[i]]
             if len(others):
-                hit = others[(sig[others] == sig[i]).mean(axis=1) >= _plausible(least)]
-                out += [(nodes[i], nodes[j]) for j in hit]
+                share = (sig[others] == sig[i]).mean(axis=1)
+                if best:
+                    share = np.where(np.arange(len(others)) == share.argmax(), share, 0.0)
+                out += [(nodes[i], nodes[j]) for j in others[share >= _plausible(least)]]
         return pd.DataFrame(out, columns=["a", "b"])
 
     return run
@@ -190,7 +196,15 @@ def links(nodes: DataFrame, docs: DataFrame, least: float = LEAST) -> DataFrame:
     tested = members.filter("node <> leader").select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct()
     found = pinned(_linked(tested, nodes, texts, least), "leader_links")
 
-    roots = components(found)
+    # First each node's likeliest partner, which joins most of what belongs together; then all that is still apart.
+    for best in (True, False):
+        more = _open_pairs(members, nodes, components(found), least, best)
+        found = pinned(found.unionByName(_linked(more, nodes, texts, least)), "more_links")
+    return found
+
+
+def _open_pairs(members: DataFrame, nodes: DataFrame, roots: DataFrame, least: float, best: bool) -> DataFrame:
+    """Plausible pairs of nodes that share a bucket but, so far, no class."""
     placed = members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     open_ = placed.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo <> hi")
     rest = placed.join(open_.select("bucket"), "bucket", "left_semi").filter("n > 2")
@@ -199,8 +213,7 @@ def links(nodes: DataFrame, docs: DataFrame, least: float = LEAST) -> DataFrame:
     pairs = F.explode(F.sequence(F.lit(0), blocks - 1)).alias("other")
     rest = rest.select("bucket", "node", "root", "block", pairs).join(nodes.select("node", "sig"), "node")
     rest = rest.withColumns({"low": F.least("block", "other"), "high": F.greatest("block", "other")}).drop("other")
-    more = rest.groupBy("bucket", "low", "high").applyInPandas(_across(least), "a binary, b binary").distinct()
-    return found.unionByName(pinned(_linked(more, nodes, texts, least), "more_links"))
+    return rest.groupBy("bucket", "low", "high").applyInPandas(_across(least, best), "a binary, b binary").distinct()
 
 
 def near_classes(docs: DataFrame, least: float = LEAST, damping: float = 0.0) -> DataFrame:
