@@ -46,9 +46,28 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)  # ids that end a pre-token
+        self.ends[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
         self.known: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
+    def _encode(self, words: list[str]) -> None:
+        """Learn words; those of letters only are one pre-token each and are encoded as one text, cut at the ends."""
+        known = self.known
+        plain = [w for w in words if w.isalpha() and w == w.lower()]
+        if plain:
+            ids = np.array(self.tokenizer.encode(" ".join(plain), add_special_tokens=False).ids, dtype="<u4")
+            stops = np.flatnonzero(self.ends[ids]) + 1
+            if len(stops) == len(plain) and stops[-1] == len(ids):
+                spelled, at = ids.tobytes(), 0
+                for w, stop in zip(plain, (4 * stops).tolist(), strict=True):
+                    known[w] = spelled[at:stop]
+                    at = stop
+        rest = [w for w in words if w not in known]
+        for w, e in zip(rest, self.tokenizer.encode_batch(rest, add_special_tokens=False), strict=True):
+            known[w] = np.array(e.ids, dtype="<u4").tobytes()
+
     def _learn(self, words: set[str]) -> None:
         known, old = self.known, self.old
         bare = {}
@@ -63,8 +82,7 @@ class WordEncoder:
         for w in need & old.keys():
             known[w] = old[w]
         new = [w for w in need if w not in known]
-        for w, e in zip(new, self.tokenizer.encode_batch(new, add_special_tokens=False), strict=True):
-            known[w] = np.array(e.ids, dtype="<u4").tobytes()
+        self._encode(new)
         for w, (b, mark) in bare.items():
             known[w] = known[b] + known[mark] if mark else known.get(b, b"")
 
