@@ -20,6 +20,8 @@ import re
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
+from gleaner.llm.common import pinned
+
 RUN = 3
 LEAST = 0.8
 MISS = 1e-4
@@ -118,7 +120,7 @@ def scan(docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES, least: f
     anchor = "(?i)(?<![a-z0-9])(?:" + "|".join(anchors(templates, least)) + ")(?![a-z0-9])"
     rows = docs.filter(text.rlike(anchor)).select(F.col("doc_id").cast("long").alias("doc_id"), _split(text).alias("words"))
     rows = rows.filter(F.size("words") > 0).withColumn("held", F.arrays_overlap("words", F.array(*[F.lit(a) for a in anchors(templates, least)])))
-    rows = rows.filter("held").drop("held")
+    rows = pinned(rows.filter("held").drop("held"), "anchored")  # every class reads these, not the corpus
     found = None
     for window, stride, bands, members in plan(templates, least, miss):
         own = known.filter(F.col("template").isin(members))
