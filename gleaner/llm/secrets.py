@@ -3,7 +3,10 @@
 Base patterns find assigned values, access keys and hex strings.  Further spans come from two character Markov models: one of
 random strings, one of ordinary identifiers.  Both are bigram counts over labelled samples (strings cut from digests of a
 bounded sample of row ids against the words of those rows, counted by Spark) and every other long token is scored by its
-log-likelihood ratio.  A token that overlaps a base span adds nothing.
+log-likelihood ratio.  A token that overlaps a base span adds nothing.  Tokens with slashes are paths or base64: they are cut
+at slashes and equals signs, ordinary parts (words by their shape or their ratio, and what a base span holds) end a run, and
+every run of the other parts is judged as one token, separators counting nothing.  So a base64 key is found whole, unless a part
+of it looks like a word, and a path's words are left.
 
 Matches of one pattern and the text between them come from the same left-to-right search (`regexp_extract_all` and `split`),
 so positions are running lengths in code points.  Null and empty texts have no spans; repeated rows are reported each; an
@@ -24,6 +27,14 @@ HEX = r"[0-9a-f]{24,}"
 #: Tokens that the models judge (they need a letter and a digit; paths and rules of dashes are none), identifiers to learn from.
 TOKEN = r"[A-Za-z0-9+_=-]{20,}"
 LETTER_AND_DIGIT = r"[A-Za-z].*[0-9]|[0-9].*[A-Za-z]"
+#: The same tokens with slashes among their characters, and what parts them.  A part is ordinary with the shape of words in one
+#: case (or capitalised) joined by dashes and underscores, or with less than the ratio ORDINARY and no digit or plus sign.
+SLASHED = r"(?<![A-Za-z0-9+/_=-])(?=[A-Za-z0-9+/_=-]{20})[A-Za-z0-9+_=-]*/[A-Za-z0-9+/_=-]*"
+SEPARATOR = "[/=]"
+_WORD = r"(?:(?:[A-Z]{4,}+|[A-Z]?[a-z]{4,}+)[0-9]{1,4}+|[A-Z]{2,}+|[A-Z]?[a-z]{2,}+|[A-Za-z])"
+WORDS = rf"^(?=.{{4,64}}$){_WORD}(?:[-_]++(?:{_WORD}|[0-9]++))*+$"
+ORDINARY = -6.0
+LEAST_LENGTH = 20
 IDENTIFIER = r"(?<![A-Za-z0-9_])[A-Za-z0-9_]{6,19}(?![A-Za-z0-9_])"
 KINDS = ["assign", "access", "hex", "random"]
 #: Rows whose words and digests train the models, and the log-likelihood ratio (nats) from which a token is reported.
@@ -85,30 +96,56 @@ def markov_ratios(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> list[float
     return [math.log(p(1, a, b) / p(0, a, b)) for a in range(128) for b in range(128)]
 
 
-def _random_spans(text: Column, base: Column, ratios: list[float], least: float) -> Column:
-    table = F.split(F.lit(",".join(f"{x:.4f}" for x in ratios)), ",").cast("array<double>")
+def _cut(text: Column, span: Column) -> Column:
+    return F.substring(text, span["start"] + 1, span["end"] - span["start"])
 
-    def ratio(span: Column) -> Column:
-        token = F.substring(text, span["start"] + 1, span["end"] - span["start"])
-        at = F.sequence(F.lit(1), F.length(token) - 1)
-        code = lambda i: F.ascii(F.substring(token, i, F.lit(1)))
-        return F.aggregate(at, F.lit(0.0), lambda acc, i: acc + F.get(table, code(i) * 128 + code(i + 1)))
 
-    free = F.filter(
-        _spans(text, TOKEN, 3),
-        lambda s: ~F.exists(base, lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"])),
-    )
-    mixed = lambda s: F.substring(text, s["start"] + 1, s["end"] - s["start"]).rlike(LETTER_AND_DIGIT)
-    return F.filter(free, lambda s: mixed(s) & (ratio(s) >= least))
+def _ratio(token: Column, table: Column) -> Column:
+    """Sum of the bigrams' ratios; 0 for less than two characters."""
+    at = F.sequence(F.lit(1), F.length(token) - 1)
+    code = lambda i: F.ascii(F.substring(token, i, F.lit(1)))
+    total = F.aggregate(at, F.lit(0.0), lambda acc, i: acc + F.get(table, code(i) * 128 + code(i + 1)))
+    return F.when(F.length(token) > 1, total).otherwise(0.0)
+
+
+def _overlaps(span: Column, others: Column) -> Column:
+    return F.exists(others, lambda b: (b["start"] < span["end"]) & (span["start"] < b["end"]))
+
+
+def _runs(text: Column, span: Column, base: Column, table: Column) -> Column:
+    """Array of (start, end, ratio) of the runs of a slashed token's parts that are no ordinary words; numbers count nothing."""
+    place = lambda pos, part: F.struct(pos.alias("start"), (pos + F.length(part)).alias("end"))
+    none = F.array().cast("array<struct<start:int,end:int,ratio:double>>")
+    start = F.struct(span["start"].alias("pos"), F.lit(True).alias("cut"), none.alias("out"))
+
+    def step(acc: Column, part: Column) -> Column:
+        own = place(acc["pos"], part)
+        ratio = F.when(part.rlike("^[0-9]*$"), 0.0).otherwise(_ratio(part, table))
+        cut = part.rlike(WORDS) | ((ratio < ORDINARY) & ~part.rlike("[0-9+]")) | _overlaps(own, base)
+        last = F.element_at(acc["out"], -1)
+        new = F.struct(own["start"].alias("start"), own["end"].alias("end"), ratio.alias("ratio"))
+        longer = F.struct(last["start"].alias("start"), own["end"].alias("end"), (last["ratio"] + ratio).alias("ratio"))
+        extended = F.concat(F.slice(acc["out"], 1, F.size(acc["out"]) - 1), F.array(longer))
+        out = F.when(cut, acc["out"]).when(acc["cut"], F.concat(acc["out"], F.array(new))).otherwise(extended)
+        return F.struct((own["end"] + 1).alias("pos"), cut.alias("cut"), out.alias("out"))
+
+    return F.aggregate(F.split(_cut(text, span), SEPARATOR, -1), start, step, lambda acc: acc["out"])
 
 
 def find_secrets(docs: DataFrame, ratios: list[float], least: float = LEAST_RATIO) -> DataFrame:
     """The rows with `secret_spans`: array of (start, kind, end), sorted; kind indexes KINDS, places are code points."""
     text = F.coalesce(F.col("text"), F.lit(""))
+    table = F.split(F.lit(",".join(f"{x:.4f}" for x in ratios)), ",").cast("array<double>")
+    mixed = lambda s: _cut(text, s).rlike(LETTER_AND_DIGIT)
     base = F.concat(_spans(text, ASSIGN, 0, 2, 6), _spans(text, ACCESS, 1), _spans(text, HEX, 2))
     found = docs.withColumn("__base", base)
-    extra = _random_spans(text, F.col("__base"), ratios, least)
-    return found.withColumn("secret_spans", F.array_sort(F.concat("__base", extra))).drop("__base")
+    runs = F.flatten(F.transform(_spans(text, SLASHED, 3), lambda s: _runs(text, s, F.col("__base"), table)))
+    runs = F.filter(runs, lambda r: (r["end"] - r["start"] >= LEAST_LENGTH) & (r["ratio"] >= least) & mixed(r))
+    span = lambda r: F.struct(r["start"].alias("start"), F.lit(3).alias("kind"), r["end"].alias("end"))
+    found = found.withColumn("__taken", F.concat("__base", F.transform(runs, span)))
+    free = F.filter(_spans(text, TOKEN, 3), lambda s: ~_overlaps(s, F.col("__taken")))
+    plain = F.filter(free, lambda s: mixed(s) & (_ratio(_cut(text, s), table) >= least))
+    return found.withColumn("secret_spans", F.array_sort(F.concat("__taken", plain))).drop("__base", "__taken")
 
 
 def redact(docs: DataFrame, ratios: list[float], least: float = LEAST_RATIO, mark: str = "[SECRET]") -> DataFrame:

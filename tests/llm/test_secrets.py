@@ -62,6 +62,32 @@ def test_redaction_removes_every_span(found, spark):
         assert bool(brute(text)) <= ("[SECRET]" in (out[i]["text"] or ""))
 
 
+def test_keys_with_slashes_are_found_whole_and_paths_left(spark):
+    ratios = secrets.markov_ratios(spark.read.parquet("/root/testdata/sf0.001/documents.parquet"))
+    plain, one, two = "Zx8vqLw0Tb+9sVfYk3RmPa7JdHcE2uNg5", "Zx8vqLw0Tb+9sVf/k3RmPa7JdHcE2uNg5Qx1Vb7d", "wJalrXUtnFEMI/K7MDENG/bPxRfiCYEXAMPLEKEY"
+    fine = "Zx8vqLw0Tb/9sVfYk3Rm/Pa7JdHcE2u"  # no part of 20 characters
+    keyed = [
+        ("aws_secret_access_key = {} end", two), ("aws_secret_access_key={} end", two), ("é😀 {}", one), ("{}==", fine), ("/{}/x", one),
+        ("config/production/{}/internal/files", fine), ("cache/objects/{}/internal/repository", plain), ("0123456789abcdef01234567/{}", plain),
+    ]
+    paths = [
+        "/usr/share/doc/python3/dist-packages/README/CHANGELOG", "2024/05/12/some-title-of-the-post-with-10-things/index.html",
+        "src/main/java/com/acme/connection/configuration7", "v1/orders/12345/67890/2024/11/30/x", "https://www.example.com/" + "one/" * 3000 + "1",
+    ]
+    rows = [(i, text.format(key)) for i, (text, key) in enumerate(keyed)] + [(100 + i, p) for i, p in enumerate(paths)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("n_chars", secrets.F.length("text").cast("long"))
+    spans = {r["doc_id"]: r["spans"].split(",") for r in secrets.digest(secrets.find_secrets(docs, ratios)).collect()}
+    clean = {r["doc_id"]: r["text"] for r in secrets.redact(docs, ratios).collect()}
+    for i, (text, key) in enumerate(keyed):
+        own = [tuple(map(int, x.split(":")[1:])) for x in spans[i] if x.startswith("random")]
+        at = text.index("{}")
+        assert any(a <= at and at + len(key) <= b for a, b in own) and len(own) == 1, (text, spans[i])
+        assert not any(part in clean[i] for part in key.split("/"))
+    assert clean[0] == "aws_secret_access_key = [SECRET] end" and clean[1] == "aws_secret_access_key=[SECRET] end"
+    assert clean[5] == "config/production/[SECRET]/internal/files" and clean[6] == "cache/objects/[SECRET]/internal/repository"
+    assert [clean[100 + i] for i in range(len(paths))] == paths
+
+
 def test_empty_table(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert secrets.find_secrets(docs, secrets.markov_ratios(docs)).count() == 0
