@@ -25,7 +25,7 @@ from gleaner.llm.common import pinned
 RUN = 3
 LEAST = 0.8
 MISS = 1e-4
-#: (license, text) of common notices; a parameter of scan().
+#: (license, text) of common notices, and of a passage each from license bodies that hold no notice; a parameter of scan().
 TEMPLATES = [
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
     ("Apache-2.0", "you may not use this file except in compliance with the License. You may obtain a copy of the License at"),
@@ -44,6 +44,31 @@ TEMPLATES = [
     ("BSD", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the"
             " following conditions are met"),
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
+    ("Proprietary", "All rights reserved."),
+    ("LGPL-3.0", "This work is licensed under the GNU Lesser General Public License, version 3."),
+    ("LGPL-2.1", "This work is licensed under the GNU Lesser General Public License, version 2.1."),
+    ("LGPL", "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General"
+             " Public License as published by the Free Software Foundation"),
+    ("AGPL-3.0", "This work is licensed under the GNU Affero General Public License, version 3."),
+    ("AGPL", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General"
+             " Public License as published by the Free Software Foundation"),
+    ("ISC", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted,"
+            " provided that the above copyright notice and this permission notice appear in all copies"),
+    ("ISC", "Released under the ISC License."),
+    ("CC0-1.0", "Licensed under CC0 1.0."),
+    ("CC0-1.0", "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work."),
+    ("Unlicense", "This is free and unencumbered software released into the public domain."),
+    ("Unlicense", "Released under the Unlicense."),
+    ("Apache-2.0", "each Contributor hereby grants to You a perpetual, worldwide, non-exclusive, no-charge, royalty-free, irrevocable"
+                   " copyright license to reproduce, prepare Derivative Works of"),
+    ("GPL-3.0", "The GNU General Public License is a free, copyleft license for software and other kinds of works."),
+    ("AGPL-3.0", "The GNU Affero General Public License is a free, copyleft license for software and other kinds of works"),
+    ("LGPL-3.0", "This version of the GNU Lesser General Public License incorporates the terms and conditions of version 3 of the GNU"
+                 " General Public License"),
+    ("CC0-1.0", "The laws of most jurisdictions throughout the world automatically confer exclusive Copyright and Related Rights"
+                " (defined below) upon the creator and subsequent owner(s)"),
+    ("CC-BY-4.0", "to be bound by the terms and conditions of this Creative Commons Attribution 4.0 International Public License"),
+    ("MPL-2.0", "means Source Code Form to which the initial Contributor has attached the notice in Exhibit A"),
 ]
 
 
@@ -126,12 +151,13 @@ def scan(docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES, least: f
         own = known.filter(F.col("template").isin(members))
         keys = own.select("template", F.explode(_bands(F.col("own"), bands)).alias("key")).select("template", "key.*")
         starts = F.sequence(F.lit(0), F.greatest(F.size("words") - 1, F.lit(0)), F.lit(stride))
-        cut = rows.select("doc_id", "words", F.explode(starts).alias("start"))
-        cut = cut.select("doc_id", "start", F.slice("words", F.col("start") + 1, window).alias("words"))
-        cut = cut.filter(F.arrays_overlap("words", F.array(*[F.lit(a) for a in anchors([templates[i] for i in members], least)])))
+        held = F.arrays_overlap("words", F.array(*[F.lit(a) for a in anchors([templates[i] for i in members], least)]))
+        cut = rows.filter(held).select("doc_id", "words", F.explode(starts).alias("start"))
+        cut = cut.select("doc_id", "start", F.slice("words", F.col("start") + 1, window).alias("words")).filter(held)
         cut = cut.select("doc_id", "start", F.array_distinct(_runs(F.col("words"))).alias("runs"))
         cut = cut.select("doc_id", "start", "runs", F.explode(_bands(F.col("runs"), bands)).alias("key"))
-        pairs = cut.select("doc_id", "start", "runs", "key.*").join(keys, ["band", "low"]).join(own, "template")
+        pairs = cut.select("doc_id", "start", "runs", "key.*").join(F.broadcast(keys), ["band", "low"])
+        pairs = pairs.join(F.broadcast(own), "template")  # both are bounded by the templates
         share = F.size(F.array_intersect("runs", "own")) / F.size("own")
         hits = pairs.select("doc_id", "start", "template", "license", share.alias("share")).filter(F.col("share") >= least)
         near = Window.partitionBy("doc_id").orderBy("start").rangeBetween(-(window // 2), window // 2)

@@ -315,6 +315,38 @@ def test_licenses_match_brute_force(spark):
     assert licenses.scan(frame(spark, [])).count() == 0
 
 
+def test_licenses_find_notices_written_independently(spark):
+    notices = {
+        "This work is licensed under the GNU General Public License, version 3.": {"GPL-3.0"},
+        "All rights reserved.": {"Proprietary"},
+        "Copyright (c) 1999 Some Company, Inc.  ALL RIGHTS RESERVED": {"Proprietary"},
+        "Licensed under CC BY-NC 4.0.": {"CC-BY-NC-4.0"},
+        "Released under the MIT License.": {"MIT"},
+        "Licensed under the Apache License, Version 2.0.": {"Apache-2.0"},
+        "This work is licensed under the GNU Lesser General Public License, version 2.1.": {"LGPL-2.1"},
+        "This work is licensed under the GNU Lesser General Public License, version 3.": {"LGPL-3.0"},
+        "This work is licensed under the GNU Affero General Public License, version 3.": {"AGPL-3.0"},
+        "# This library is free software; you can redistribute it and/or modify it under the\n# terms of the GNU Lesser General Public"
+        " License as published by the Free\n# Software Foundation; either version 2.1 of the License, or any later version.": {"LGPL"},
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public"
+        " License as published by the Free Software Foundation, either version 3 of the License": {"AGPL"},
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public"
+        " License as published by the Free Software Foundation, either version 3 of the License": {"GPL"},
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided"
+        " that the above copyright notice and this permission notice appear in all copies.": {"ISC"},
+        "Licensed under CC0 1.0.": {"CC0-1.0"},
+        "This is free and unencumbered software released into the public domain.": {"Unlicense"},
+        "All the rights were reserved, and the license of this version is under review by the public.": set(),
+    }
+    rng = random.Random(11)
+    texts = ["\n".join([prose(rng, 40), notice, prose(rng, rng.randint(0, 40))]) for notice in notices] + [" \n".join(notices)]
+    got = collections.defaultdict(set)
+    for r in licenses.scan(frame(spark, texts)).collect():
+        got[r["doc_id"]].add(r["license"])
+    assert {n: got[i] for i, n in enumerate(notices)} == notices
+    assert {"Proprietary", "MIT", "Apache-2.0", "CC-BY-NC-4.0", "CC0-1.0", "Unlicense", "ISC"} <= got[len(notices)]
+
+
 # toxicity
 
 
