@@ -6,8 +6,13 @@ those are larger.  One linear scan finds the contiguous region with the highest
 
 Labelled pages are those that mark their article with <article> or <main>: at most `sample_pages` of them (lowest hash of the
 id) give counts, summed by Spark; without any, every word scores 1 and every tag -1.  Menus, page headers, footers, sidebars,
-forms, and containers whose class or id names adverts, notices or comments are no words at any place: they neither add to a
-region nor appear in its text.  Script, style and the like are skipped as raw text.
+forms, and elements with a class, id or role that is the name of adverts, notices or comments are no words at any place: they
+neither add to a region nor appear in its text.  Script, style and the like are skipped as raw text.
+
+The article is never outside by such a name or a form, nor is what holds it: <main>, or the outermost <article> elements that
+stand in nothing outside (all, if every one does) and are no comments.  A form with most of a page's words is no form in this sense.  Containers
+that have such a name as a part of theirs only ("page-with-comments") keep their words, which score negative unless the container
+holds the article, stands in it, or has most of the words.
 
 A block ends at a block-level tag; <br> is white space.  Null and empty pages have empty text; pages without a positive region
 too; repeated rows are extracted each; an empty table gives no rows; other columns are ignored; pages are read whole.
@@ -40,7 +45,7 @@ BLOCKS = frozenset(
 )
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 OUTSIDE = frozenset("head nav footer aside form menu button dialog header".split())
-#: Parts of class, id and role names that mark a container as no content.
+#: Class, id and role names that mark an element as no content; parts of the names of SUSPECT containers make them doubtful.
 NOTICES = frozenset(
     "ad ads advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments commentlist consent cookie "
     "cookies disclaimer disqus footer gdpr masthead menu modal nav navbar navigation newsletter notice popup promo promoted "
@@ -48,63 +53,118 @@ NOTICES = frozenset(
     "toolbar widget".split()
 )
 MARKED = ("article", "main")
+COMMENTS = frozenset("comment comments replies reply".split())
+SUSPECT = frozenset("dd details div dl fieldset li ol section table td ul".split())
+
+
+class _Element:
+    """An open tag, the element around it, and what its names say: by tag, by a whole name, by a part of one."""
+
+    def __init__(self, tag: str, attributes: str, parent: _Element | None) -> None:
+        self.tag, self.parent, self.words = tag, parent, 0
+        self.in_marked = parent is not None and (parent.in_marked or parent.tag in MARKED)
+        self.by_tag = tag in OUTSIDE and tag != "form" and not (tag == "header" and self.in_marked)
+        self.named = self.doubtful = self.comment = False
+        if attributes and tag not in ("html", "body"):
+            names = [(m[1] or m[2] or m[3] or "").lower() for m in _CLASS.finditer(attributes)]
+            self.named = any(not NOTICES.isdisjoint(n.split()) for n in names)
+            self.comment = any(not COMMENTS.isdisjoint(n.split()) for n in names)
+            self.doubtful = tag in SUSPECT and any(not NOTICES.isdisjoint(_NAME.findall(n)) for n in names)
+        if tag == "main" or (tag == "article" and not self.in_marked):
+            self.named = False
+        self.out = self.suspect = False
+
+    def above(self) -> Iterator[_Element]:
+        at = self.parent
+        while at is not None:
+            yield at
+            at = at.parent
+
+
+def _judge(elements: list[_Element], loose: int) -> None:
+    """Settle which elements are outside and which are suspect; `loose` words stand in no element."""
+    tops = [e for e in elements if e.tag in MARKED and not e.in_marked and not e.comment]
+    mains = [e for e in tops if e.tag == "main" and not any(x.by_tag for x in e.above())]
+    free = [e for e in tops if not any(x.by_tag or x.named or x.tag == "form" for x in e.above())]
+    holders = {id(x) for e in mains or free or tops for x in e.above()}
+    for e in elements:
+        e.out = e.by_tag or (e.named and id(e) not in holders)
+    kept = loose
+    for e in reversed(elements):  # children come after their parents; what is outside adds no words
+        if e.out:
+            continue
+        if e.parent is None:
+            kept += e.words
+        else:
+            e.parent.words += e.words
+    for e in elements:
+        if id(e) not in holders and 2 * e.words <= kept:
+            e.out = e.out or e.tag == "form"
+            e.suspect = e.doubtful and not e.in_marked
 
 
-def _outside(tag: str, attributes: str, open_: list[tuple[str, bool]]) -> bool:
-    if tag in OUTSIDE and not (tag == "header" and any(t in MARKED for t, _ in open_)):
-        return True
-    if attributes and tag not in ("html", "body"):
-        for m in _CLASS.finditer(attributes):
-            if not NOTICES.isdisjoint(_NAME.findall((m[1] or m[2] or m[3] or "").lower())):
-                return True
-    return False
-
-
-def tokens(page: str) -> Iterator[tuple[str, str, str, bool]]:
-    """(kind, value, feature, inside a marked article); kinds: word run, tag, block end."""
-    open_: list[tuple[str, bool]] = []
-    out_depth = marked = links = at = 0
+def _parsed(page: str) -> Iterator[tuple[str, str, str, list[_Element]]]:
+    """(kind, value, feature, open elements) of a page's words and tags; kinds: text, tag, end (of a block)."""
+    open_: list[_Element] = []
+    links = at = 0
     block = "body"
     for m in _TOKEN.finditer(page):
-        if m.start() > at and not out_depth:
-            yield "text", page[at:m.start()], f"{block}{'+a' if links else ''}", marked > 0
+        if m.start() > at:
+            yield "text", page[at:m.start()], f"{block}{'+a' if links else ''}", open_
         at = m.end()
         if not m[3]:
             continue
         tag, closing = m[3].lower(), bool(m[2])
-        if not out_depth or closing:
-            if tag in BLOCKS and not out_depth:
-                yield "end", "", "", False
+        if tag in BLOCKS:
+            yield "end", "", "", open_
         if closing:
-            if any(t == tag for t, _ in open_):
+            if any(e.tag == tag for e in open_):
                 while True:
-                    t, out = open_.pop()
-                    out_depth -= out
-                    marked -= t in MARKED
-                    links -= t == "a"
-                    if t == tag:
+                    e = open_.pop()
+                    links -= e.tag == "a"
+                    if e.tag == tag:
                         break
         elif tag not in VOID and not m[4].endswith("/"):
-            if tag in BLOCKS and open_ and open_[-1][0] == "p":  # a block ends an open paragraph
-                out_depth -= open_.pop()[1]
+            if tag in BLOCKS and open_ and open_[-1].tag == "p":  # a block ends an open paragraph
+                open_.pop()
             if tag == "a" and links:  # links don't nest
                 while open_ and links:
-                    t, out = open_.pop()
-                    out_depth -= out
-                    marked -= t in MARKED
-                    links -= t == "a"
-            out = _outside(tag, m[4], open_)
-            if out and not out_depth:
-                yield "end", "", "", False
-            open_.append((tag, out))
-            out_depth += out
-            marked += tag in MARKED
+                    links -= open_.pop().tag == "a"
+            open_.append(_Element(tag, m[4], open_[-1] if open_ else None))
             links += tag == "a"
-        block = next((t for t, _ in reversed(open_) if t in BLOCKS), "body")
-        if not out_depth:
-            yield "tag", tag, f"<{tag}", marked > 0
-    if at < len(page) and not out_depth:
-        yield "text", page[at:], f"{block}{'+a' if links else ''}", marked > 0
+            yield "open", "", "", open_
+        block = next((e.tag for e in reversed(open_) if e.tag in BLOCKS), "body")
+        yield "tag", tag, f"<{tag}", open_
+    if at < len(page):
+        yield "text", page[at:], f"{block}{'+a' if links else ''}", open_
+
+
+def tokens(page: str) -> Iterator[tuple[str, str, str, bool]]:
+    """(kind, value, feature, inside a marked article); kinds: word run, tag, block end."""
+    found, elements, loose = [], [], 0
+    for kind, value, feature, open_ in _parsed(page):
+        at = open_[-1] if open_ else None
+        if kind == "open":
+            elements.append(at)
+        elif kind == "text":
+            n = len(value.split())
+            if at is None:
+                loose += n
+            else:
+                at.words += n
+        found.append((kind, value, feature, at))
+    _judge(elements, loose)
+    state: dict[int, tuple[bool, bool, bool]] = {id(None): (False, False, False)}
+    for e in elements:
+        out, suspect, marked = state[id(e.parent)]
+        state[id(e)] = (out or e.out, suspect or e.suspect, marked or e.tag in MARKED)
+    for kind, value, feature, at in found:
+        out, suspect, marked = state[id(at)]
+        if kind == "open":
+            if at.out and not state[id(at.parent)][0]:
+                yield "end", "", "", False
+        elif not out:
+            yield kind, value, feature + "+s" if suspect and kind == "text" else feature, marked
 
 
 def _counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -130,12 +190,12 @@ def train(pages: DataFrame, sample_pages: int = SAMPLE_PAGES) -> dict[str, float
     weights = {}
     for f in {f for f, _ in counts}:
         odds = math.log((counts.get((f, True), 0) + 1) / (counts.get((f, False), 0) + 1))
-        weights[f] = min(-TAG_COST, odds) if f.startswith("<") else odds
+        weights[f] = min(-TAG_COST, odds) if f.startswith("<") or f.endswith("+s") else odds
     return weights
 
 
 def _weight(weights: dict[str, float], feature: str) -> float:
-    return weights.get(feature, -1.0 if feature.startswith("<") else 1.0)
+    return weights.get(feature, -1.0 if feature.startswith("<") or feature.endswith("+s") else 1.0)
 
 
 def main_text(page: str | None, weights: dict[str, float]) -> str:

@@ -196,6 +196,24 @@ def test_main_text(spark):
     assert html_text.main_text("<!-- open " + "x" * 100000, {}) == ""
 
 
+def test_main_text_keeps_articles_with_suspect_names():
+    body = "<h1>Title words here</h1><p>One two three four five</p><p class='ad-lib'>Six seven eight nine</p>"
+    want = "Title words here\nOne two three four five\nSix seven eight nine"
+    around = "<nav><a>Menu here</a></nav>{}<div id=comments><article class=comment>reader words words</article></div><footer>end</footer>"
+    for page in (
+        f"<main class='content has-sidebar'>{body}</main>", f"<article class='post category-social'>{body}</article>",
+        f"<div id='page-with-comments'><article>{body}</article></div>", f"<main class='widget'><article>{body}</article></main>",
+        f"<div class='widget'><article>{body}</article></div>", f"<form><article>{body}</article></form>",
+        f"<div id='page-with-comments'>{body}</div>", f"<form>{body}</form>",
+        f"<article>{body}<div class='ad'>buy now</div></article><div class='related'><article>other teaser</article></div>",
+    ):
+        assert html_text.main_text("<html><body>" + around.format(page) + "</body></html>", {}) == want, page
+    assert html_text.main_text(f"<html><body><form id=f>{around.format(body)}</form></body></html>", {}) == want
+    assert html_text.main_text(f"<div>{body}</div><div class='left-ads'>buy now now</div>", {}) == want
+    weights = {"p": 0.5, "p+s": html_text._weight({}, "p+s")}
+    assert weights["p+s"] < 0 and html_text.main_text(f"<div class=x-promo><p>a b</p></div><article>{body}</article>", {}) == want
+
+
 # neighbours
 
 
