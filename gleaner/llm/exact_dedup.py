@@ -133,9 +133,12 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 
 def drop_copies(docs: DataFrame) -> DataFrame:
-    """The documents without exact copies: of equal texts, the row with the smallest doc_id stays."""
-    kept = exact_groups(docs).filter("kept").select(F.col("doc_id").alias("__keep"), F.col("text_sha256"))
-    return docs.join(kept.select("__keep").distinct(), docs["doc_id"].eqNullSafe(F.col("__keep")), "left_semi")
+    """The documents without exact copies: of equal texts, one row with the smallest doc_id stays."""
+    norm = F.regexp_replace(F.coalesce(F.col("text"), F.lit("")), SPACE, " ")
+    rows = docs.withColumn("__sha", F.sha2(norm.cast("binary"), 256)).dropDuplicates(["doc_id", "__sha"])
+    kept = exact_groups(docs).filter("kept").select(F.col("doc_id").alias("__keep"), F.col("text_sha256").alias("__kept_sha")).distinct()
+    same = rows["doc_id"].eqNullSafe(F.col("__keep")) & (F.col("__sha") == F.col("__kept_sha"))
+    return rows.join(kept, same, "left_semi").drop("__sha")
 
 
 ORACLE = r"""

@@ -104,7 +104,7 @@ def _signed(damping: float):
             for doc, key, text in zip(batch["doc_id"], batch["key"], batch["text"], strict=True):
                 words = shingle.words(text)
                 if not words:
-                    rows.append((doc, None, None, None, None))
+                    rows.append((doc, None, None, None, key))
                     continue
                 with np.errstate(over="ignore"):
                     runs, counts = np.unique(shingle(words), return_counts=True)
@@ -216,8 +216,8 @@ def _open_pairs(members: DataFrame, nodes: DataFrame, roots: DataFrame, least: f
     return rest.groupBy("bucket", "low", "high").applyInPandas(_across(least, best), "a binary, b binary").distinct()
 
 
-def near_classes(docs: DataFrame, least: float = LEAST, damping: float = 0.0) -> DataFrame:
-    """One row per document: doc_id, class_id (smallest doc_id of the class), class_size."""
+def _classes(docs: DataFrame, least: float, damping: float) -> DataFrame:
+    """One row per document: doc_id, key (of its text), root (null without words), class_id, class_size."""
     key = F.unhex(F.md5(F.col("text").cast("binary"))).alias("key")
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), key, "text")
     signed = texts.mapInPandas(_signed(damping), "doc_id long, node binary, sig binary, bands array<long>, key binary")
@@ -226,18 +226,28 @@ def near_classes(docs: DataFrame, least: float = LEAST, damping: float = 0.0) ->
         signed.filter("node is not null").groupBy("node").agg(*[F.first(c).alias(c) for c in ("sig", "bands", "key")]), "nodes"
     )
     roots = pinned(components(links(nodes, texts.select("key", "text"), least)), "roots")
-    ids = signed.select("doc_id", "node")
+    ids = signed.select("doc_id", "node", "key")
     owned = ids.filter("node is not null").groupBy("node").agg(F.min("doc_id").alias("id"), F.count("*").alias("n"))
     owned = owned.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     classes = owned.groupBy("root").agg(F.min("id").alias("class_id"), F.sum("n").alias("class_size"))
-    of_node = owned.select("node", "root").join(classes, "root").select("node", "class_id", "class_size")
+    of_node = owned.select("node", "root").join(classes, "root").select("node", "root", "class_id", "class_size")
     return ids.join(of_node, "node", "left").select(
-        "doc_id", F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"),
+        "doc_id", "key", "root", F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"),
         F.coalesce("class_size", F.lit(1)).cast("long").alias("class_size"),
     )
 
 
+def near_classes(docs: DataFrame, least: float = LEAST, damping: float = 0.0) -> DataFrame:
+    """One row per document: doc_id, class_id (smallest doc_id of the class), class_size."""
+    return _classes(docs, least, damping).select("doc_id", "class_id", "class_size")
+
+
 def drop_near(docs: DataFrame, least: float = LEAST) -> DataFrame:
-    """One document of each class stays: the one with the smallest doc_id."""
-    kept = near_classes(docs, least).filter("doc_id <=> class_id").select(F.col("doc_id").alias("__keep")).distinct()
-    return docs.join(kept, docs["doc_id"].eqNullSafe(F.col("__keep")), "left_semi")
+    """One row of each class stays: one with the smallest doc_id; of texts without words, one of each repeated row."""
+    own = _classes(docs, least, 0.0).filter("doc_id <=> class_id")
+    one = own.filter("root is not null").groupBy("root").agg(F.first("doc_id").alias("doc_id"), F.min("key").alias("key"))
+    kept = own.filter("root is null").select("doc_id", "key").distinct().unionByName(one.select("doc_id", "key"))
+    kept = kept.select(F.col("doc_id").alias("__keep"), F.col("key").alias("__kept_key"))
+    rows = docs.withColumn("__key", F.unhex(F.md5(F.col("text").cast("binary")))).dropDuplicates(["doc_id", "__key"])
+    same = rows["doc_id"].eqNullSafe(F.col("__keep")) & F.col("__key").eqNullSafe(F.col("__kept_key"))
+    return rows.join(kept, same, "left_semi").drop("__key")

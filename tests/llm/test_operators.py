@@ -98,6 +98,18 @@ def test_near_classes_match_brute_force(spark):
     assert all(r["class_size"] == sizes[r["class_id"]] for r in rows)
 
 
+def test_stages_keep_one_of_repeated_rows(spark):
+    a, b = "one two three four five six seven eight", "other words " * 20
+    rows = [(1, a), (1, a), (1, b), (2, a), (0, b), (None, a), (None, "alone here"), (None, "alone here"), (None, "only this"), (3, "x y"), (3, "p q")]
+    rows += [(4, None), (4, None), (5, "!!"), (5, "!!"), (6, "a\tb"), (6, "a b")]
+    docs = frame(spark, [t for _, t in rows], [i for i, _ in rows])
+    want = [(None, "alone here"), (None, "only this"), (0, b), (1, a), (3, "p q"), (3, "x y"), (4, ""), (5, "!!"), (6, "a b")]
+    for stage in (exact_dedup.drop_copies, near_dedup.drop_near):
+        kept = stage(docs)
+        got = [(r["doc_id"], re.sub(r"\s", " ", r["text"] or "")) for r in kept.collect()]
+        assert sorted(got, key=str) == sorted(want, key=str) and kept.columns == docs.columns
+
+
 def test_near_classes_empty(spark):
     assert near_dedup.near_classes(frame(spark, [])).count() == 0
     assert near_dedup.near_classes(frame(spark, [None, ""])).count() == 2
