@@ -7,7 +7,10 @@ import os
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from gleaner.llm import ann, exact_dedup, html_text, licenses, near_dedup, packing, sampled_pieces, secrets, token_counts, toxicity
+from gleaner.llm import (
+    ann, exact_dedup, gray_index, html_text, licenses, near_dedup, packing, periodic_runs, sampled_pieces, secrets, token_alignment,
+    token_counts, toxicity,
+)
 from gleaner.llm.common import table
 
 #: Folder of the tokenizer files; a parameter, as they are never part of the repository.
@@ -58,5 +61,21 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), f"{TOKENIZERS}/word_bpe_49k.json")
 
 
-QUERIES = {f.__name__: f for f in (op1_licenses, op2_html_text, op3_nearest, op4_secrets, op5_toxicity, op6_token_counts, op7_sampled_pieces, op8_near_dedup, op9_exact_dedup, op10_packing)}
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs.find_runs(table(spark, sf_dir, "documents"))
+
+
+def op12_gray_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return gray_index.near_components(table(spark, sf_dir, "documents"))
+
+
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return token_alignment.align(docs, f"{TOKENIZERS}/byte_bpe_50k.json", f"{TOKENIZERS}/piece_bpe_32k.model")
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_licenses, op2_html_text, op3_nearest, op4_secrets, op5_toxicity, op6_token_counts, op7_sampled_pieces, op8_near_dedup,
+    op9_exact_dedup, op10_packing, op11_periodic_runs, op12_gray_index, op13_token_alignment,
+)}
 ORACLES = {"op9_exact_dedup": exact_dedup.ORACLE}
