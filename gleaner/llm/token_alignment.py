@@ -245,11 +245,11 @@ def _chunk_rows(known: Aligner, chunk: int, docs: list[tuple], vector: np.ndarra
         row = {"chunk": chunk, "kind": 0, "nth": nth, "doc_id": doc, "n_a": 0, "n_b": 0, "n_groups": 0, "n_links": 0, "groups_sha256": sha}
         if own is not None:
             n_a, n_b, n_groups, n_links = sums[own].sum(axis=0).tolist()
-            mine, count = np.unique(place[at:at + len(own)], return_counts=True)
+            here = place[at:at + len(own)]
             at += len(own)
-            row |= {"n_a": n_a, "n_b": n_b, "n_groups": n_groups, "n_links": n_links,
-                    "x": mine.astype("<i4").tobytes(), "y": count.astype("<i4").tobytes()}
+            row |= {"n_a": n_a, "n_b": n_b, "n_groups": n_groups, "n_links": n_links, "x": here.astype("<i4").tobytes()}
             # Each pair once for each document.
+            mine = np.unique(here)
             held.append(np.unique(pair_no[spread(start[mine], size[mine])]))
             waiting += len(held[-1])
             if waiting > AT_ONCE:
@@ -338,9 +338,8 @@ def _summed_up(same: np.ndarray, identical: np.ndarray, best: np.ndarray):
         of_unit = np.zeros((len(size) + 1, 2), dtype=np.int64)
         np.add.at(of_unit, unit, np.column_stack([often * (count == best[a]), often * count]))
         n = [len(x) // 4 if x else 0 for x in docs["x"].to_pylist()]
-        mine, times = _joined(docs["x"].to_pylist(), "<i4"), _joined(docs["y"].to_pylist(), "<i4")
         of_doc = np.zeros((len(docs), 2), dtype=np.int64)
-        np.add.at(of_doc, np.repeat(np.arange(len(docs)), n), of_unit[mine] * times[:, None])
+        np.add.at(of_doc, np.repeat(np.arange(len(docs)), n), of_unit[_joined(docs["x"].to_pylist(), "<i4")])
         out = docs.select(["doc_id", "n_a", "n_b", "n_groups", "n_links"])
         out = out.append_column("n_best", pa.array(of_doc[:, 0])).append_column("count_sum", pa.array(of_doc[:, 1]))
         return out.append_column("groups_sha256", docs["groups_sha256"]).cast(ALIGNED)
