@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from gleaner.catalog.registry import now, query
 from gleaner.functions import fields
-from gleaner.operators import forum, queues
-from gleaner.session import scratch_path
+from gleaner.operators import forum, queues, threads
+from gleaner.plans import jobs
+from gleaner.session import scratch_path, written
 from gleaner.sources import writers
 
 NOW = "TIMESTAMP '2024-03-01 00:00:00'"
@@ -101,6 +103,161 @@ def _(t):
     return forum.flatten_comments(t("fx_comment"))
 
 
+DEEP = """
+WITH RECURSIVE tree AS (
+  SELECT comment_id, submission_id, 1 AS depth, [CAST(0 AS BIGINT), comment_id] AS path FROM fx_deep_comment WHERE parent_id IS NULL
+  UNION ALL
+  SELECT c.comment_id, c.submission_id, p.depth + 1,
+         list_concat(list_transform(p.path, lambda x, i: CASE WHEN i % 2 = 1 THEN 1 ELSE x END), [CAST(0 AS BIGINT), c.comment_id])
+  FROM fx_deep_comment c JOIN tree p ON c.parent_id = p.comment_id)"""
+
+
+@query("flatten_deep_comments", DEEP + """
+SELECT comment_id, submission_id, CAST(depth AS INTEGER) AS depth, row_number() OVER (PARTITION BY submission_id ORDER BY path) AS pos
+FROM tree""")
+def _(t):
+    """Documents as threads of 200 comments, about 160 deep."""
+    return forum.flatten_comments(t("fx_deep_comment")).select("comment_id", "submission_id", "depth", "pos")
+
+
+@query("rejected_comments", DEEP + """
+SELECT comment_id, submission_id, CASE WHEN comment_id % 400 IN (14, 19) THEN 'cycle' ELSE 'orphan' END AS fault
+FROM fx_deep_comment WHERE comment_id NOT IN (SELECT comment_id FROM tree)""")
+def _(t):
+    """Comments below a missing one, and two that are each other's parent."""
+    return forum.rejected_comments(t("fx_deep_comment"))
+
+
+# -- landed threads ---------------------------------------------------------------------
+
+def _landed(t):
+    """Documents as landed threads (permalink, value) of 50 comments: a chain, and beside every fourth of it a leaf after it.
+
+    Every fourth thread is cut off, some hold two posts, every second has a "load more" node.
+    """
+    k = F.col("doc_id") % 50
+    parent = F.when(k == 0, F.concat(F.lit("t3_"), F.floor(F.col("doc_id") / 50))).otherwise(
+        F.concat(F.lit("t1_c"), F.when(k % 5 == 0, F.col("doc_id") - 2).otherwise(F.col("doc_id") - 1)))
+    text = F.when(F.col("doc_id") % 9 == 0, F.lit("[deleted]")).otherwise(F.col("text"))
+    data = F.to_json(F.struct(
+        F.concat(F.lit("c"), "doc_id").alias("id"), parent.alias("parent_id"), (F.col("doc_id") * 60 + 1704067200.5).alias("created_utc"),
+        F.col("source").alias("author"), text.alias("body"), (F.col("doc_id") % 7).alias("ups"),
+        F.when(k % 2 == 0, F.col("doc_id") % 3).alias("downs")))
+    rows = t("documents").select("doc_id", F.floor(F.col("doc_id") / 50).alias("thread"), (k % 5 == 4).alias("leaf"), data.alias("data"))
+    order = Window.partitionBy("thread").orderBy("doc_id")
+    leaf = F.concat(F.lit('{"kind":"t1","data":'), F.expr("left(data, length(data) - 1)"), F.lit(',"replies":""}}'))
+    head = F.concat(F.lit('{"kind":"t1","data":'), F.expr("left(data, length(data) - 1)"),
+                    F.lit(',"replies":{"kind":"Listing","data":{"children":['))
+    rows = rows.withColumn("leaf_text", F.when(F.col("leaf"), leaf))
+    tail = F.concat(F.lit("]}}}}"), F.coalesce(F.concat(F.lit(","), F.lag("leaf_text").over(order)), F.lit("")))
+    rows = rows.select("thread", "doc_id", "leaf_text", F.when(~F.col("leaf"), head).alias("head"), F.when(~F.col("leaf"), tail).alias("tail"))
+    all_ = F.array_sort(F.collect_list(F.struct("doc_id", "leaf_text", "head", "tail"))).alias("rows")
+    heads, tails = (F.transform(F.col(f"rows.{n}"), lambda x: F.coalesce(x, F.lit(""))) for n in ("head", "tail"))
+    last = F.coalesce(F.element_at("rows", -1)["leaf_text"], F.lit(""))
+    comments = F.concat(F.array_join(heads, ""), last, F.array_join(F.reverse(tails), ""))
+    ids = F.array_join(F.transform(F.sequence(F.lit(1), F.when(F.col("thread") % 3 == 0, 150).otherwise(F.col("thread") % 5 + 1)),
+                                   lambda i: F.concat(F.lit('"x'), F.lpad(i.cast("string"), 3, "0"), F.lit('"'))), ",")
+    more = F.when(F.col("thread") % 2 == 0, F.concat(
+        F.lit(',{"kind":"more","data":{"id":"m'), "thread", F.lit('","children":['), ids, F.lit("]}}"))).otherwise("")
+    post = F.concat(F.lit('{"kind":"t3","data":{"name":"t3_'), "thread", F.lit('","title":"post '), "thread",
+                    F.lit('","created_utc":1704067200.7,"num_comments":60,"score":'), F.col("thread") * 13 % 50, F.lit("}}"))
+    twice = F.when(F.col("thread") % 7 == 2, F.concat(F.lit(","), post)).otherwise("")
+    listing = '{"kind":"Listing","data":{"children":['
+    value = F.concat(F.lit("[" + listing), post, twice, F.lit("]}}," + listing), comments, more, F.lit("]}}]"))
+    value = F.when(F.col("thread") % 4 == 3, F.substring(value, F.lit(1), (F.length(value) / 2).cast("int"))).otherwise(value)
+    grouped = rows.groupBy("thread").agg(all_)
+    return grouped.select(F.concat(F.lit("/r/x/"), "thread").alias("permalink"), value.alias("value"))
+
+
+# Which threads are whole, and the comments in them with their places.
+THREADS = """
+d AS (SELECT doc_id, doc_id // 50 AS thread, doc_id % 50 AS k, source, text FROM documents),
+ends AS (SELECT max(doc_id) AS last FROM documents),
+c AS (
+  SELECT concat('/r/x/', CAST(thread AS VARCHAR)) AS permalink, thread,
+         CASE WHEN k % 5 = 4 AND k < 49 AND doc_id < last THEN k + 2 WHEN k % 5 = 0 AND k > 0 THEN k ELSE k + 1 END AS pos,
+         CAST(CASE WHEN k % 5 = 4 THEN k - 1 - (k - 1) // 5 + 2 ELSE k - k // 5 + 1 END AS INTEGER) AS depth,
+         concat('c', CAST(doc_id AS VARCHAR)) AS reddit_id,
+         CASE WHEN k = 0 THEN concat('t3_', CAST(thread AS VARCHAR))
+              ELSE concat('t1_c', CAST(CASE WHEN k % 5 = 0 THEN doc_id - 2 ELSE doc_id - 1 END AS VARCHAR)) END AS parent_id,
+         make_timestamp((1704067200 + doc_id * 60) * 1000000) AS created_time, source AS user_name,
+         CASE WHEN doc_id % 9 = 0 THEN '[deleted]' ELSE text END AS body, CAST(NULL AS VARCHAR) AS body_html,
+         CAST(doc_id % 7 AS INTEGER) AS up_votes, CAST(CASE WHEN k % 2 = 0 THEN doc_id % 3 ELSE 0 END AS INTEGER) AS down_votes,
+         doc_id % 9 = 0 AS is_deleted
+  FROM d, ends WHERE thread % 4 <> 3 AND thread % 7 <> 2)"""
+
+# Those of them that are due and pass the gate, with their ids.
+READY = THREADS + """,
+s AS (SELECT thread, 999 + row_number() OVER (ORDER BY concat('/r/x/', CAST(thread AS VARCHAR))) AS submission_id
+      FROM (SELECT DISTINCT thread FROM c WHERE thread % 10 <> 9 AND thread * 13 % 50 >= 10)),
+big AS (SELECT thread FROM s WHERE thread % 6 = 0)"""
+
+
+def _parsed(t):
+    return written(threads.parse_threads(_landed(t)), "threads")
+
+
+@query("ingest_comments", f"WITH {THREADS} SELECT * EXCLUDE (thread) FROM c")
+def _(t):
+    """Comments of nested threads, about 40 levels deep, as a list with places."""
+    whole = _parsed(t).where("n_posts = 1")
+    comments = threads.thread_comments(threads.thread_nodes(whole))
+    return comments.withColumn("created_time", F.date_trunc("second", "created_time"))
+
+
+@query("rejected_threads", """
+SELECT DISTINCT concat('/r/x/', CAST(doc_id // 50 AS VARCHAR)) AS permalink,
+       CASE WHEN doc_id // 50 % 4 = 3 THEN 'broken' ELSE 'several posts' END AS fault
+FROM documents WHERE doc_id // 50 % 4 = 3 OR doc_id // 50 % 7 = 2""")
+def _(t):
+    return threads.rejected_threads(_parsed(t))
+
+
+def _harvest(t):
+    """The whole forum job on landed threads into an empty store."""
+    store = jobs.Store(t.spark, scratch_path(t.spark, "store"))
+    landed = written(_landed(t), "landed")
+    number = F.substring_index("permalink", "/", -1).cast("long")
+    due = landed.where(number % 10 != 9).select("permalink")
+    extra = t.spark.createDataFrame([], "permalink STRING, reddit_id STRING, parent_id STRING, created_time TIMESTAMP, user_name STRING, "
+                                    "body STRING, body_html STRING, up_votes INT, down_votes INT, is_deleted BOOLEAN")
+    jobs.harvest_threads(store, due, landed, extra, 70, now())
+    return store
+
+
+@query("harvest_threads", f"""
+WITH {READY}
+SELECT 999 + row_number() OVER (ORDER BY submission_id, pos) AS comment_id, submission_id, c.* EXCLUDE (permalink, thread, pos, depth),
+       {NOW} AS data_entry_time
+FROM c JOIN s USING (thread)""")
+def _(t):
+    """The comments that the forum job stores."""
+    return t.spark.read.parquet(_harvest(t).path("comments"))
+
+
+@query("fetch_plan", f"""
+WITH {READY},
+ids AS (SELECT thread, unnest(generate_series(1, 150)) AS i FROM big)
+SELECT concat('/r/x/', CAST(thread AS VARCHAR)) AS permalink, concat('m', CAST(thread AS VARCHAR)) AS more_id,
+       CAST((i - 1) // 100 AS BIGINT) AS batch_no, CAST(count(*) AS INTEGER) AS n_ids,
+       string_agg(concat('x', lpad(CAST(i AS VARCHAR), 3, '0')), ',' ORDER BY i) AS batch
+FROM ids GROUP BY ALL""")
+def _(t):
+    """The batches of ids that the forum job wants loaded next."""
+    return t.spark.read.parquet(_harvest(t).path("fetches"))
+
+
+@query("run_counts", f"""
+WITH {READY}
+SELECT (SELECT count(DISTINCT doc_id // 50) FROM documents
+        WHERE doc_id // 50 % 10 <> 9 AND (doc_id // 50 % 4 = 3 OR doc_id // 50 % 7 = 2)) AS rejected_threads,
+       (SELECT count(*) FROM s) AS submissions, (SELECT count(*) FROM c JOIN s USING (thread)) AS comments,
+       (SELECT 2 * count(*) FROM big) AS fetches""")
+def _(t):
+    """What the forum job reports, counted by the writes themselves."""
+    return _harvest(t).summary()
+
+
 @query("all_comments", """
 SELECT comment_id, submission_id, body FROM fx_comment UNION ALL
 SELECT comment_id + 1000000, submission_id, body FROM fx_comment""")
@@ -183,7 +340,6 @@ SELECT thread_id, more_id, n_children, row_number() OVER (PARTITION BY thread_id
 FROM ({SELECTED})""")
 def _(t):
     """The fetch order inside a thread: at most 33 nodes."""
-    from pyspark.sql.window import Window
     order = Window.partitionBy("thread_id").orderBy(F.desc("n_children"), "more_id")
     return forum.select_more_batches(_nodes(t)).select(
         "thread_id", "more_id", "n_children", F.row_number().over(order).cast("long").alias("place"))

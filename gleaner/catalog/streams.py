@@ -7,17 +7,21 @@ from pyspark.sql import functions as F
 from gleaner.catalog.logging import COUNTS
 from gleaner.catalog.news import DEDUP
 from gleaner.catalog.registry import query
-from gleaner.operators import bars
 from gleaner.session import scratch_path
 from gleaner.streaming import jobs
 
 
 def _slices(t, df, by: str, n: int = 3):
-    """Land the whole table as ``n`` files, each with every n-th value of ``by``, and stream them one by one."""
-    path = scratch_path(t.spark, "landed")
+    """Land the whole table in ``n`` batches, each with every n-th value of ``by``, and stream them one by one."""
+    return _batches(t, df, F.pmod(F.col(by), F.lit(n)), n)
+
+
+def _batches(t, df, number, n: int):
+    """Land the rows in ``n`` batches by their number; each batch has the same number of files."""
+    path, files = scratch_path(t.spark, "landed"), 4
     for i in range(n):
-        df.where(F.pmod(F.col(by), F.lit(n)) == i).coalesce(1).write.mode("append").parquet(path)
-    return jobs.landed(t.spark, path, df.schema, 1)
+        df.where(number == i).repartition(files).write.option("maxRecordsPerFile", 0).mode("append").parquet(path)
+    return jobs.landed(t.spark, path, df.schema, files)
 
 
 @query("post_stream", """
@@ -39,11 +43,11 @@ def _(t):
 SELECT permalink, created_time FROM fx_queue
 WHERE created_time <= (SELECT max(CAST(ts AS TIMESTAMP)) FROM events) - INTERVAL '36' HOUR""")
 def _(t):
-    """Posts that arrive at their event time, some dated later, released after 36 hours."""
+    """Posts that arrive at their event time in five batches, out of order, some dated later; released after 36 hours."""
     arrival = t("events").select(F.col("event_id").alias("pos"), F.col("ts").cast("timestamp").alias("arrived"))
     queue = t("fx_queue").join(arrival, "pos")
     out, checkpoint = jobs.stream_paths(t.spark, "released")
-    jobs.stream_delayed_release(_slices(t, queue, "pos"), 36.0, out, checkpoint)
+    jobs.stream_delayed_release(_slices(t, queue, "pos", 5), 36.0, out, checkpoint)
     return t.spark.read.parquet(f"{out}/released").select("permalink", "created_time")
 
 
@@ -61,12 +65,14 @@ def _(t):
        "CAST(published AS TIMESTAMP) AS source_published_time FROM fx_raw JOIN (SELECT item_no, published FROM fx_feed) "
        "USING (item_no)) " + DEDUP.format(rows="a0"))
 def _(t):
-    """All articles in one micro-batch, where stream and batch rule agree."""
+    """Articles in three batches by time, with links that recur across batches; accepted as if one by one."""
     rows = t("fx_raw").select("item_no", "link", F.nullif("canonical", F.lit("")).alias("canonical_link")).join(
         t("fx_feed").select("item_no", F.col("published").alias("source_published_time")), "item_no")
     out, checkpoint = jobs.stream_paths(t.spark, "articles")
-    jobs.stream_dedup_articles(_slices(t, rows, "item_no", 1), out, checkpoint)
-    return t.spark.read.parquet(out).drop("batch")
+    # Times run over 4000 steps of ten minutes.
+    step = (F.unix_timestamp("source_published_time") - F.unix_timestamp(F.lit("2024-01-01 00:00:00").cast("timestamp"))) / 600
+    jobs.stream_dedup_articles(_batches(t, rows, F.least(F.floor(step / 1334), F.lit(2)), 3), out, checkpoint)
+    return t.spark.read.parquet(f"{out}/accepted").drop("batch")
 
 
 @query("stream_new_bars", f"""
@@ -76,16 +82,14 @@ second_batch AS (
   SELECT i.* FROM (SELECT * EXCLUDE (is_new) FROM fx_bars WHERE is_new) i
   WHERE i.num_trades > 0 AND i.volume > 0 AND i.open > 0 AND i.close > 0
     AND i.data_time > coalesce((SELECT max(s.data_time) FROM first_batch s WHERE s.listing_id = i.listing_id), TIMESTAMP '1900-01-01'))
-SELECT listing_id, count(*) AS n_bars, min(data_time) AS first_time, max(data_time) AS last_time
-FROM (SELECT * FROM first_batch UNION ALL SELECT * FROM second_batch) GROUP BY listing_id""")
+SELECT * FROM first_batch UNION ALL SELECT * FROM second_batch""")
 def _(t):
-    """Stored bars as the first micro-batch, incoming ones as the second, summed per listing."""
+    """Stored bars as the first micro-batch, incoming ones as the second."""
     rows = t("fx_bars").withColumn("part", F.col("is_new").cast("int")).drop("is_new")
     out, checkpoint = jobs.stream_paths(t.spark, "bars")
     stream = _slices(t, rows, "part", 2)
     jobs.stream_new_bars(stream.drop("part"), out, checkpoint)
-    kept = t.spark.read.parquet(f"{out}/bars")
-    return bars.batch_bounds(kept)
+    return t.spark.read.parquet(f"{out}/bars").drop("batch")
 
 
 @query("stream_capped_list", """
@@ -95,7 +99,7 @@ def _(t):
     events = t("events").select("user_id", "event_id", F.col("ts").cast("timestamp").alias("ts"))
     out, checkpoint = jobs.stream_paths(t.spark, "lists")
     jobs.stream_capped_list(_slices(t, events, "event_id"), "user_id", ["ts", "event_id"], 15, out, checkpoint)
-    return jobs.last_result(t.spark, out).select("user_id", "event_id", "rank")
+    return jobs.read_capped_lists(t.spark, out, "user_id").select("user_id", "event_id", "rank")
 
 
 @query("stream_log_counts", COUNTS)

@@ -162,6 +162,15 @@ SELECT conv_id * 100 + turn AS comment_id,
 FROM conversations
 """
 
+# Threads of 200 comments: a chain with a leaf beside every fifth; in every second thread a missing parent and a circle of two.
+VIEWS["fx_deep_comment"] = """
+SELECT doc_id AS comment_id, doc_id - doc_id % 200 AS submission_id,
+       CASE WHEN doc_id % 200 = 0 THEN NULL WHEN doc_id % 400 = 333 THEN -1 - doc_id
+            WHEN doc_id % 400 = 14 THEN doc_id + 5 WHEN doc_id % 400 = 19 THEN doc_id - 5
+            WHEN doc_id % 5 = 0 THEN doc_id - 2 ELSE doc_id - 1 END AS parent_id
+FROM documents
+"""
+
 # Parent table of the key check: every seventh conversation is missing from it.
 VIEWS["fx_thread"] = """
 SELECT DISTINCT CASE WHEN conv_id % 7 = 0 THEN -1 - conv_id ELSE conv_id END AS submission_id FROM conversations

@@ -17,12 +17,15 @@ FOUND_SHARE = 0.667
 MAX_DEPTH, MIN_CHILDREN, MAX_CALLS, IDS_PER_CALL = 6, 2, 32, 100
 
 
-def ingest_submissions(lines: DataFrame, column: str = "value") -> DataFrame:
-    """Post JSON -> submission columns; epoch seconds become timestamps, absent flags false and absent counts 0."""
-    no, zero = F.lit(False), F.lit(0)
+def ingest_submissions(lines: DataFrame, column: str = "value", keep: list[str] | None = None) -> DataFrame:
+    """Post JSON -> submission columns; epoch seconds become timestamps, absent flags false and absent counts 0.
+
+    ``keep`` names further columns of ``lines``; one that is a submission column replaces the post's own.
+    """
+    no, zero, keep = F.lit(False), F.lit(0), keep or []
     post = F.from_json(F.col(column), schemas.POST_JSON)
-    return lines.select(post.alias("p")).select(
-        F.col("p.name").alias("reddit_id"), "p.title", "p.url", "p.permalink",
+    return lines.select(post.alias("p"), *keep).select(
+        *keep, F.col("p.name").alias("reddit_id"), "p.title", "p.url", *([] if "permalink" in keep else ["p.permalink"]),
         fields.epoch_to_ts(F.col("p.created_utc")).alias("created_time"),
         F.col("p.author").alias("user_name"), F.col("p.subreddit").alias("subreddit_name"), "p.subreddit_id",
         "p.selftext", "p.selftext_html", F.coalesce("p.num_comments", zero).alias("num_comments"), F.coalesce("p.score", zero).alias("score"),
@@ -68,41 +71,67 @@ def all_comments(base: DataFrame, extra: DataFrame) -> DataFrame:
     return base.unionByName(extra)
 
 
-def flatten_comments(comments: DataFrame) -> DataFrame:
-    """Comment trees as lists: adds ``depth`` and ``pos``, the place in the thread's list.
+def comment_paths(comments: DataFrame) -> DataFrame:
+    """(comment_id, submission_id, path, fault): ``path`` holds the ids from the top-level comment down to the comment.
 
-    All siblings come first, then the subtree of each sibling in turn.  Input
-    is the flat adjacency (comment_id, submission_id, parent_id, ...), null
-    parent = top level; siblings are in comment_id order.  Comments that hang
-    on no top-level comment are left out, as they are in no tree.
+    Input is the flat adjacency (comment_id, submission_id, parent_id, ...), null parent = top level, each id once.  A comment
+    that hangs on no top-level comment has the fault "orphan" (an ancestor is missing) or "cycle".
 
-    One join per tree level: the level just found joins its children and is
-    written out, so each level starts from a stored table.
+    Pointer doubling: every comment knows the piece of its path up to some ancestor, and a round joins it with that ancestor's
+    piece, so pieces double and a tree of depth d takes about log2(d) rounds.  Finished comments are only read again.
     """
     spark = comments.sparkSession
-    path = scratch_path(spark, "levels")
-    flat = comments.select("comment_id", "submission_id", "parent_id")
-    step = F.struct(F.lit(0).cast("long").alias("last"), F.col("comment_id").alias("id"))
-    top = flat.where(F.col("parent_id").isNull()).select(
-        "comment_id", "submission_id", F.array(step).alias("path"))
-    depth = 1
-    top.write.parquet(f"{path}/depth={depth}")
+    path = scratch_path(spark, "paths")
+    piece = ["comment_id", "submission_id", "above", "path", "fault"]
+    start = comments.select(
+        "comment_id", "submission_id", F.col("parent_id").alias("above"), F.array("comment_id").alias("path"),
+        F.lit(None).cast("string").alias("fault"))
+    start.write.parquet(f"{path}/round=0")
+    is_open = F.col("above").isNotNull() & F.col("fault").isNull()
+    n = 0
     while True:
-        above = spark.read.parquet(f"{path}/depth={depth}")
-        parent = above.select(F.col("comment_id").alias("parent_id"), F.col("path").alias("above"))
-        # An inner node sorts after all leaves of its level: its step is flagged 1.
-        inner = F.transform("above", lambda s: F.struct(F.lit(1).cast("long").alias("last"), s["id"].alias("id")))
-        level = flat.join(parent, "parent_id").select(
-            "comment_id", "submission_id", F.concat(inner, F.array(step)).alias("path"))
-        level.write.parquet(f"{path}/depth={depth + 1}")
-        if spark.read.parquet(f"{path}/depth={depth + 1}").isEmpty():
+        rounds = [spark.read.parquet(f"{path}/round={k}") for k in range(n + 1)]
+        open_ = rounds[n].where(is_open)
+        if open_.isEmpty():
             break
-        depth += 1
-    found = spark.read.option("basePath", path).parquet(*[f"{path}/depth={d}" for d in range(1, depth + 1)])
-    ranked = rank_within(found, ["submission_id"], ["path"], "pos").drop("path", "submission_id")
+        known = rounds[n]
+        for done in rounds[:n]:
+            known = known.unionByName(done.where(~is_open))
+        ahead = known.select(
+            F.col("comment_id").alias("above"), F.col("above").alias("next"), F.col("path").alias("ahead"), F.col("fault").alias("why"))
+        joined = open_.drop("fault").join(ahead, "above", "left")
+        fault = (
+            F.when(F.col("ahead").isNull(), "orphan").when(F.col("why").isNotNull(), F.col("why"))
+            .when(F.col("above").eqNullSafe(F.col("comment_id")) | F.arrays_overlap("path", F.array("next")), "cycle"))
+        joined.select(
+            "comment_id", "submission_id", F.col("next").alias("above"), F.concat("ahead", "path").alias("path"), fault.alias("fault"),
+        ).write.parquet(f"{path}/round={n + 1}")
+        n += 1
+    done = spark.read.option("basePath", path).parquet(*[f"{path}/round={k}" for k in range(n + 1)]).where(~is_open)
+    return done.select(*[c for c in piece if c != "above"])
+
+
+def flatten_comments(comments: DataFrame) -> DataFrame:
+    """Comment trees as lists: adds ``depth`` and ``pos``, the place in the thread's list.
+
+    All siblings come first, then the subtree of each sibling in turn;
+    siblings are in comment_id order.  Comments that hang on no top-level
+    comment are left out, as they are in no tree; see ``rejected_comments``.
+    """
+    found = comment_paths(comments).where("fault IS NULL")
+    # An inner node sorts after all leaves of its level: its step is flagged 1.
+    last = F.size("path") - 1
+    steps = F.transform("path", lambda i, k: F.struct((k < last).cast("long").alias("inner"), i.alias("id")))
+    placed = found.select("comment_id", "submission_id", F.size("path").alias("depth"), steps.alias("steps"))
+    ranked = rank_within(placed, ["submission_id"], ["steps"], "pos").drop("steps", "submission_id")
     return comments.join(ranked, "comment_id")
 
 
+def rejected_comments(comments: DataFrame) -> DataFrame:
+    """(comment_id, submission_id, fault): the comments that ``flatten_comments`` leaves out, and why."""
+    return comment_paths(comments).where("fault IS NOT NULL").select("comment_id", "submission_id", "fault")
+
+
 def chunk_children(children: Column, size: int = IDS_PER_CALL) -> Column:
     """Array of ids -> array of comma-separated batches of at most ``size`` ids."""
     starts = F.when(F.size(children) > 0, F.sequence(F.lit(1), F.size(children), F.lit(size)))
@@ -127,13 +156,13 @@ def batch_ids(ids: DataFrame, node: list[str], child: str, size: int = IDS_PER_C
 def collect_mores(on_posts: DataFrame, on_comments: DataFrame, loose: DataFrame) -> DataFrame:
     """"Load more" nodes (thread_id, depth, children) from posts, comments and the thread itself.
 
-    Each input has thread_id and ``more``, a struct (depth, children) or null;
-    nodes without children are dropped.
+    Each input has thread_id and ``more``, a struct (depth, children, perhaps
+    more fields) or null; nodes without children are dropped.
     """
     nodes = on_posts.select("thread_id", "more")
     for other in (on_comments, loose):
         nodes = nodes.unionByName(other.select("thread_id", "more"))
-    return nodes.where(F.size("more.children") > 0).select("thread_id", "more.depth", "more.children")
+    return nodes.where(F.size("more.children") > 0).select("thread_id", "more.*")
 
 
 def select_more_batches(nodes: DataFrame) -> DataFrame:

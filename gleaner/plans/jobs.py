@@ -6,38 +6,41 @@ snapshots: a job writes a new version and never over the one it reads.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
 from gleaner import schemas
 from gleaner.functions import fields
 from gleaner.functions import text as tx
-from gleaner.operators import articles, bars, cleaning, forum, listings, logs, pages, queues, ranking
-from gleaner.session import written
+from gleaner.operators import articles, bars, cleaning, forum, listings, logs, pages, queues, ranking, threads
+from gleaner.plans.counts import RunCounts
+from gleaner.session import path_exists, written
 from gleaner.sources import readers, writers
 
 
 @dataclass
 class Store:
-    """Paths of the stored tables."""
+    """Paths of the stored tables, and the counts of the jobs run with it."""
 
     spark: SparkSession
     root: str
+    counts: RunCounts = field(default_factory=RunCounts)
 
     def path(self, table: str) -> str:
         return f"{self.root}/{table}"
 
     def read(self, table: str, schema: str) -> DataFrame:
         """A stored table; an empty one while nothing has been written."""
-        try:
+        if path_exists(self.spark, self.path(table)):
             return self.spark.read.parquet(self.path(table))
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
-            return self.spark.createDataFrame([], schema)
+        return self.spark.createDataFrame([], schema)
+
+    def summary(self) -> DataFrame:
+        """One row: what the jobs run so far wrote."""
+        values = self.counts.values()
+        return self.spark.createDataFrame([tuple(values.values())], ", ".join(f"{name} BIGINT" for name in values))
 
 
 def collect_news(store: Store, items: DataFrame, page_table: DataFrame, blocklist: DataFrame, now: Column) -> DataFrame:
@@ -53,12 +56,14 @@ def collect_news(store: Store, items: DataFrame, page_table: DataFrame, blocklis
     sources = sources.withColumn("item_no", F.col("link"))
     # Links that are known or blocked never reach the pages.
     fresh = articles.drop_blocked_hosts(articles.unseen_links(sources, seen), blocklist)
+    fresh = written(store.counts.watch("sources")(fresh), "sources")
     raw = pages.extract_pages(page_table.join(fresh.select(F.col("link").alias("url")), "url", "left_semi"))
     rest = [c for c in raw.columns if c != "link"]
     raw = raw.groupBy("link").agg(F.min(F.struct(*rest)).alias("page")).select("link", "page.*").select(
         F.col("link").alias("item_no"), "title", "text", "canonical", "pubdate", F.col("authors").alias("page_authors"))
     kept = articles.accept_articles(fresh, raw, seen, blocklist).drop("item_no", "is_short")
-    return writers.append_articles(kept, store.path("articles"), now, writers.max_id(stored, "article_id"))
+    return writers.append_articles(
+        kept, store.path("articles"), now, writers.max_id(stored, "article_id"), store.counts.watch("articles"))
 
 
 def due_posts(queue: DataFrame, now: Column, lookback_hours: float) -> DataFrame:
@@ -87,15 +92,75 @@ def harvest_posts(store: Store, due: DataFrame, posts: DataFrame, comments: Data
     ready = forum.submission_gate(single.join(due.select("permalink"), "permalink", "left_semi"), cutoff)
     ready = ready.join(stored.select("permalink"), "permalink", "left_anti")
     added = writers.append_submissions(
-        ready, store.path("submissions"), now, writers.max_id(stored, "submission_id"))
+        ready, store.path("submissions"), now, writers.max_id(stored, "submission_id"), store.counts.watch("submissions"))
     ids = added.select("permalink", "submission_id")
     known = store.read("comments", schemas.COMMENT)
     rows = forum.all_comments(comments, extra).join(ids, "permalink").drop("permalink")
     rows = rows.join(known.select("reddit_id"), "reddit_id", "left_anti")
-    writers.append_comments(rows, store.path("comments"), now, writers.max_id(known, "comment_id"))
+    writers.append_comments(
+        rows, store.path("comments"), now, writers.max_id(known, "comment_id"), store.counts.watch("comments"))
+    return added
+
+
+def harvest_threads(store: Store, due: DataFrame, landed: DataFrame, extra: DataFrame, cutoff: int, now: Column) -> DataFrame:
+    """Due posts and their landed threads (permalink, value) -> submissions, comments and the batches to fetch next.
+
+    The threads' comments are flattened in list order and stored, those of ``extra`` (permalink and comment columns; loaded by an
+    earlier plan) behind them.  Where many comments are missing, "load more" nodes are chosen within the budget of calls and
+    appended to ``fetches`` in batches of ids.  Threads that are broken or hold not exactly one post go to ``rejected_threads``.
+    What is stored already is not stored again, so a run can be repeated: posts by permalink, comments by their id at the
+    source, fetches and rejects by all their columns.  Of a permalink landed more than once the last text by order counts.
+    Returns the new submissions; the counts of what was written are in ``store.counts``.
+    """
+    stored = store.read("submissions", schemas.SUBMISSION)
+    once = landed.join(due.select("permalink"), "permalink", "left_semi").groupBy("permalink").agg(F.max("value").alias("value"))
+    parsed = written(threads.parse_threads(once), "threads")
+    _append_new(store, "rejected_threads", threads.rejected_threads(parsed), schemas.REJECTED_THREAD)
+    posts = written(forum.submission_gate(threads.thread_posts(parsed), cutoff), "posts")
+    added = writers.append_submissions(
+        posts.drop("more_children").join(stored.select("permalink"), "permalink", "left_anti"), store.path("submissions"), now,
+        writers.max_id(stored, "submission_id"), store.counts.watch("submissions"))
+    # Read anew, and not only what was added: a run that stopped here goes on with the comments.
+    ids = store.read("submissions", schemas.SUBMISSION).select("permalink", "submission_id").join(
+        posts.select("permalink"), "permalink", "left_semi")
+
+    nodes = threads.thread_nodes(parsed.where("n_posts = 1").join(posts.select("permalink"), "permalink", "left_semi"))
+    tree = written(threads.thread_comments(nodes).drop("depth"), "comments")
+    later = [c for c in tree.columns if c != "pos"]
+    rows = forum.all_comments(tree, extra.select(*later).withColumn("pos", F.lit(2**62))).join(ids, "permalink").drop("permalink")
+    known = store.read("comments", schemas.COMMENT)
+    rows = rows.join(known.select("reddit_id"), "reddit_id", "left_anti")
+    writers.append_comments(
+        rows, store.path("comments"), now, writers.max_id(known, "comment_id"), store.counts.watch("comments"))
+
+    found = forum.comments_found(posts.withColumn("submission_id", F.col("permalink")), tree.withColumnRenamed("permalink", "submission_id"))
+    needing = forum.needs_more_comments(found).where("needs_more").select("permalink")
+    _append_new(store, "fetches", fetch_plan(nodes.join(needing, "permalink", "left_semi")), schemas.FETCH)
     return added
 
 
+def fetch_plan(nodes: DataFrame) -> DataFrame:
+    """(permalink, more_id, batch_no, n_ids, batch): the calls that load the largest "load more" nodes of threads.
+
+    A node that stands twice in a thread is loaded once.
+    """
+    mores = written(threads.thread_mores(nodes), "mores")
+    none = mores.where("false")
+    all_ = forum.collect_mores(mores.where("on_post"), mores.where("NOT on_post"), none)
+    once = all_.groupBy("thread_id", "more_id").agg(F.max(F.struct("depth", "children")).alias("m")).select("thread_id", "more_id", "m.*")
+    chosen = forum.select_more_batches(once.withColumn("n_children", F.size("children")))
+    ids = chosen.select("thread_id", "more_id", F.explode("children").alias("child_id"))
+    return forum.batch_ids(ids, ["thread_id", "more_id"], "child_id").withColumnRenamed("thread_id", "permalink")
+
+
+def _append_new(store: Store, table: str, rows: DataFrame, schema: str) -> None:
+    """Append the rows that the table does not hold yet."""
+    known = store.read(table, schema)
+    # Pinned: the table grows while it is read.
+    fresh = written(rows.select(*known.columns).subtract(known), table)
+    writers.append(fresh, store.path(table), watch=store.counts.watch(table))
+
+
 def link_posts(store: Store, added: DataFrame, raw: DataFrame, blocklist: DataFrame, now: Column) -> DataFrame:
     """Links of new external posts to articles; unknown urls are made into articles first."""
     stored = store.read("articles", schemas.ARTICLE)
@@ -104,9 +169,10 @@ def link_posts(store: Store, added: DataFrame, raw: DataFrame, blocklist: DataFr
         external, stored, articles.known_links(stored), raw, blocklist, writers.max_id(stored, "article_id"))
     # Both results are needed after the article table has grown: fix them first.
     links, made = written(links, "links"), written(made, "made")
-    writers.append(made.drop("submission_id", "is_short").withColumn("data_entry_time", now), store.path("articles"))
+    writers.append(made.drop("submission_id", "is_short").withColumn("data_entry_time", now), store.path("articles"),
+                   watch=store.counts.watch("articles"))
     return writers.append_links(
-        links, store.path("article_posts"), now, store.read("article_posts", schemas.ARTICLE_POST))
+        links, store.path("article_posts"), now, store.read("article_posts", schemas.ARTICLE_POST), store.counts.watch("links"))
 
 
 def load_bars(store: Store, raw: DataFrame, now: Column) -> bool:
@@ -115,31 +181,38 @@ def load_bars(store: Store, raw: DataFrame, now: Column) -> bool:
     stored = store.read("intraday", schemas.INTRADAY)
     wanted = bars.ingest_intraday(raw.join(active, "listing_id", "left_semi"))
     return writers.append_intraday(
-        bars.new_bars(wanted, stored), store.path("intraday"), now, writers.max_id(stored, "intraday_id"))
+        bars.new_bars(wanted, stored), store.path("intraday"), now, writers.max_id(stored, "intraday_id"),
+        store.counts.watch("bars"))
 
 
 def update_listings(store: Store, stored: DataFrame, fresh: DataFrame, version: str, now: Column) -> DataFrame:
-    """Snapshot against stored listings: audits, and a new version with changed and new rows."""
-    changes = listings.changed_listings(stored, fresh)
-    _audit(store, changes)
-    table = store.path(version)
+    """Snapshot against stored listings: a new version with changed and new rows, then audits.
+
+    The version is one write, and the audits belong to it, so a run that failed can be repeated under the same version.
+    """
+    changes = written(listings.changed_listings(stored, fresh), "changes")
     new = listings.new_listings(stored, fresh)
-    writers.write_snapshot(listings.update_listings(stored, changes.select("updated.*"), now), table)
-    writers.insert_new_listings(new, table, now, writers.max_id(stored, "listing_id"))
-    return store.spark.read.parquet(table)
+    kept = listings.update_listings(stored, changes.select("updated.*"), now)
+    added = writers.numbered_listings(new, now, writers.max_id(stored, "listing_id"))
+    writers.write_snapshot(kept.unionByName(added), store.path(version), again=True, watch=store.counts.watch("listings"))
+    _audit(store, changes, version)
+    return store.spark.read.parquet(store.path(version))
 
 
 def update_active(store: Store, stored: DataFrame, members: DataFrame, version: str, now: Column) -> DataFrame:
-    """Membership file against stored listings: audits and a new version with new active flags."""
-    changes = listings.changed_active(stored, listings.flag_active(stored, members))
-    _audit(store, changes)
-    writers.write_snapshot(listings.update_listings(stored, changes.select("updated.*"), now), store.path(version))
+    """Membership file against stored listings: a new version with new active flags, then audits."""
+    changes = written(listings.changed_active(stored, listings.flag_active(stored, members)), "changes")
+    kept = listings.update_listings(stored, changes.select("updated.*"), now)
+    writers.write_snapshot(kept, store.path(version), again=True, watch=store.counts.watch("listings"))
+    _audit(store, changes, version)
     return store.spark.read.parquet(store.path(version))
 
 
-def _audit(store: Store, changes: DataFrame) -> None:
-    highest = writers.max_id(store.read("audit_listings", schemas.AUDIT_LISTING), "audit_id")
-    writers.audit_listings(changes, store.path("audit_listings"), highest)
+def _audit(store: Store, changes: DataFrame, version: str) -> None:
+    """The audits of a version, in a folder of their own that a repeated run replaces."""
+    others = store.read("audit_listings", schemas.AUDIT_LISTING + ", version STRING").where(F.col("version") != version)
+    rows = writers.numbered_audits(changes, writers.max_id(others, "audit_id"))
+    writers.write_snapshot(rows, f"{store.path('audit_listings')}/version={version}", again=True, watch=store.counts.watch("changed"))
 
 
 def clean_text(store: Store, cutoff: int, now: Column) -> DataFrame:
@@ -148,7 +221,7 @@ def clean_text(store: Store, cutoff: int, now: Column) -> DataFrame:
     clean = cleaning.clean_articles(articles.has_body(stored), stored, cutoff)
     titled = clean.join(stored.select("article_id", "title"), "article_id")
     highest = writers.max_id(store.read("processed_text", schemas.PROCESSED_TEXT), "text_id")
-    return writers.store_processed_text(titled, store.path("processed_text"), now, highest)
+    return writers.store_processed_text(titled, store.path("processed_text"), now, highest, store.counts.watch("texts"))
 
 
 def summaries(texts: DataFrame, key: str, column: str = "body") -> DataFrame:

@@ -23,6 +23,10 @@ COMMENT = (
 
 ARTICLE_POST = "article_id BIGINT, submission_id BIGINT, data_entry_time TIMESTAMP"
 
+FETCH = "permalink STRING, more_id STRING, batch_no BIGINT, n_ids INT, batch STRING"
+
+REJECTED_THREAD = "permalink STRING, fault STRING"
+
 LISTING = (
     "listing_id INT, update_time TIMESTAMP, is_enabled BOOLEAN, is_active BOOLEAN, symbol STRING, "
     "name STRING, iex_id STRING, type STRING, region STRING, currency STRING, exchange STRING, "

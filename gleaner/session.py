@@ -15,12 +15,16 @@ from pyspark.sql import functions as F
 #    which AQE then splits, also where that costs one more shuffle.
 #  * co-partition on a subset of the join keys: clean_articles ships text once
 #    per block and joins inside the block without another shuffle.
+#  * state store: streams keep their state on disk, and checkpoint changes only.
 SQL_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.requireAllClusterKeysForCoPartition": "false",
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
 
 
@@ -71,6 +75,12 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return os.path.join(checkpoint_dir(spark), "gleaner", f"{label}-{uuid.uuid4().hex}")
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a table's folder is there, on whatever file system the path names."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop)
+
+
 def written(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 

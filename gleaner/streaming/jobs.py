@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from gleaner.operators import articles, bars, logs, queues
-from gleaner.session import scratch_path
+from gleaner.session import scratch_path, written
+from gleaner.streaming import state
 
 def landed(spark: SparkSession, path: str, schema, files_per_trigger: int | None = None) -> DataFrame:
     """A stream over parquet files as they land."""
@@ -44,39 +45,13 @@ def post_stream(posts: DataFrame, channels: DataFrame) -> DataFrame:
 
 
 def stream_delayed_release(queue: DataFrame, lookback_hours: float, path: str, checkpoint: str) -> None:
-    """Release posts (permalink, created_time, arrived) once older than the lookback.
+    """Release posts (permalink, created_time, arrived) once older than the lookback; each leaves once and none is late.
 
-    The clock is the latest arrival so far.  Waiting posts lie in a table by
-    the day they fall due; a batch reads only the days its clock has passed
-    and releases what fell due since the last batch, so each post leaves once
-    and none is late.  Unlike the batch twin, an old post behind a younger one
-    does not wait.  A batch run again replaces its own output.
+    Waiting posts are state with a timer, so a batch touches what arrives and what falls due, and nothing else is kept.  Unlike the
+    batch twin, an old post behind a younger one does not wait.  Posts without a time go to ``rejected``.
     """
-    due_time = F.col("created_time") + F.make_dt_interval(secs=F.lit(lookback_hours * 3600))
-
-    def day(t: Column) -> Column:
-        return F.date_format(t, "yyyyMMdd").cast("long")
-
-    def handle(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        rows = batch.withColumn("due_time", due_time)
-        placed = rows.withColumn("due_day", day(F.col("due_time"))).withColumn("batch", F.lit(batch_id))
-        (placed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("due_day", "batch").parquet(f"{path}/waiting"))
-        last = _previous(spark, f"{path}/clock", batch_id)
-        before = last.first()["clock"] if last is not None else None
-        clock = max((c for c in (before, rows.agg(F.max("arrived")).first()[0]) if c is not None), default=None)
-        due = rows.where(F.col("due_time") <= F.lit(clock)).select("permalink", "created_time")
-        if before is not None:
-            days = F.col("due_day").between(day(F.lit(before)), day(F.lit(clock)))
-            passed = (F.col("due_time") > F.lit(before)) & (F.col("due_time") <= F.lit(clock))
-            held = spark.read.parquet(f"{path}/waiting").where((F.col("batch") < batch_id) & days & passed)
-            due = due.unionByName(held.select("permalink", "created_time"))
-        due.write.mode("overwrite").parquet(f"{path}/released/batch={batch_id}")
-        spark.range(1).select(F.lit(clock).cast("timestamp").alias("clock")).write.mode("overwrite").parquet(
-            f"{path}/clock/batch={batch_id}")
-
-    each_batch(queue, handle, checkpoint)
+    to_table(state.released(queue, lookback_hours), f"{path}/released", f"{checkpoint}/released")
+    to_table(state.without_time(queue), f"{path}/rejected", f"{checkpoint}/rejected")
 
 
 def _previous(spark: SparkSession, path: str, batch_id: int) -> DataFrame | None:
@@ -96,24 +71,41 @@ def stream_dedup_links_within(links: DataFrame, time_column: str, delay: str) ->
     return links.withWatermark(time_column, delay).dropDuplicatesWithinWatermark(["link"])
 
 
+CLAIM = "link STRING"
+
+
 def stream_dedup_articles(stream: DataFrame, path: str, checkpoint: str, key: str = "item_no") -> None:
-    """Append articles whose link and canonical link are both new, by micro-batch.
+    """Append articles whose link and canonical link are both new, one by one in batch order.
 
-    A batch is tested against the links stored by earlier batches, then inside
-    itself.  The stored links are only scanned: those the batch asks for are
-    found by a semi join with its own few keys, and the batch is tested
-    against these hits.  A batch run again replaces its own output.
+    Links of accepted articles are keyed state, so stored articles are never read.  A batch asks for its links; rows with a known one go,
+    the rest is decided among itself (``articles.dedup_batch``), and the links of what is accepted are landed as claims.  The
+    claims are part of the same stream's input, so the next batch's questions meet them.  Both folders are replaced by a batch
+    that runs again, before any later batch can have read them.
     """
+    spark = stream.sparkSession
+    accepted, claims = f"{path}/accepted", f"{path}/claims"
+    spark.createDataFrame([], CLAIM).write.mode("ignore").parquet(f"{claims}/batch=-1")
+    landed_claims = landed(spark, f"{claims}/*", CLAIM)
+    row = F.to_json(F.struct(*stream.columns)).alias("row_key")
+    links = F.filter(F.array_distinct(F.array("link", "canonical_link")), lambda x: F.coalesce(x, F.lit("")) != "")
+    # A row without links asks under a null link, which nobody claims.
+    asked = F.explode(F.when(F.size(links) > 0, links).otherwise(F.array(F.lit(None).cast("string")))).alias("link")
+    questions = stream.select(row, asked)
+
     def handle(batch: DataFrame, batch_id: int) -> None:
-        rows = batch
-        if batch_id:
-            before = batch.sparkSession.read.parquet(path).where(F.col("batch") < batch_id)
-            stored = before.select(F.explode(F.array("link", "canonical_link")).alias("link"))
-            hits = stored.join(articles.known_links(batch), "link", "left_semi").distinct()
-            rows = articles.unseen(articles.unseen_links(rows, hits), hits, "canonical_link")
-        articles.dedup_batch(rows, key).write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+        answers = batch.groupBy("row_key").agg(F.max("is_known").alias("is_known")).where("NOT is_known")
+        rows = written(answers.select(F.from_json("row_key", stream.schema).alias("r")).select("r.*"), "unknown")
+        kept = written(articles.dedup_batch(rows, key), "accepted")
+        kept.write.mode("overwrite").parquet(f"{accepted}/batch={batch_id}")
+        if not kept.isEmpty():  # an empty file would be input again, and the stream would never be done
+            articles.known_links(kept).write.mode("overwrite").parquet(f"{claims}/batch={batch_id}")
 
-    each_batch(stream, handle, checkpoint)
+    query = state.known_keys(questions, landed_claims).writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint).start()
+    # Claims land while the stream runs, so it runs until nothing is left rather than over what is there at the start.
+    try:
+        query.processAllAvailable()
+    finally:
+        query.stop()
 
 
 # -- bars ---------------------------------------------------------------------
@@ -143,20 +135,28 @@ def stream_new_bars(stream: DataFrame, path: str, checkpoint: str) -> None:
 # -- capped lists ----------------------------------------------------------------
 
 def stream_capped_list(stream: DataFrame, key: str, order: list[str], n: int, path: str, checkpoint: str) -> None:
-    """The newest ``n`` rows per key, rewritten with every batch.
+    """The newest ``n`` rows per key; a batch writes the lists of the keys it touches.
 
-    Each batch is cut to ``n`` rows per key before it meets the stored lists,
-    so a hot key adds at most ``n`` rows.
+    A list is read from the last batch that wrote it; see ``read_capped_lists``.
     """
     def handle(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        rows = queues.capped_list(batch, key, order, n).drop("rank")
-        if batch_id:
-            rows = rows.unionByName(spark.read.parquet(f"{path}/list-{batch_id - 1}").drop("rank"))
-        queues.capped_list(rows, key, order, n).write.mode("overwrite").parquet(f"{path}/list-{batch_id}")
+        batch.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+
+    lists = state.capped_lists(stream, key, order, n)
+    run_available(lists.writeStream.outputMode("update").foreachBatch(handle), checkpoint)
+
+
+def read_capped_lists(spark: SparkSession, path: str, key: str) -> DataFrame:
+    """The lists as the newest batch of each key left them."""
+    rows = spark.read.parquet(path)
+    newest = rows.groupBy(key).agg(F.max("batch").alias("__newest")).withColumnRenamed(key, "__key")
+    mine = F.col(key).eqNullSafe(F.col("__key")) & (F.col("batch") == F.col("__newest"))
+    return rows.join(newest, mine).drop("batch", "__key", "__newest")
 
-    each_batch(stream, handle, checkpoint)
 
+def compact_capped_lists(spark: SparkSession, path: str, key: str, compacted: str) -> None:
+    """The newest lists as one batch at a new path; the old folder can go, as the state holds the lists."""
+    read_capped_lists(spark, path, key).write.mode("error").parquet(f"{compacted}/batch=-1")
 
 
 # -- logs -------------------------------------------------------------------------
@@ -175,7 +175,7 @@ def complete_to_table(stream: DataFrame, path: str, checkpoint: str) -> None:
 
 
 def last_result(spark: SparkSession, path: str) -> DataFrame:
-    """The newest result folder left by ``complete_to_table`` or ``stream_capped_list``."""
+    """The newest result folder left by ``complete_to_table``."""
     hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
     files = hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(hadoop)
     names = [f.getPath().toString() for f in files]

@@ -122,7 +122,7 @@ def test_articles_over_batches(spark):
         spark.createDataFrame([(*r, NOW) for r in batch], schema).coalesce(1).write.mode("append").parquet(path)
     out, checkpoint = jobs.stream_paths(spark, "articles")
     jobs.stream_dedup_articles(jobs.landed(spark, path, schema, 1), out, checkpoint)
-    assert sorted(r["item_no"] for r in spark.read.parquet(out).collect()) == ["a", "c", "f"]
+    assert sorted(r["item_no"] for r in spark.read.parquet(f"{out}/accepted").collect()) == ["a", "c", "f"]
 
 
 def test_dedup_within_delay(spark):
