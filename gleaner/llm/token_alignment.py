@@ -24,6 +24,7 @@ from __future__ import annotations
 import hashlib
 import os
 import re
+import zlib
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -75,6 +76,15 @@ def _summed(keys: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return keys, np.bincount(place, weights=times, minlength=len(keys)).astype(np.int64)
 
 
+def packed(numbers: np.ndarray) -> bytes:
+    """Small numbers as bytes of one weight after the other, compressed; most are below 256 or 65,536."""
+    return zlib.compress(numbers.astype("<i4").view(np.uint8).reshape(-1, 4).T.tobytes(), 1)
+
+
+def unpacked(stored: bytes) -> np.ndarray:
+    return np.frombuffer(zlib.decompress(stored), dtype=np.uint8).reshape(4, -1).T.copy().view("<i4").ravel().astype(np.int64)
+
+
 class Aligner:
     """Both tokenizers and the units a worker has aligned."""
 
@@ -245,11 +255,11 @@ def _chunk_rows(known: Aligner, chunk: int, docs: list[tuple], vector: np.ndarra
         row = {"chunk": chunk, "kind": 0, "nth": nth, "doc_id": doc, "n_a": 0, "n_b": 0, "n_groups": 0, "n_links": 0, "groups_sha256": sha}
         if own is not None:
             n_a, n_b, n_groups, n_links = sums[own].sum(axis=0).tolist()
-            here = place[at:at + len(own)]
+            mine, count = np.unique(place[at:at + len(own)], return_counts=True)
             at += len(own)
-            row |= {"n_a": n_a, "n_b": n_b, "n_groups": n_groups, "n_links": n_links, "x": here.astype("<i4").tobytes()}
+            row |= {"n_a": n_a, "n_b": n_b, "n_groups": n_groups, "n_links": n_links,
+                    "x": packed(np.diff(mine, prepend=0)), "y": packed(count)}
             # Each pair once for each document.
-            mine = np.unique(here)
             held.append(np.unique(pair_no[spread(start[mine], size[mine])]))
             waiting += len(held[-1])
             if waiting > AT_ONCE:
@@ -337,9 +347,10 @@ def _summed_up(same: np.ndarray, identical: np.ndarray, best: np.ndarray):
         unit = np.repeat(np.arange(len(size)), size)
         of_unit = np.zeros((len(size) + 1, 2), dtype=np.int64)
         np.add.at(of_unit, unit, np.column_stack([often * (count == best[a]), often * count]))
-        n = [len(x) // 4 if x else 0 for x in docs["x"].to_pylist()]
         of_doc = np.zeros((len(docs), 2), dtype=np.int64)
-        np.add.at(of_doc, np.repeat(np.arange(len(docs)), n), of_unit[_joined(docs["x"].to_pylist(), "<i4")])
+        for i, (steps, times) in enumerate(zip(docs["x"].to_pylist(), docs["y"].to_pylist(), strict=True)):
+            if steps is not None:
+                of_doc[i] = unpacked(times) @ of_unit[np.cumsum(unpacked(steps))]
         out = docs.select(["doc_id", "n_a", "n_b", "n_groups", "n_links"])
         out = out.append_column("n_best", pa.array(of_doc[:, 0])).append_column("count_sum", pa.array(of_doc[:, 1]))
         return out.append_column("groups_sha256", docs["groups_sha256"]).cast(ALIGNED)
