@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from gleaner.catalog.registry import now, query
-from gleaner.functions import fields, urls
+from gleaner.functions import fields, sql, urls
 from gleaner.operators import articles, ids, logs, pages
 from gleaner.session import scratch_path
-from gleaner.sources import readers, writers
+from gleaner.sources import known_links, readers, writers
 
 # SQL for the host of an absolute URL: no user info, no port.
 HOST = r"nullif(regexp_extract({}, '^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/@]*@)?([^/:?# ]+)(?::[0-9]*)?(?:[/?#][^ ]*)?$', 1), '')"
@@ -178,6 +178,27 @@ def _(t):
     return articles.unseen_links(_sources(t), _seen(t))
 
 
+@query("unseen_links_stored", f"""
+SELECT s.* FROM ({SOURCE}) s WHERE strlen(s.link) <= 1 OR s.link NOT IN ({SEEN})""")
+def _(t):
+    """The same from the lasting table of known links, filled by two runs."""
+    path, stored = scratch_path(t.spark, "known_links"), t("fx_article")
+    known_links.catch_up(stored.where("article_id < 1400"), path, 32)
+    return articles.unseen_links(_sources(t), known_links.catch_up(stored, path, 32))
+
+
+@query("known_link_table", """
+SELECT link, min(article_id) AS article_id
+FROM (SELECT article_id, link FROM fx_article UNION ALL SELECT article_id, canonical_link FROM fx_article)
+WHERE coalesce(link, '') <> '' GROUP BY link""")
+def _(t):
+    """All links of the table after three runs, the last of which has nothing new."""
+    path, stored = scratch_path(t.spark, "known_links"), t("fx_article")
+    for part in (stored.where("article_id < 1300"), stored, stored):
+        known_links.catch_up(part, path, 32)
+    return known_links.known_link_table(t.spark, path, 32).groupBy("link").agg(F.min("article_id").alias("article_id"))
+
+
 @query("unseen_canonical", f"""
 SELECT * FROM fx_raw WHERE strlen(canonical) <= 1 OR canonical NOT IN ({SEEN})""")
 def _(t):
@@ -322,6 +343,19 @@ def _(t):
                               fields.body_is_short(F.col("text")).alias("is_short"))
 
 
+@query("sql_fields", f"""
+SELECT r.item_no, {_body('r.text')} AS body, {_clean('r.title')} AS title, {HOST.format('f.link')} AS host,
+       CASE WHEN length(r.text) <= 280 THEN 1.0 WHEN length(r.text) <= 1000 THEN 0.7 WHEN length(r.text) <= 3000 THEN 0.5
+            WHEN length(r.text) <= 10000 THEN 0.3 ELSE 0.1 END::DOUBLE AS ratio
+FROM fx_raw r JOIN fx_feed f USING (item_no)""")
+def _(t):
+    """Field rules called from a query written in SQL."""
+    sql.register(t.spark)
+    return t.spark.sql(
+        "SELECT r.item_no, clean_body(r.text) AS body, clean_title(r.title) AS title, url_host(f.link) AS host, "
+        "summary_ratio(length(r.text)) AS ratio FROM {raw} r JOIN {feed} f ON f.item_no = r.item_no", raw=t("fx_raw"), feed=t("fx_feed"))
+
+
 @query("clean_title", f"""
 SELECT item_no, {_clean('title')} AS title, {_clean('canonical')} AS canonical_link, {_clean('text')} AS text_title FROM fx_raw""")
 def _(t):

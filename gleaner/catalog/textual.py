@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from gleaner.catalog.registry import now, query
-from gleaner.functions import fields
+from gleaner.functions import fields, sql
 from gleaner.functions import text as tx
-from gleaner.operators import adjacency, cleaning, ranking
+from gleaner.operators import adjacency, cleaning, ranking, vocabulary
 from gleaner.session import scratch_path, widened, written
 from gleaner.sources import writers
 
@@ -77,6 +77,35 @@ def _(t):
     return _sentences(t)
 
 
+@query("sql_sentences", f"""
+WITH lists AS (SELECT doc_id, {sentence_list('text')} AS ss FROM documents)
+SELECT doc_id, CAST(unnest(generate_series(0, len(ss) - 1)) AS INTEGER) AS pos, unnest(ss) AS sentence FROM lists""")
+def _(t):
+    """The sentence rules called from a query written in SQL."""
+    sql.register(t.spark)
+    return t.spark.sql(
+        "SELECT doc_id, posexplode(sentences) AS (pos, sentence) FROM (SELECT doc_id, split_sentences(text) AS sentences FROM {docs})",
+        docs=t("documents"))
+
+
+@query("abbreviation_scores", f"""
+WITH {DOCS},
+tokens AS (SELECT unnest(string_split_regex(text, '\\s+')) AS token FROM docs WHERE text IS NOT NULL),
+words AS (SELECT lower(regexp_extract(token, '{vocabulary.TOKEN}', 1)) AS word, regexp_extract(token, '{vocabulary.TOKEN}', 2) = '.' AS stop
+          FROM tokens WHERE regexp_matches(token, '{vocabulary.TOKEN}')),
+counts AS (SELECT word, count(*) FILTER (stop) AS n_stop, count(*) FILTER (NOT stop) AS n_plain FROM words GROUP BY word),
+whole AS (SELECT sum(n_stop) / sum(n_stop + n_plain) AS share FROM counts),
+sized AS (SELECT *, length(replace(word, '.', '')) AS size FROM counts, whole WHERE n_stop > 0)
+SELECT word, n_stop, n_plain,
+       round(-2 * (n_stop * ln(share) + n_plain * ln(1 - share) - n_stop * ln({vocabulary.SURE}) - n_plain * ln({1 - vocabulary.SURE}))
+             * exp(-CAST(size AS DOUBLE)) * (length(word) - size + 1) * pow(size, -CAST(n_plain AS DOUBLE)), 9) + 0.0 AS score
+FROM sized""")
+def _(t):
+    """Every word that a full stop follows, with the score that makes it an abbreviation or not."""
+    scores = vocabulary.abbreviation_scores(_docs(t).where("text IS NOT NULL"))
+    return scores.withColumn("score", F.round("score", 9) + F.lit(0.0))
+
+
 @query("explode_sentences", """
 SELECT doc_id, CAST(unnest(generate_series(0, len(string_split(text, chr(10))) - 1)) AS INTEGER) AS pos,
        unnest(string_split(text, chr(10))) AS sentence FROM documents""")
@@ -304,3 +333,44 @@ QUALIFY rank <= 20"""
 @query("keywords", f"WITH {KEYWORDS}")
 def _(t):
     return ranking.keywords(_docs(t).where("text IS NOT NULL"), "doc_id")
+
+
+def _doubled(rounds: int) -> str:
+    """Forms of forms, each table twice as many steps."""
+    return ",\n".join(
+        f"f{i} AS (SELECT a.word, coalesce(b.form, a.form) AS form FROM f{i - 1} a LEFT JOIN f{i - 1} b ON b.word = a.form)"
+        for i in range(1, rounds + 1))
+
+
+FORMS = f"""{DOCS},
+lists AS (SELECT doc_id, {word_list('text')} AS ws FROM docs WHERE text IS NOT NULL),
+types AS MATERIALIZED (SELECT DISTINCT word FROM (SELECT unnest(ws) AS word FROM lists) WHERE regexp_matches(word, '^\\p{{L}}+$')),
+cut AS (SELECT word, left(word, length(word) - k) AS stem, right(word, k) AS suffix
+        FROM types, generate_series(1, {vocabulary.MAX_SUFFIX}) AS s(k) WHERE length(word) - k >= {vocabulary.MIN_STEM}),
+alone AS (SELECT * FROM cut WHERE stem IN (SELECT word FROM types)),
+pairs AS MATERIALIZED (SELECT * FROM alone WHERE suffix IN (SELECT suffix FROM alone GROUP BY suffix HAVING count(*) >= {vocabulary.LEAST_STEMS})),
+classes AS (SELECT stem, string_agg(suffix, ',' ORDER BY suffix) AS class FROM pairs GROUP BY stem),
+stems AS (SELECT stem FROM classes WHERE class IN (SELECT class FROM classes GROUP BY class HAVING count(*) >= {vocabulary.LEAST_SHARED})),
+f0 AS (SELECT word, arg_max(stem, length(stem)) AS form FROM pairs WHERE stem IN (SELECT stem FROM stems) GROUP BY word),
+{_doubled(vocabulary.DOUBLINGS)}"""
+
+
+def _forms(t):
+    words = _docs(t).where("text IS NOT NULL").select(F.explode(tx.words(F.col("text"))).alias("word"))
+    return written(vocabulary.word_forms(words), "forms")
+
+
+@query("word_forms", f"WITH {FORMS} SELECT word, form FROM f{vocabulary.DOUBLINGS}")
+def _(t):
+    """Words of all texts that are another word of them with a common suffix."""
+    return _forms(t)
+
+
+@query("keywords_by_form", f"WITH {FORMS}," + KEYWORDS[len(DOCS) + 1:].replace(
+    f"lists AS (SELECT doc_id, {word_list('text')} AS ws FROM docs WHERE text IS NOT NULL),", "").replace(
+    "places AS (SELECT doc_id, unnest(ws) AS word, unnest(generate_series(1, len(ws))) AS p FROM lists WHERE len(ws) > 0),",
+    f"""spelled AS (SELECT doc_id, unnest(ws) AS word, unnest(generate_series(1, len(ws))) AS p FROM lists WHERE len(ws) > 0),
+places AS MATERIALIZED (SELECT s.doc_id, coalesce(f.form, s.word) AS word, s.p FROM spelled s LEFT JOIN f{vocabulary.DOUBLINGS} f ON f.word = s.word),"""))
+def _(t):
+    """Keywords where the forms of a word are one word."""
+    return ranking.keywords(_docs(t).where("text IS NOT NULL"), "doc_id", forms=_forms(t))

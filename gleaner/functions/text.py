@@ -42,7 +42,16 @@ MEANINGFUL = r"\P{P}\P{Z}\P{C}"
 
 MARK = "\u0001"
 SENTENCE_END = "([.!?]+[\"'”’»)\\]]*)(\\s)"
-ABBREVIATION_MARK = rf"(^|[^\p{{L}}])({'|'.join(a.replace('.', '[.]') for a in ABBREVIATIONS)})[.]{MARK}"
+
+
+def abbreviation_mark(abbreviations: list[str], any_case: bool = False) -> str:
+    """Pattern of a cut right after one of the abbreviations."""
+    words = "|".join(a.replace(".", "[.]") for a in sorted(abbreviations, key=len, reverse=True)) if any_case else "|".join(
+        a.replace(".", "[.]") for a in abbreviations)
+    return rf"{'(?iu)' if any_case else ''}(^|[^\p{{L}}])({words})[.]{MARK}"
+
+
+ABBREVIATION_MARK = abbreviation_mark(ABBREVIATIONS)
 SPACE_EDGE = r"^\s+|\s+$"
 
 TOKEN_BREAK = r"[^\p{L}\p{N}]+"
@@ -74,14 +83,19 @@ def normalize_text(text: Column) -> Column:
     return F.coalesce(_unescape_nfkc(F.when(needs, bare)), bare)
 
 
-def split_sentences(text: Column) -> Column:
+def split_sentences(text: Column, learned: list[str] | None = None) -> Column:
     """Array of sentences: cut at line ends and after . ! ? with closing quotes before white space.
 
-    A cut right after a known abbreviation is taken back.  Sentences are
-    trimmed, and those without three adjacent meaningful characters dropped.
+    A cut right after an abbreviation is taken back: one of the fixed list, or
+    with ``learned`` one of those in any case (see operators/vocabulary.py).
+    Sentences are trimmed, and those without three adjacent meaningful
+    characters dropped.
     """
     marked = F.regexp_replace(F.replace(text, F.lit(MARK), F.lit(" ")), SENTENCE_END, f"$1{MARK}$2")
-    marked = F.regexp_replace(marked, ABBREVIATION_MARK, "$1$2.")
+    if learned is None:
+        marked = F.regexp_replace(marked, ABBREVIATION_MARK, "$1$2.")
+    elif learned:
+        marked = F.regexp_replace(marked, abbreviation_mark(learned, any_case=True), "$1$2.")
     pieces = F.split(F.regexp_replace(marked, r"[\r\n]+", MARK), MARK)
     return F.filter(F.transform(pieces, lambda p: F.regexp_replace(p, SPACE_EDGE, "")), is_meaningful)
 

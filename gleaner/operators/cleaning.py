@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from gleaner.functions import text as tx
 from gleaner.functions.arrays import let
+from gleaner.operators import vocabulary
 from gleaner.operators.adjacency import place_targets
 from gleaner.session import shuffle_width, widened, written
 
@@ -28,9 +29,18 @@ def normalize_text(docs: DataFrame, column: str = "text") -> DataFrame:
     return docs.withColumn(column, tx.normalize_text(F.col(column)))
 
 
-def sentences(docs: DataFrame, key: str, column: str = "text") -> DataFrame:
-    """(key, pos, sentence) of an already normalised text column."""
-    return explode_sentences(docs.select(key, tx.split_sentences(F.col(column)).alias("sentences")), key)
+def sentences(docs: DataFrame, key: str, column: str = "text", learned: list[str] | None = None) -> DataFrame:
+    """(key, pos, sentence) of an already normalised text column; ``learned`` abbreviations replace the fixed list."""
+    return explode_sentences(docs.select(key, tx.split_sentences(F.col(column), learned).alias("sentences")), key)
+
+
+def sentences_learned(docs: DataFrame, key: str, column: str = "text") -> DataFrame:
+    """(key, pos, sentence) with the abbreviations that the texts themselves show.
+
+    The list goes into a pattern.  Its score falls with a word's length faster than counts grow, so it holds short words only.
+    """
+    learned = [r["word"] for r in vocabulary.abbreviations(docs, column).collect()]
+    return sentences(docs, key, column, learned)
 
 
 def explode_sentences(docs: DataFrame, key: str) -> DataFrame:
@@ -117,19 +127,20 @@ def unique_sentences(targets: DataFrame, check: DataFrame) -> DataFrame:
 
     Equal sentences go first by an anti join.  The others meet check sentences
     of their own target whose length is near enough, in arrays of about a
-    thousand, so no sentence pair is ever a row.
+    thousand, so no sentence pair is ever a row.  The check sentences are
+    computed once and written without repeats; all steps read that table.
     """
     place = ["target_id", "band"]
     band = _band(F.length("sentence"))
-    # Repeats only make the pieces smaller, so they need not be removed to count.
-    sizes = check.select("target_id", band.alias("band")).groupBy(*place).agg(F.ceil(F.count("*") / PIECE).alias("n_pieces"))
+    check = written(check.select("target_id", band.alias("band"), "sentence").distinct(), "check")
+    sizes = check.groupBy(*place).agg(F.ceil(F.count("*") / PIECE).alias("n_pieces"))
     arrays = (
-        check.select("target_id", "sentence").distinct().withColumn("band", band).join(sizes, place)
+        check.join(sizes, place)
         .withColumn("piece", F.pmod(F.xxhash64("sentence"), F.col("n_pieces")))
         .groupBy(*place, "piece")
         .agg(F.collect_list(_described(F.col("sentence"), F.lit(0), masked=False)).alias("pool"))
     )
-    left = except_sentences(targets, check)
+    left = written(except_sentences(targets, check), "left")
     near = (
         left.select("target_id", "pos", _described(F.col("sentence"), F.col("pos"), masked=False).alias("one"),
                     F.explode(F.array(band - 1, band, band + 1)).alias("band"))

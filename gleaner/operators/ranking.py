@@ -23,7 +23,8 @@ from pyspark.sql.window import Window
 from gleaner.functions import text as tx
 from gleaner.functions.arrays import let, total
 from gleaner.functions.fields import summary_tenths
-from gleaner.session import shuffle_width
+from gleaner.operators.vocabulary import in_base_forms
+from gleaner.session import shuffle_width, written
 
 ROUNDS, DAMPING = 20, 0.85
 K1, B = 1.5, 0.75
@@ -119,12 +120,17 @@ def summarize(table: DataFrame, key: str) -> DataFrame:
         key, F.array_join(F.when(F.col("scores").isNull(), F.col("sentences")).otherwise(chosen), "\n").alias("summary"))
 
 
-def keywords(docs: DataFrame, key: str, column: str = "text", n_words: int = N_KEYWORDS) -> DataFrame:
+def keywords(
+    docs: DataFrame, key: str, column: str = "text", n_words: int = N_KEYWORDS, forms: DataFrame | None = None,
+) -> DataFrame:
     """(key, rank, word): the most central words of the graph that joins neighbouring words.
 
-    Words are lower-cased, stop words dropped; no lemmas.
+    Words are lower-cased, stop words dropped.  With ``forms`` (word, form) the
+    forms of a word are one word; see ``vocabulary.word_forms``.
     """
     worded = docs.select(key, tx.words(F.col(column)).alias("w")).where(F.size("w") > 0)
+    if forms is not None:
+        worded = written(in_base_forms(worded, key, forms), "words")
     single = worded.where(F.size(F.array_distinct("w")) == 1).select(
         key, F.lit(1).alias("rank"), F.get("w", F.lit(0)).alias("word"))
     # One shuffle by document; the windows and groupings below stay inside it.

@@ -17,7 +17,7 @@ from gleaner.functions import text as tx
 from gleaner.operators import articles, bars, cleaning, forum, listings, logs, pages, queues, ranking, threads
 from gleaner.plans.counts import RunCounts
 from gleaner.session import path_exists, written
-from gleaner.sources import readers, writers
+from gleaner.sources import known_links, readers, writers
 
 
 @dataclass
@@ -27,6 +27,7 @@ class Store:
     spark: SparkSession
     root: str
     counts: RunCounts = field(default_factory=RunCounts)
+    link_buckets: int = known_links.BUCKETS
 
     def path(self, table: str) -> str:
         return f"{self.root}/{table}"
@@ -37,6 +38,10 @@ class Store:
             return self.spark.read.parquet(self.path(table))
         return self.spark.createDataFrame([], schema)
 
+    def known_links(self, stored: DataFrame) -> DataFrame:
+        """The links of all stored articles, from the table that grows with them."""
+        return known_links.catch_up(stored, self.path("known_links"), self.link_buckets)
+
     def summary(self) -> DataFrame:
         """One row: what the jobs run so far wrote."""
         values = self.counts.values()
@@ -49,7 +54,7 @@ def collect_news(store: Store, items: DataFrame, page_table: DataFrame, blocklis
     ``items`` has title, link, published; ``page_table`` page_id, url, html.
     """
     stored = store.read("articles", schemas.ARTICLE)
-    seen = articles.known_links(stored)
+    seen = store.known_links(stored)
     rest = [c for c in items.columns if c != "link"]
     once = items.groupBy("link").agg(F.min(F.struct(*rest)).alias("item")).select("link", "item.*")
     sources = articles.link_length_filter(articles.source_from_feed(once))
@@ -166,7 +171,7 @@ def link_posts(store: Store, added: DataFrame, raw: DataFrame, blocklist: DataFr
     stored = store.read("articles", schemas.ARTICLE)
     external = forum.external_links(added).withColumn("created_utc", F.unix_timestamp("created_time"))
     links, made = articles.link_posts_to_articles(
-        external, stored, articles.known_links(stored), raw, blocklist, writers.max_id(stored, "article_id"))
+        external, stored, store.known_links(stored), raw, blocklist, writers.max_id(stored, "article_id"))
     # Both results are needed after the article table has grown: fix them first.
     links, made = written(links, "links"), written(made, "made")
     writers.append(made.drop("submission_id", "is_short").withColumn("data_entry_time", now), store.path("articles"),

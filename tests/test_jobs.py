@@ -17,7 +17,7 @@ PAGE = "<html><head><title>{title}</title><link rel='canonical' href='{canonical
 
 
 def store(spark):
-    return plans.Store(spark, scratch_path(spark, "store"))
+    return plans.Store(spark, scratch_path(spark, "store"), link_buckets=16)
 
 
 def test_news_job(spark):
