@@ -310,7 +310,8 @@ def _nodes(t):
 
 
 @query("collect_mores", """
-SELECT conv_id AS thread_id, CAST(turn AS INTEGER) AS depth, 1 + turn % 3 AS n_children FROM conversations WHERE turn % 4 <> 3""")
+SELECT conv_id AS thread_id, CAST(turn AS INTEGER) AS depth,
+       CASE turn % 3 WHEN 0 THEN '0' WHEN 1 THEN '0,1' ELSE '0,1,2' END AS children FROM conversations WHERE turn % 4 <> 3""")
 def _(t):
     """Turns as nodes: 0 of four hangs on the post, 1 on a comment, 2 is loose, 3 has no children."""
     ids = F.transform(F.sequence(F.lit(0), F.col("turn").cast("int") % 3), lambda i: i.cast("string"))
@@ -319,7 +320,7 @@ def _(t):
     node = F.struct(F.col("turn").cast("int").alias("depth"), children.alias("children"))
     nodes = t("conversations").select(F.col("conv_id").alias("thread_id"), quarter.alias("q"), node.alias("more"))
     mores = forum.collect_mores(nodes.where("q IN (0, 3)"), nodes.where("q = 1"), nodes.where("q = 2"))
-    return mores.select("thread_id", "depth", F.size("children").cast("long").alias("n_children"))
+    return mores.select("thread_id", "depth", F.array_join("children", ",").alias("children"))
 
 
 SELECTED = f"""
@@ -339,10 +340,7 @@ def _(t):
 SELECT thread_id, more_id, n_children, row_number() OVER (PARTITION BY thread_id ORDER BY n_children DESC, more_id) AS place
 FROM ({SELECTED})""")
 def _(t):
-    """The fetch order inside a thread: at most 33 nodes."""
-    order = Window.partitionBy("thread_id").orderBy(F.desc("n_children"), "more_id")
-    return forum.select_more_batches(_nodes(t)).select(
-        "thread_id", "more_id", "n_children", F.row_number().over(order).cast("long").alias("place"))
+    return forum.largest_mores_first(forum.select_more_batches(_nodes(t))).select("thread_id", "more_id", "n_children", "place")
 
 
 @query("check_keys", """

@@ -100,7 +100,7 @@ def _(t):
 
 @query("sort_history", "SELECT app, log_date, info_count FROM fx_log_history ORDER BY app, log_date")
 def _(t):
-    return t("fx_log_history").orderBy("app", "log_date").select("app", "log_date", "info_count")
+    return logs.sort_history(t("fx_log_history")).select("app", "log_date", "info_count")
 
 
 @query("log_averages", averages(KEPT))

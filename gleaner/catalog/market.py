@@ -84,15 +84,18 @@ def _(t):
     return bars.batch_bounds(bars.new_bars(_incoming(t), _stored(t)))
 
 
-@query("append_intraday", BATCH + """
-SELECT CAST(data_time AS DATE) AS trade_date, count(*) AS n_bars, CAST(sum(notional) AS DOUBLE) AS notional
-FROM batch GROUP BY 1""")
+@query("append_intraday", BATCH + f"""
+SELECT listing_id, CAST(1 AS SMALLINT) AS source_id, data_time, strftime(data_time, '%Y-%m') AS trade_month,
+       {', '.join(f'CAST({c} AS DOUBLE) AS {c}' for c in bars.PRICE_COLUMNS)}
+FROM batch""")
 def _(t):
-    """The appended table, read back and summed per day."""
+    """The appended table, read back; ids of bars of one listing and time are in any order and left out."""
     path = scratch_path(t.spark, "intraday")
-    writers.append_intraday(bars.new_bars(_incoming(t), _stored(t)), path, now())
-    return t.spark.read.parquet(path).groupBy(F.to_date("data_time").alias("trade_date")).agg(
-        F.count("*").alias("n_bars"), F.sum("notional").cast("double").alias("notional"))
+    batch = bars.new_bars(_incoming(t), _stored(t)).withColumn("source_id", F.lit(bars.IEX_SOURCE_ID).cast("short"))
+    writers.append_intraday(batch, path, now())
+    month = F.col("trade_month").cast("string").alias("trade_month")
+    rows = t.spark.read.option("basePath", path).parquet(path)
+    return _doubles(rows.select("listing_id", "source_id", "data_time", month, *bars.PRICE_COLUMNS))
 
 
 @query("trade_date", """
@@ -119,9 +122,15 @@ def _(t):
     return readers.scan_listings(t("fx_listing")).select("listing_id", "symbol")
 
 
-@query("ingest_symbols", "SELECT * FROM fx_listing_fresh")
+@query("ingest_symbols", """
+SELECT TIMESTAMP '2024-03-01 00:00:00' AS update_time, is_enabled, symbol, name, iex_id, type, region, currency, exchange FROM fx_listing_fresh""")
 def _(t):
-    return t("fx_listing_fresh").select(*SEVEN, "iex_id")
+    """Snapshots as JSON: half of the symbols one a line, half as arrays of a type."""
+    rows = t("fx_listing_fresh").withColumnsRenamed({"is_enabled": "isEnabled", "iex_id": "iexId"})
+    symbol = F.struct(*rows.columns)
+    lone = rows.where("symbol LIKE '%2'").select(F.to_json(symbol).alias("value"))
+    many = rows.where("symbol NOT LIKE '%2'").groupBy("type", "exchange").agg(F.to_json(F.collect_list(symbol)).alias("value"))
+    return listings.ingest_symbols(lone.unionByName(many.select("value")), now())
 
 
 @query("active_listings", "SELECT * FROM fx_listing WHERE is_active AND is_enabled ORDER BY listing_id")

@@ -193,14 +193,10 @@ def _pool(t):
 
 @query("check_sentence_pool", f"""
 WITH {NEIGHBOURS}, {BODIES}
-SELECT a.target_id, a.side, a.article_id, count(*) AS n_sentences, CAST(sum(length(s.sentence)) AS BIGINT) AS n_chars,
-       min(s.sentence) AS first_sentence, max(s.sentence) AS last_sentence
-FROM adj a JOIN sents s ON s.article_id = a.article_id GROUP BY ALL""")
+SELECT a.target_id, a.side, CAST(a.rank AS INTEGER) AS rank, a.article_id, CAST(s.pos AS INTEGER) AS pos, s.sentence
+FROM adj a JOIN sents s ON s.article_id = a.article_id""")
 def _(t):
-    """The pool, summed per neighbour."""
-    return _pool(t)[1].groupBy("target_id", "side", "article_id").agg(
-        F.count("*").alias("n_sentences"), F.sum(F.length("sentence")).alias("n_chars"),
-        F.min("sentence").alias("first_sentence"), F.max("sentence").alias("last_sentence"))
+    return _pool(t)[1]
 
 
 def _targets(table):

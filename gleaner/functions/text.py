@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import html
-import unicodedata
 
 import pandas as pd
 from pyspark.sql import Column
@@ -66,7 +65,8 @@ def strip_html(text: Column) -> Column:
 
 @F.pandas_udf(StringType())
 def _unescape_nfkc(values: pd.Series) -> pd.Series:
-    return values.map(lambda v: unicodedata.normalize("NFKC", html.unescape(v)), na_action="ignore")
+    coded = values.str.contains("&", regex=False).fillna(False).astype(bool)
+    return values.mask(coded, values[coded].map(html.unescape)).str.normalize("NFKC")
 
 
 # A filter on the result must not run the Python step twice.

@@ -44,6 +44,11 @@ def new_bars(incoming: DataFrame, stored: DataFrame) -> DataFrame:
     )
 
 
+def newer_bars(incoming: DataFrame, maxima: DataFrame) -> DataFrame:
+    """``new_bars`` against stored maxima (listing_id, last_time), of which a listing may have several."""
+    return new_bars(incoming, maxima.withColumnRenamed("last_time", "data_time"))
+
+
 def batch_bounds(bars: DataFrame) -> DataFrame:
     """First and last bar time and size of a batch per listing."""
     return bars.groupBy("listing_id").agg(

@@ -184,6 +184,12 @@ def select_more_batches(nodes: DataFrame) -> DataFrame:
     )
 
 
+def largest_mores_first(chosen: DataFrame) -> DataFrame:
+    """Chosen "load more" nodes with ``place``, their order of fetching inside a thread (at most 33 nodes)."""
+    order = Window.partitionBy("thread_id").orderBy(F.desc("n_children"), "more_id")
+    return chosen.withColumn("place", F.row_number().over(order).cast("long"))
+
+
 def repeated_keys(rows: DataFrame, key: list[str]) -> DataFrame:
     """Keys that occur more than once, with their count."""
     return rows.groupBy(*key).agg(F.count("*").alias("n")).where("n > 1")

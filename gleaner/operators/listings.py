@@ -7,12 +7,25 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gleaner import schemas
 from gleaner.functions import fields
 
 SNAPSHOT_COLUMNS = ["is_enabled", "symbol", "name", "type", "region", "currency", "exchange"]
 ACTIVE_TYPES = ["et", "cs"]
 
 
+def ingest_symbols(lines: DataFrame, now: Column, column: str = "value") -> DataFrame:
+    """Snapshot JSON, one array or one symbol a line -> listing rows as of ``now``; broken lines give none.
+
+    A symbol without a flag is not enabled.
+    """
+    text = F.when(F.col(column).rlike(r"^\s*\["), F.col(column)).otherwise(F.concat(F.lit("["), F.col(column), F.lit("]")))
+    symbols = lines.select(F.inline(F.from_json(text, schemas.SYMBOLS_JSON)))
+    return symbols.where("iexId IS NOT NULL OR symbol IS NOT NULL").select(
+        now.alias("update_time"), F.coalesce("isEnabled", F.lit(False)).alias("is_enabled"), "symbol", "name",
+        F.col("iexId").alias("iex_id"), "type", "region", "currency", "exchange")
+
+
 def active_listings(listings: DataFrame) -> DataFrame:
     """Active and enabled listings by id."""
     return listings.where(F.col("is_active") & F.col("is_enabled")).orderBy("listing_id")

@@ -68,6 +68,11 @@ def keep_last_7(history: DataFrame, today: DataFrame, days: int = HISTORY_DAYS)
     return rows.withColumn("__rank", F.row_number().over(newest)).where(F.col("__rank") <= days).drop("__rank", "__new")
 
 
+def sort_history(history: DataFrame) -> DataFrame:
+    """The history by app and day, oldest first."""
+    return history.orderBy("app", "log_date")
+
+
 def log_averages(history: DataFrame) -> DataFrame:
     """Averages per app over the kept history: counters truncated, run time in whole nanoseconds.
 

@@ -185,9 +185,25 @@ def load_bars(store: Store, raw: DataFrame, now: Column) -> bool:
     active = listings.active_listings(store.read("listings", schemas.LISTING)).select("listing_id")
     stored = store.read("intraday", schemas.INTRADAY)
     wanted = bars.ingest_intraday(raw.join(active, "listing_id", "left_semi"))
+    maxima = newest_bars(store, stored)
+    highest = maxima.agg(F.max("highest").alias("m")).first()["m"] or 0
     return writers.append_intraday(
-        bars.new_bars(wanted, stored), store.path("intraday"), now, writers.max_id(stored, "intraday_id"),
-        store.counts.watch("bars"))
+        bars.newer_bars(wanted, maxima), store.path("intraday"), now, highest, store.counts.watch("bars"))
+
+
+def newest_bars(store: Store, stored: DataFrame) -> DataFrame:
+    """(listing_id, last_time, highest): newest bar per listing and run, appended to as bars are.
+
+    Only bars with an id above the highest seen are read, which the statistics of older files rule out, so a run does not read
+    the history; a run that stopped after storing bars is made good by the next one.
+    """
+    schema = "listing_id INT, last_time TIMESTAMP, highest BIGINT"
+    known = store.read("newest_bars", schema)
+    highest = known.agg(F.max("highest").alias("m")).first()["m"]
+    later = stored if highest is None else stored.where(F.col("intraday_id") > highest)
+    found = later.groupBy("listing_id").agg(F.max("data_time").alias("last_time"), F.max("intraday_id").alias("highest"))
+    writers.append(written(found.select("listing_id", "last_time", "highest"), "newest_bars"), store.path("newest_bars"))
+    return store.read("newest_bars", schema)
 
 
 def update_listings(store: Store, stored: DataFrame, fresh: DataFrame, version: str, now: Column) -> DataFrame:

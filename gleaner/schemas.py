@@ -64,6 +64,12 @@ POST_JSON = (
     "is_reddit_media_domain BOOLEAN, deleted BOOLEAN"
 )
 
+# Symbols of the listing snapshot, in the provider's names.
+SYMBOLS_JSON = (
+    "ARRAY<STRUCT<symbol: STRING, name: STRING, iexId: STRING, type: STRING, region: STRING, currency: STRING, exchange: STRING, "
+    "isEnabled: BOOLEAN>>"
+)
+
 QUEUE_ENTRY = "CreatedTime TIMESTAMP, Permalink STRING"
 
 LOG_COUNTERS = [
