@@ -215,6 +215,12 @@ def _(t):
 
 @query("unique_sentences", f"WITH {KEPT} SELECT target_id, CAST(pos AS INTEGER) AS pos, sentence FROM kept")
 def _(t):
+    return cleaning.unique_article_sentences(t("fx_article"), t("fx_article"))
+
+
+@query("unique_sentences_flat", f"WITH {KEPT} SELECT target_id, CAST(pos AS INTEGER) AS pos, sentence FROM kept")
+def _(t):
+    """The form for any targets and check sentences, on a written pool."""
     table, pool = _pool(t)
     return cleaning.unique_sentences(_targets(table), pool)
 

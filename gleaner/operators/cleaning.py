@@ -2,21 +2,20 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gleaner.functions import near
 from gleaner.functions import text as tx
-from gleaner.functions.arrays import let
+from gleaner.functions.near import MAX_DISTANCE
 from gleaner.operators import vocabulary
 from gleaner.operators.adjacency import place_targets
 from gleaner.session import shuffle_width, widened, written
 
-MAX_DISTANCE = 9
-# One edit removes at most two letter pairs and adds at most two.
-MAX_PAIR_CHANGES = 4 * MAX_DISTANCE
-MASKS = 4
-# Shorter sentences have too few letter pairs to be told apart by them.
-MASKS_FROM = 40
+# Pairs of sentences that a task judges together.
+TOGETHER = 1_000_000
 # Length bands, each at least ten wide, so near lengths lie in neighbouring bands:
 # tens up to 300, hundreds up to 2300, then one band.
 FINE_END, FINE, COARSE, N_COARSE = 300, 10, 100, 20
@@ -86,40 +85,10 @@ def _band(n: Column) -> Column:
     return F.when(n < FINE_END, F.floor(n / FINE)).otherwise(coarse).cast("int")
 
 
-def _described(sentence: Column, pos: Column, masked: bool = True) -> Column:
-    """(pos, n, s, masks): a sentence with its length and, unless short, its letter pairs hashed to 256 bits."""
-    def masks(letters: Column) -> Column:
-        pairs = F.transform(letters, lambda c, i: F.pmod(
-            F.xxhash64(c, F.coalesce(F.get(letters, i + 1), F.lit(""))), F.lit(64 * MASKS)).cast("int"))
-        return let(pairs, lambda bits: F.array(*[_mask(bits, k) for k in range(MASKS)]))
-
-    long_enough = (F.length(sentence) >= MASKS_FROM) if masked else F.lit(False)
-    return F.named_struct(
-        F.lit("pos"), pos, F.lit("n"), F.length(sentence), F.lit("s"), sentence,
-        F.lit("masks"), F.when(long_enough, let(F.split(sentence, ""), masks)))
-
-
-def _mask(bits: Column, k: int) -> Column:
-    own = F.filter(bits, lambda b: F.shiftright(b, 6) == k)
-    return F.aggregate(own, F.lit(0).cast("long"), lambda m, b: m.bitwiseOR(
-        F.call_function("shiftleft", F.lit(1).cast("long"), b.bitwiseAND(F.lit(63)))))
-
-
 def _is_near(one: Column, candidates: Column) -> Column:
-    """Some candidate has an edit distance under ten to the sentence, in code points; both are ``_described``.
-
-    The length and the letter pairs rule out nearly all candidates before a
-    distance is computed; both are necessary conditions, so none is lost.
-    Sentences without masks are compared by length only.
-    """
-    def differing(c: Column) -> Column:
-        bits = [F.bit_count(F.get(c["masks"], F.lit(k)).bitwiseXOR(F.get(one["masks"], F.lit(k)))) for k in range(MASKS)]
-        return bits[0] + bits[1] + bits[2] + bits[3]
-
+    """Some candidate sentence has an edit distance under ten to the sentence, in code points."""
     return F.exists(candidates, lambda c: (
-        (F.abs(c["n"] - one["n"]) <= MAX_DISTANCE)
-        & F.coalesce(differing(c) <= MAX_PAIR_CHANGES, F.lit(True))
-        & (F.levenshtein(c["s"], one["s"], MAX_DISTANCE) >= 0)))
+        (F.abs(F.length(c) - F.length(one)) <= MAX_DISTANCE) & (F.levenshtein(c, one, MAX_DISTANCE) >= 0)))
 
 
 def unique_sentences(targets: DataFrame, check: DataFrame) -> DataFrame:
@@ -138,28 +107,103 @@ def unique_sentences(targets: DataFrame, check: DataFrame) -> DataFrame:
         check.join(sizes, place)
         .withColumn("piece", F.pmod(F.xxhash64("sentence"), F.col("n_pieces")))
         .groupBy(*place, "piece")
-        .agg(F.collect_list(_described(F.col("sentence"), F.lit(0), masked=False)).alias("pool"))
+        .agg(F.collect_list("sentence").alias("pool"))
     )
     left = written(except_sentences(targets, check), "left")
     near = (
-        left.select("target_id", "pos", _described(F.col("sentence"), F.col("pos"), masked=False).alias("one"),
-                    F.explode(F.array(band - 1, band, band + 1)).alias("band"))
+        left.select("target_id", "pos", "sentence", F.explode(F.array(band - 1, band, band + 1)).alias("band"))
         .join(arrays, place)
-        .where(_is_near(F.col("one"), F.col("pool")))
+        .where(_is_near(F.col("sentence"), F.col("pool")))
         .select("target_id", "pos").distinct()
     )
     return left.join(near, ["target_id", "pos"], "left_anti").select("target_id", "pos", "sentence")
 
 
-def banded_sentences(table: DataFrame) -> DataFrame:
-    """(article_id, n_sentences, bands): the described sentences of an article by length band."""
-    def bands(described: Column) -> Column:
-        top = F.array_max(F.transform(described, lambda d: _band(d["n"])))
-        return F.transform(F.sequence(F.lit(0), top), lambda b: F.filter(described, lambda d: _band(d["n"]) == b))
+def unshared_sentences(targets: DataFrame, articles: DataFrame, **adjacency) -> DataFrame:
+    """(article_id, n_neighbours, n_check, pos, kept): a target's sentences that no neighbour has, nor one nearer than ten edits.
+
+    Each article is normalised and split once and written.  Its sentences then
+    travel once per block of adjacent targets; a block is one group of a task,
+    where different sentences are described once and a pair of them is judged
+    once, for all targets of the block (see functions/near.py).
+    """
+    width = shuffle_width(articles.sparkSession)
+    table = written(article_sentences(articles), "sentences")
+    placed = written(
+        place_targets(targets.where(F.col("body").isNotNull()), articles, **adjacency), "neighbours")
+    both = F.concat("before", "after")
+    needed = placed.select("block", F.explode(F.array_distinct(F.concat(F.array("article_id"), both))).alias("other_id")).distinct()
+    shipped = needed.join(table.withColumnRenamed("article_id", "other_id"), "other_id").select(
+        F.col("block").alias("of_block"), "other_id", "sentences")
+    wanted = placed.select("block", "article_id", both.alias("others"))
+    # Explicit numbers: blocks are small in bytes and costly to compare, so partitions must not be merged by size.
+    return (
+        wanted.repartition(width, "block").groupBy("block")
+        .cogroup(shipped.repartition(width, "of_block").groupBy("of_block"))
+        .applyInArrow(_unshared, "article_id long, n_neighbours int, n_check long, pos array<int>, kept array<string>"))
+
+
+def _unshared(wanted: pa.Table, shipped: pa.Table) -> pa.Table:
+    """One block: targets with the ids of their neighbours, and the sentences of all articles it needs."""
+    number: dict[str, int] = {}
+    texts = {}
+    for article, sentences in zip(shipped["other_id"].to_pylist(), shipped["sentences"].to_pylist(), strict=True):
+        texts[article] = np.array([number.setdefault(x, len(number)) for x in sentences], dtype=np.int64)
+    known, named, none = near.Sentences(list(number)), list(number), np.zeros(0, dtype=np.int64)
+    targets, open_ = [], []
+    for article, others in zip(wanted["article_id"].to_pylist(), wanted["others"].to_pylist(), strict=True):
+        check = [texts.get(i, none) for i in others]
+        pool = np.unique(np.concatenate([none, *check]))
+        different = np.unique(texts.get(article, none))
+        targets.append((article, len(others), sum(map(len, check))))
+        open_.append((different[~np.isin(different, pool, assume_unique=True)], pool))
+    shared = _shared(known, open_)
+    rows = []
+    for (article, *counts), (different, _), lost in zip(targets, open_, shared, strict=True):
+        own = texts.get(article, none)
+        pos = np.flatnonzero(np.isin(own, different[~lost]))
+        rows.append((article, *counts, pos.tolist(), [named[i] for i in own[pos].tolist()]))
+    columns = [list(c) for c in zip(*rows, strict=True)] if rows else [[]] * len(_UNSHARED)
+    return pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _UNSHARED, strict=True)], schema=_UNSHARED)
+
+
+def _shared(known: near.Sentences, open_: list[tuple[np.ndarray, np.ndarray]]) -> list[np.ndarray]:
+    """For each target's (own sentences, pool) which of its own are near one of the pool.
+
+    Pairs come up again for targets that are each other's neighbours, so many targets are judged together and a pair once.
+    """
+    out = [np.zeros(len(own), dtype=bool) for own, _ in open_]
+    held, waiting = [], 0
 
-    described = F.transform("sentences", lambda s, pos: _described(s, pos))
-    return table.where(F.size("sentences") > 0).select(
-        "article_id", F.size("sentences").alias("n_sentences"), let(described, bands).alias("bands"))
+    def judge() -> None:
+        target, place, one, two = map(np.concatenate, zip(*held, strict=True))
+        keys, back = np.unique(np.minimum(one, two) << 32 | np.maximum(one, two), return_inverse=True)
+        found = known.near(keys >> 32, keys & ((1 << 32) - 1))[back]
+        for t in np.unique(target[found]).tolist():
+            out[t][place[found & (target == t)]] = True
+
+    for t, (own, pool) in enumerate(open_):
+        for place, other in near.near_in_pool(known, own, pool):
+            held.append((np.full(len(place), t), place, own[place], other))
+            waiting += len(place)
+            if waiting > TOGETHER:
+                judge()
+                held, waiting = [], 0
+    if held:
+        judge()
+    return out
+
+
+_UNSHARED = pa.schema([
+    ("article_id", pa.int64()), ("n_neighbours", pa.int32()), ("n_check", pa.int64()), ("pos", pa.list_(pa.int32())),
+    ("kept", pa.list_(pa.string())),
+])
+
+
+def unique_article_sentences(targets: DataFrame, articles: DataFrame, **adjacency) -> DataFrame:
+    """(target_id, pos, sentence): ``unique_sentences`` of stored articles against the sentences of their neighbours."""
+    rows = unshared_sentences(targets, articles, **adjacency)
+    return rows.select(F.col("article_id").alias("target_id"), F.inline(F.arrays_zip("pos", F.col("kept").alias("sentence"))))
 
 
 def clean_articles(targets: DataFrame, articles: DataFrame, cutoff: int, **adjacency) -> DataFrame:
@@ -167,52 +211,8 @@ def clean_articles(targets: DataFrame, articles: DataFrame, cutoff: int, **adjac
 
     Null when there are fewer than ``cutoff`` neighbours or check sentences, or
     when fewer than two sentences stay.  Neighbours on both sides and those
-    without a body count as neighbours.
-
-    Each article is normalised and split once and written.  Its sentences then
-    travel once per block of adjacent targets; the join with the targets and
-    the collection of each target's pool happen inside the block's partition.
+    without a body count as neighbours, a sentence of one on both sides twice.
     """
-    width = shuffle_width(articles.sparkSession)
-    table = written(banded_sentences(article_sentences(articles)), "sentences")
-    placed = written(
-        place_targets(targets.where(F.col("body").isNotNull()), articles, **adjacency), "neighbours")
-    # The target itself rides along with weight 0; other weights count the sides an article is on.
-    both = F.concat("before", "after")
-    wanted = placed.select(
-        "block", F.col("article_id").alias("target_id"), F.size(both).alias("n_neighbours"), "before", "after",
-        F.explode(F.array_distinct(F.concat(F.array("article_id"), both))).alias("other_id"),
-    ).select(
-        "block", "target_id", "n_neighbours", "other_id",
-        (F.array_contains("before", F.col("other_id")).cast("int")
-         + F.array_contains("after", F.col("other_id")).cast("int")).alias("weight"),
-    )
-    needed = wanted.select("block", "other_id").distinct()
-    shipped = (
-        needed.join(table.withColumnRenamed("article_id", "other_id"), "other_id").repartition(width, "block")
-    )
-    pairs = wanted.repartition(width, "block").join(shipped, ["block", "other_id"], "left")
-    own = F.col("weight") == 0
-    pooled = pairs.groupBy("block", "target_id").agg(
-        F.max("n_neighbours").alias("n_neighbours"),
-        F.first(F.when(own, F.col("bands")), ignorenulls=True).alias("own"),
-        F.sum(F.col("weight") * F.coalesce(F.col("n_sentences"), F.lit(0))).alias("n_check"),
-        F.collect_list(F.when(~own, F.col("bands"))).alias("others"),
-    )
-    enough = (F.col("n_neighbours") >= cutoff) & (F.col("n_check") >= cutoff)
-    # The check sentences of each length band that the target has or touches.
-    empty = F.filter(F.get("own", F.lit(0)), lambda _: F.lit(False))
-    by_band = F.transform(F.sequence(F.lit(0), F.size("own")), lambda b: F.flatten(
-        F.transform("others", lambda bands: F.coalesce(F.get(bands, b), empty))))
-
-    def is_unique(one: Column, pool: Column) -> Column:
-        band = _band(one["n"])
-        return ~(_is_near(one, F.get(pool, band)) | _is_near(one, F.get(pool, band + 1))
-                 | ((band > 0) & _is_near(one, F.get(pool, F.greatest(band - 1, F.lit(0))))))
-
-    kept = let(by_band, lambda pool: F.filter(F.array_sort(F.flatten("own")), lambda one: is_unique(one, pool)))
-    return (
-        pooled.select("target_id", F.when(enough, F.transform(kept, lambda one: one["s"])).alias("kept"))
-        .select(F.col("target_id").alias("article_id"),
-                F.when(F.size("kept") >= 2, F.array_join("kept", " ")).alias("clean_body"))
-    )
+    enough = (F.col("n_neighbours") >= cutoff) & (F.col("n_check") >= cutoff) & (F.size("kept") >= 2)
+    return unshared_sentences(targets, articles, **adjacency).select(
+        "article_id", F.when(enough, F.array_join("kept", " ")).alias("clean_body"))

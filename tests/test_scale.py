@@ -3,9 +3,11 @@
 import datetime
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from gleaner.functions import near
 from gleaner.operators import adjacency, articles, bars, cleaning, forum, ids, queues, ranking
 
 DAY = datetime.datetime(2024, 1, 1)
@@ -186,13 +188,49 @@ def test_joins_are_equi_joins(t):
 
 
 def test_text_is_shipped_once_per_block(t):
-    """After the two shuffles by block there is no other, and Python runs once per text."""
+    """The two shuffles by block feed the comparison as they are, and Python normalises a text once."""
     text = plan(cleaning.clean_articles(t("fx_article"), t("fx_article"), 5))
     assert text.count("REPARTITION_BY_NUM") == 2
-    assert "Exchange" not in text[:text.index("SortMergeJoin")]
+    assert "Exchange" not in text[:text.index("FlatMapCoGroupsInArrow")]
+    assert "ENSURE_REQUIREMENTS" not in text[text.index("FlatMapCoGroupsInArrow"):text.index("REPARTITION_BY_NUM")]
     assert plan(cleaning.article_sentences(t("fx_article"))).count("ArrowEvalPython") == 1
 
 
+def test_pairs_of_sentences_against_the_distance(monkeypatch):
+    """Lengths around the edges of the bounds, letters beyond the basic plane, pairs in many small portions."""
+    monkeypatch.setattr(near, "JUDGED", 700)
+    monkeypatch.setattr(near, "MEASURED", 64)
+    rng = random.Random(1)
+    texts = []
+    for _ in range(25):
+        base = [rng.choice("abcdé日😀 ") for _ in range(rng.choice([0, 1, 9, 10, 18, 19, 40, 90]))]
+        texts.append("".join(base))
+        for _ in range(4):
+            other = list(base)
+            for _ in range(rng.randint(0, 12)):
+                place = rng.randint(0, len(other))
+                other[place:place + rng.randint(0, 1)] = rng.choice(["", "x", "y"])
+            texts.append("".join(other))
+    known = near.Sentences(texts)
+    pairs = [(i, j) for i in range(len(texts)) for j in range(len(texts))]
+    got = known.near(*map(np.array, zip(*pairs)))
+    for (i, j), g in zip(pairs, got):
+        assert g == (abs(len(texts[i]) - len(texts[j])) <= 9 and dist(texts[i], texts[j]) <= 9)
+    assert 100 < got.sum() < len(pairs)
+    own, pool = np.arange(0, len(texts), 2), np.arange(1, len(texts), 2)
+    listed = {(int(own[k]), int(c)) for ks, cs in near.near_in_pool(known, own, pool) for k, c in zip(ks, cs)}
+    assert listed == {(i, j) for i in own.tolist() for j in pool.tolist() if abs(len(texts[i]) - len(texts[j])) <= 9}
+
+
+def test_sentences_of_articles_without_neighbours(spark, t):
+    stored = t("fx_article").where("article_id IN (1001, 1002, 1004)")
+    rows = cleaning.unshared_sentences(stored, stored.where("article_id = 1001")).collect()
+    alone = next(r for r in rows if r["article_id"] == 1001)
+    assert alone["n_check"] == 0 and alone["pos"] == list(range(len(alone["kept"])))
+    assert cleaning.unique_article_sentences(stored.where("false"), stored).count() == 0
+    assert cleaning.clean_articles(stored, stored, 1).count() == 3
+
+
 def test_scan_reads_needed_columns_only(t):
     text = plan(bars.latest_bar(t("fx_bars")))
     schema = text[text.index("ReadSchema"):]
