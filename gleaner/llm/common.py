@@ -2,19 +2,17 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 
+from gleaner.session import checkpoint_dir
+
 
 def shared_path(spark: SparkSession, name: str) -> str:
-    """A new folder under spark.checkpoint.dir; only a session without the setting (tests) gets one of its own."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = "file://" + tempfile.mkdtemp(prefix="gleaner-")
-        spark.conf.set("spark.checkpoint.dir", root)
+    """A new folder under spark.checkpoint.dir; only a local session without the setting (tests) gets one of its own."""
+    root = spark.conf.get("spark.checkpoint.dir", None) or checkpoint_dir(spark)
     return f"{root.rstrip('/')}/llm/{name}-{uuid.uuid4().hex}"
 
 

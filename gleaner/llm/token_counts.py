@@ -76,7 +76,8 @@ def lines(text: str) -> tuple[np.ndarray, np.ndarray]:
 def count_tokens(docs: DataFrame, path: str, pattern: str, sections: Column | None = None, rule: str = "largest") -> DataFrame:
     """doc_id, section, start, end, n_tokens, n_crossing.
 
-    `sections` is an array of (start, end) in code points; without it the sections are the lines.
+    `sections` is an array of (start, end) in code points; without it the sections are the lines.  A null array holds none, and a
+    section with a null border is left out; tokens outside all sections are counted under section -1.
     """
     assert rule in RULES
 
@@ -105,7 +106,9 @@ def count_tokens(docs: DataFrame, path: str, pattern: str, sections: Column | No
                     frame[name] = np.concatenate([p[i] for p in parts])
                 yield pd.DataFrame(frame).astype({"doc_id": "Int64"})
 
-    spans = F.array().cast("array<struct<start:long,end:long>>") if sections is None else F.array_sort(sections)
+    spans = F.array().cast("array<struct<start:long,end:long>>")
+    if sections is not None:
+        spans = F.coalesce(F.array_sort(F.filter(sections, lambda s: s["start"].isNotNull() & s["end"].isNotNull())), spans)
     rows = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"),
         F.transform(spans, lambda s: s["start"]).alias("low"), F.transform(spans, lambda s: s["end"]).alias("high"),

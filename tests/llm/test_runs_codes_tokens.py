@@ -270,3 +270,19 @@ def test_identity_map_has_equal_bytes():
     for i, j in enumerate(known.same):
         assert j < 0 or known.bytes_a[i] == known.bytes_b[j]
     assert (known.same >= 0).sum() > 15_000
+
+
+# sections of token counts
+
+
+def test_null_sections(spark):
+    from pyspark.sql import functions as F
+
+    from gleaner.llm import token_counts
+
+    rows = [(1, "one two three", [(0, 3), (4, 13)]), (2, "one two", None), (3, "one two", [(0, 3), None]), (4, None, [(0, 0)])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, parts array<struct<start:long,end:long>>")
+    got = token_counts.count_tokens(docs, P.path("byte_bpe_50k.tiktoken"), P.PATTERN, F.col("parts")).collect()
+    counts = {(r["doc_id"], r["section"]): r["n_tokens"] for r in got}
+    assert counts[1, 0] == 1 and counts[1, 1] == 2 and counts[2, -1] == 2
+    assert counts[3, 0] == 1 and counts[3, -1] == 1 and counts[4, 0] == 0
