@@ -9,19 +9,19 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-# Elements whose whole content is dropped with their tags (fixed values).
+# Elements whose whole content is dropped with their tags.
 SKIPPED_ELEMENTS = [
     "frame", "frameset", "iframe", "noembed", "noframes", "noscript", "nostyle", "object", "script", "style",
 ]
 
-# Abbreviations that do not end a sentence (fixed values).
+# Abbreviations that do not end a sentence.
 ABBREVIATIONS = [
     "Mr", "Mrs", "Ms", "Dr", "Prof", "Sr", "Jr", "St", "Gen", "Col", "Sgt", "Capt", "Lt", "Rep", "Sen", "Gov",
     "Hon", "Rev", "Inc", "Ltd", "Co", "Corp", "vs", "etc", "No", "Fig", "Jan", "Feb", "Mar", "Apr", "Jun",
     "Jul", "Aug", "Sep", "Sept", "Oct", "Nov", "Dec", "e.g", "i.e", "U.S", "a.m", "p.m",
 ]
 
-# Words without weight in rankings (fixed values).
+# Words without weight in rankings.
 STOP_WORDS = [
     "a", "about", "after", "all", "also", "am", "an", "and", "any", "are", "as", "at", "be", "because", "been",
     "before", "being", "but", "by", "can", "could", "did", "do", "does", "down", "for", "from", "had", "has",

@@ -165,7 +165,11 @@ def dedup_batch(
     Earlier means smaller by (``order``, ``key``).  A rejected row blocks
     nothing.  Each round accepts the rows that come first in all their links
     and rejects those that share a link with an accepted one; only rows behind
-    an undecided one go on, so a batch without chains takes one round.
+    an undecided one go on, so a batch without chains takes one round.  What is
+    accepted is the first maximal independent set by rank: rounds follow the
+    longest chain of ever earlier rows that each share a link with the next,
+    which grows with the logarithm of a batch whose order has nothing to do
+    with its links, and with half its length for a chain laid out in order.
     """
     rank = F.struct(*order, key)
     open_ = written(

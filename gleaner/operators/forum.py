@@ -9,7 +9,7 @@ from pyspark.sql.window import Window
 from gleaner import schemas
 from gleaner.functions import fields
 from gleaner.operators.ids import rank_within
-from gleaner.session import scratch_path
+from gleaner.session import Scratch, scratch_path
 
 MORE_CHILDREN_CUTOFF = 10
 MANY_COMMENTS = 20
@@ -82,6 +82,7 @@ def comment_paths(comments: DataFrame) -> DataFrame:
     """
     spark = comments.sparkSession
     path = scratch_path(spark, "paths")
+    Scratch.note(path)
     piece = ["comment_id", "submission_id", "above", "path", "fault"]
     start = comments.select(
         "comment_id", "submission_id", F.col("parent_id").alias("above"), F.array("comment_id").alias("path"),

@@ -16,7 +16,7 @@ ARTICLE = r"(?is)<article[^>]*>(.*?)</article\s*>"
 PARAGRAPH = r"(?is)<p(?:\s[^>]*)?>(.*?)(?=</p\s*>|<p[\s>]|</body|\z)"
 BLOCK_END = r"(?i)</(p|div|h[1-6]|li|blockquote)\s*>|<br\s*/?>"
 
-# Entities decoded here, in this order; & comes last so that nothing is decoded twice (fixed values).
+# Entities decoded here, in this order; & comes last so that nothing is decoded twice.
 ENTITIES = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", " "), ("&amp;", "&")]
 
 

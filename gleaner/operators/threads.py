@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from gleaner.functions import fields
 from gleaner.operators.forum import ingest_submissions
 from gleaner.operators.ids import rank_within
-from gleaner.session import scratch_path
+from gleaner.session import Scratch, scratch_path
 
 POSTS, COMMENTS, REPLIES = "$[0].data.children", "$[1].data.children", "$.data.replies.data.children"
 POST, COMMENT, MORE = "t3", "t1", "more"
@@ -57,6 +57,7 @@ def thread_nodes(parsed: DataFrame) -> DataFrame:
     """
     spark = parsed.sparkSession
     path = scratch_path(spark, "threads")
+    Scratch.note(path)
     roots = parsed.select("permalink", F.array().cast("array<int>").alias("above"), _children("thread", COMMENTS).alias("kids"))
     n = 0
     while True:

@@ -75,6 +75,36 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return os.path.join(checkpoint_dir(spark), "gleaner", f"{label}-{uuid.uuid4().hex}")
 
 
+class Scratch:
+    """The intermediate tables written while it is open; they are deleted when it closes.
+
+    Results that are read lazily must be used before that::
+
+        with Scratch(spark):
+            plans.clean_text(store, 5, now)
+    """
+
+    _open: list[Scratch] = []
+
+    def __init__(self, spark: SparkSession) -> None:
+        self.spark, self.paths = spark, []
+
+    def __enter__(self) -> Scratch:
+        Scratch._open.append(self)
+        return self
+
+    def __exit__(self, *_) -> None:
+        Scratch._open.remove(self)
+        for path in self.paths:
+            hadoop = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+            hadoop.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(hadoop, True)
+
+    @classmethod
+    def note(cls, path: str) -> None:
+        if cls._open:
+            cls._open[-1].paths.append(path)
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether a table's folder is there, on whatever file system the path names."""
     hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -89,6 +119,7 @@ def written(df: DataFrame, label: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = scratch_path(spark, label)
+    Scratch.note(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

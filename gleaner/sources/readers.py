@@ -9,7 +9,7 @@ from gleaner import schemas
 from gleaner.functions.fields import trimmed
 
 MIN_FEED_LINK = 5
-# Layouts of feed dates after an optional day name, tried in order (fixed values).
+# Layouts of feed dates after an optional day name, tried in order.
 FEED_DATES = ["d MMM yyyy HH:mm:ss Z", "d MMM yyyy HH:mm:ss z", "yyyy-MM-dd'T'HH:mm:ssXXX"]
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from gleaner.operators import forum, threads
 from gleaner.plans import jobs as plans
-from gleaner.session import scratch_path
+from gleaner.session import Scratch, path_exists, scratch_path, written
 
 NOW = datetime.datetime(2024, 3, 1)
 EXTRA = ("permalink STRING, reddit_id STRING, parent_id STRING, created_time TIMESTAMP, user_name STRING, body STRING, "
@@ -173,3 +173,17 @@ def test_forum_job_with_threads_runs_twice(spark):
     for name, rows in before.items():
         assert sorted(map(tuple, spark.read.parquet(store.path(name)).collect()), key=repr) == rows
     assert set(store.counts.values().values()) == {0}
+
+
+def test_scratch_tables_are_deleted(spark):
+    with Scratch(spark) as scratch:
+        table = tree_rows(spark, [(1, 1, None), (2, 1, 1)])
+        assert forum.flatten_comments(table).count() == 2
+        with Scratch(spark) as inner:
+            written(table, "inner")
+        kept = [p for p in scratch.paths if path_exists(spark, p)]
+        assert len(kept) == len(scratch.paths) > 1 and not path_exists(spark, inner.paths[0])
+    assert not any(path_exists(spark, p) for p in scratch.paths)
+    before = len(scratch.paths)
+    written(table, "outside")
+    assert len(scratch.paths) == before
