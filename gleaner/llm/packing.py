@@ -43,27 +43,46 @@ class WordEncoder:
     """
 
     def __init__(self, path: str) -> None:
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, normalizers
 
         self.tokenizer = Tokenizer.from_file(path)
+        # For words that the normaliser leaves as they are.
+        self.bare = Tokenizer.from_file(path)
+        self.bare.normalizer = normalizers.Sequence([])
+        self._check()
         vocabulary = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)  # ids that end a pre-token
         self.ends[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
         self.known: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
+    def _check(self) -> None:
+        """What the shortcuts rest on: lower case, blanks that only separate, marks that are pre-tokens of their own."""
+        def ids(text: str, tokenizer=self.tokenizer) -> list[int]:
+            return tokenizer.encode(text, add_special_tokens=False).ids
+
+        parts = [ids(w) for w in ("word", "of", ",", "more", ".")]
+        if not ids("Word  oF,\tMORE.") == sum(parts, []) == ids("word of,more.", self.bare):
+            raise ValueError("not a tokenizer of separate lower-case words")
+
+    def _plain(self, words: list[str], tokenizer) -> None:
+        """Learn words of letters only, one pre-token each: they are encoded as one text and cut at the ends."""
+        if not words:
+            return
+        text = " ".join(words)
+        ids = np.array(tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype="<u4")
+        stops = np.flatnonzero(self.ends[ids]) + 1
+        if len(stops) == len(words) and stops[-1] == len(ids):
+            spelled, at = ids.tobytes(), 0
+            for w, stop in zip(words, (4 * stops).tolist(), strict=True):
+                self.known[w] = spelled[at:stop]
+                at = stop
+
     def _encode(self, words: list[str]) -> None:
-        """Learn words; those of letters only are one pre-token each and are encoded as one text, cut at the ends."""
         known = self.known
         plain = [w for w in words if w.isalpha() and w == w.lower()]
-        if plain:
-            ids = np.array(self.tokenizer.encode(" ".join(plain), add_special_tokens=False).ids, dtype="<u4")
-            stops = np.flatnonzero(self.ends[ids]) + 1
-            if len(stops) == len(plain) and stops[-1] == len(ids):
-                spelled, at = ids.tobytes(), 0
-                for w, stop in zip(plain, (4 * stops).tolist(), strict=True):
-                    known[w] = spelled[at:stop]
-                    at = stop
+        self._plain([w for w in plain if w.isascii()], self.bare)
+        self._plain([w for w in plain if not w.isascii()], self.tokenizer)
         rest = [w for w in words if w not in known]
         for w, e in zip(rest, self.tokenizer.encode_batch(rest, add_special_tokens=False), strict=True):
             known[w] = np.array(e.ids, dtype="<u4").tobytes()
