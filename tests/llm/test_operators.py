@@ -98,6 +98,67 @@ def test_near_classes_match_brute_force(spark):
     assert all(r["class_size"] == sizes[r["class_id"]] for r in rows)
 
 
+def weighted_classes(texts, least=0.8):
+    """Classes by the probability Jaccard of run counts, its sums written out over all pairs."""
+    bags = []
+    for t in texts:
+        w = re.findall(r"\w+", (t or "").lower())
+        bags.append(collections.Counter(tuple(w[k:k + 5]) for k in range(max(1, len(w) - 4))) if w else {})
+    root = list(range(len(texts)))
+    for i, x in enumerate(bags):
+        for j in range(i):
+            y = bags[j]
+            common = [r for r in x if r in y]
+            if len(common) < 0.4 * max(len(x), len(y)) and max([*x.values(), *y.values()], default=1) == 1:
+                continue
+            total = sum(1 / sum(max(x.get(q, 0) / x[r], y.get(q, 0) / y[r]) for q in {*x, *y}) for r in common)
+            if total >= least - 1e-9:
+                a, b = sorted((root[i], root[j]))
+                root = [a if r == b else r for r in root]
+    return root
+
+
+def test_near_classes_match_weighted_brute_force(spark):
+    rng = random.Random(11)
+    base = prose(rng, 60).split()
+    phrase = " ".join(base[:12])
+    texts = [
+        " ".join(base), " ".join(base * 3), " ".join(base) + " " + (phrase + " ") * 6, (phrase + " ") * 30, phrase + " end",
+        (phrase + " ") * 28 + "other end of it all", "a b c d e " * 40 + "x", "a b c d e " * 41 + "y z", None, "a b",
+    ]
+    for k in range(12):  # a passage repeated more or less often decides the weighted similarity
+        texts.append(" ".join(base[:40]) + " " + (" ".join(base[40:52]) + " ") * (k % 5 + 1) + f"tail{k // 6}")
+    rows = near_dedup.near_classes(frame(spark, texts)).collect()
+    want = weighted_classes(texts)
+    assert {r["doc_id"]: r["class_id"] for r in rows} == dict(enumerate(want))
+    assert want != brute_classes(texts)
+
+
+def test_buckets_of_many_blocks_and_unlike_texts(spark):
+    rng = random.Random(12)
+    passage, texts = prose(rng, 100), []
+    for k in range(150):  # alike to 0.7 by a passage they share, and no link
+        texts.append(passage + " " + " ".join(f"own{k}x{n}" for n in range(20)))
+    for k in range(0, 150, 3):  # but every third has a copy that differs in a word, which links the two
+        texts.append(texts[k] + " changed")
+    want = brute_classes(texts)
+    assert len(set(want)) == 150
+    for block in (16, near_dedup.BLOCK):
+        rows = near_dedup.near_classes(frame(spark, texts), block=block).collect()
+        assert {r["doc_id"]: r["class_id"] for r in rows} == dict(enumerate(want))
+
+
+def test_probability_jaccard_by_definition():
+    rng = np.random.default_rng(3)
+    for _ in range(200):
+        x, y = (rng.permutation(12)[:rng.integers(1, 12)].astype(np.uint64) for _ in range(2))
+        x, y = np.sort(x), np.sort(y)
+        w, v = rng.integers(1, 5, len(x)).astype(float), rng.integers(1, 5, len(y)).astype(float)
+        a, b = dict(zip(x.tolist(), w)), dict(zip(y.tolist(), v))
+        want = sum(1 / sum(max(a.get(j, 0) / a[i], b.get(j, 0) / b[i]) for j in {*a, *b}) for i in a if i in b)
+        assert abs(near_dedup.prob_jaccard(x, w, y, v) - want) < 1e-9
+
+
 def test_stages_keep_one_of_repeated_rows(spark):
     a, b = "one two three four five six seven eight", "other words " * 20
     rows = [(1, a), (1, a), (1, b), (2, a), (0, b), (None, a), (None, "alone here"), (None, "alone here"), (None, "only this"), (3, "x y"), (3, "p q")]
