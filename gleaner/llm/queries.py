@@ -32,7 +32,7 @@ def op3_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    return secrets.digest(secrets.find_secrets(docs, secrets.markov_ratios(docs)))
+    return secrets.digest(secrets.find_secrets(docs, *secrets.trained(docs)))
 
 
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,9 +1,12 @@
 """Secret scan against a brute force in Python."""
 
 import hashlib
+import random
 import re
+import string
 
 import pytest
+from pyspark.sql import functions as F
 
 from gleaner.llm import secrets
 
@@ -88,6 +91,40 @@ def test_keys_with_slashes_are_found_whole_and_paths_left(spark):
     assert [clean[100 + i] for i in range(len(paths))] == paths
 
 
+def test_error_rates_on_unseen_names_and_keys(spark):
+    rng = random.Random(4)
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    model = secrets.trained(docs)
+    words = set("""backoff hook yaml proxy await buffer registry thread span retry server http vector builder factory listener observer
+        adapter widget layout render reducer dispatch validator session cookie tracer metric handler timeout encoder payload""".split())
+    words = sorted(words - set(secrets.library_words()))
+    assert len(words) >= 15
+    names = []
+    while len(names) < 2000:
+        w = rng.choices(words, k=rng.randint(2, 5))
+        camel = w[0] + "".join(x.title() for x in w[1:])
+        name = rng.choice([camel, camel[0].upper() + camel[1:], "_".join(w), "_".join(w).upper(), "-".join(w)]) + rng.choice(["", str(rng.randint(0, 9999))])
+        names += [name] if len(name) >= 16 else []
+    kinds = {
+        "mixed": string.ascii_letters + string.digits, "letters": string.ascii_letters, "small": string.ascii_lowercase + string.digits,
+        "url": string.ascii_letters + string.digits + "+_",
+    }
+    rows = [(k, "name", n) for k, n in enumerate(names)]
+    for kind, signs in kinds.items():
+        rows += [(k, kind, "".join(rng.choices(signs, k=16))) for k in range(500)]
+    found = secrets.find_secrets(spark.createDataFrame(rows, "doc_id long, kind string, text string"), *model)
+    share = {r["kind"]: r["share"] for r in found.groupBy("kind").agg(F.avg((F.size("secret_spans") > 0).cast("int")).alias("share")).collect()}
+    assert share.pop("name") < 0.01 and min(share.values()) > 0.95, share
+
+
+def test_redact_keeps_clashing_columns_and_needs_no_count(spark, found):
+    docs = spark.createDataFrame([(1, "password=abcdef x", "own", "b", "t"), (1, None, "own", "b", "t")], "doc_id long, text string, secret_spans string, __base string, __taken string")
+    out = secrets.redact(docs, found[1])
+    assert out.columns == docs.columns
+    assert sorted(map(str, out.collect())) == sorted(map(str, docs.replace("password=abcdef x", "[SECRET] x").collect()))
+
+
 def test_empty_table(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
+    assert secrets.calibrated(docs, secrets.markov_ratios(docs)) >= secrets.LEAST_RATIO
     assert secrets.find_secrets(docs, secrets.markov_ratios(docs)).count() == 0
