@@ -42,9 +42,10 @@ class WordEncoder:
     What a worker has learnt is kept in two generations, so frequent words stay known in bounded memory.
     """
 
-    def __init__(self, path: str) -> None:
+    def __init__(self, path: str, remembered: int) -> None:
         from tokenizers import Tokenizer, normalizers
 
+        self.remembered = remembered
         self.tokenizer = Tokenizer.from_file(path)
         # For words that the normaliser leaves as they are.
         self.bare = Tokenizer.from_file(path)
@@ -107,7 +108,7 @@ class WordEncoder:
 
     def __call__(self, texts: list[str]) -> Iterator[bytes]:
         for at in range(0, len(texts), TOGETHER):
-            if len(self.known) > CACHE_WORDS:
+            if len(self.known) > self.remembered:
                 self.known, self.old = {}, self.known
             split = [t.split() if not _SEPARATOR.search(t) else _BLANK.split(t) for t in texts[at:at + TOGETHER]]
             new: set[str] = set()
@@ -120,17 +121,17 @@ class WordEncoder:
 
 
 @lru_cache(maxsize=2)
-def encoder(path: str) -> WordEncoder:
+def encoder(path: str, remembered: int = CACHE_WORDS) -> WordEncoder:
     """One encoder for each worker process; its tasks share what it has learnt."""
-    return WordEncoder(path)
+    return WordEncoder(path, remembered)
 
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, part int, nth long"
 
 
-def _cut(path: str, capacity: int, end_id: int):
+def _cut(path: str, capacity: int, end_id: int, remembered: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encode, part = encoder(path), TaskContext.get().partitionId()
+        encode, part = encoder(path, remembered), TaskContext.get().partitionId()
         seen: dict[int, int] = defaultdict(int)
         end, width = np.array([end_id], dtype="<u4").tobytes(), 4 * capacity
         for batch in batches:
@@ -206,10 +207,15 @@ def _placed(plan: list[tuple]):
     return run
 
 
-def pack(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
-    """One row per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset."""
+def pack(
+    docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end_id: int = END_ID, remembered: int = CACHE_WORDS
+) -> DataFrame:
+    """One row per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset.
+
+    `remembered` words a generation stay in a worker (some 200 bytes each); fewer cost time, not results.
+    """
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    pieces = pinned(texts.mapInPandas(_cut(tokenizer_path, capacity, end_id), PIECES), "pieces")
+    pieces = pinned(texts.mapInPandas(_cut(tokenizer_path, capacity, end_id, remembered), PIECES), "pieces")
     by_task = pieces.groupBy("part", "length").agg(F.count("*").alias("n"))
     before = F.sum("n").over(Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1))
     bases = by_task.select("part", "length", F.coalesce(before, F.lit(0)).alias("base"))
