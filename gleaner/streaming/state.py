@@ -15,14 +15,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.types import TimestampType
 
-# Posts that fall due in one minute are spread over so many keys.
-SALTS = 16
+# Posts that fall due in one hour are one key, or so many: keys cost calls, so their number follows the time and not the posts.
+HOUR_MS, SALTS = 3_600_000, 16
 
 
 # -- release by timers ------------------------------------------------------------------
 
 class ReleaseWhenDue(StatefulProcessor):
-    """Holds posts until the clock reaches their due time; one timer per due millisecond of a key."""
+    """Holds posts until the clock reaches their due time; a key's timer stands at the first due time of what it holds."""
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
@@ -32,20 +32,23 @@ class ReleaseWhenDue(StatefulProcessor):
         new = [(r["permalink"], r["created_us"], r["due_ms"]) for r in rows]
         if new:
             self.waiting.appendList(new)
-        for due in {r[2] for r in new}:
-            self.handle.registerTimer(due)
+            # One that stood later fires too, and finds what is left.
+            self.handle.registerTimer(min(r[2] for r in new))
         return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        due = expiredTimerInfo.getExpiryTimeInMs()
+        # All that is due by the clock leaves with the first timer.
+        last = max(expiredTimerInfo.getExpiryTimeInMs(), timerValues.getCurrentWatermarkInMs())
         held = [tuple(r) for r in self.waiting.get()]
-        kept = [r for r in held if r[2] > due]
+        kept = [r for r in held if r[2] > last]
         if kept:
-            self.waiting.put(kept)
-        else:
+            if len(kept) < len(held):
+                self.waiting.put(kept)
+            self.handle.registerTimer(min(r[2] for r in kept))
+        elif held:
             self.waiting.clear()
         for permalink, created_us, due_ms in held:
-            if due_ms <= due:
+            if due_ms <= last:
                 yield Row(permalink=permalink, created_us=created_us)
 
     def close(self) -> None:
@@ -63,8 +66,8 @@ def released(queue: DataFrame, lookback_hours: float) -> DataFrame:
     due_us = F.unix_micros("created_time") + F.lit(round(lookback_hours * 3_600_000_000))
     # Without the watermarked column no row counts as too late.
     rows = clocked.select("permalink", F.unix_micros("created_time").alias("created_us"), F.ceil(due_us / 1000).alias("due_ms"))
-    rows = rows.withColumns({"minute": F.floor(F.col("due_ms") / 60_000), "salt": F.pmod(F.xxhash64("permalink"), F.lit(SALTS))})
-    out = rows.groupBy("minute", "salt").transformWithState(
+    rows = rows.withColumns({"hour": F.floor(F.col("due_ms") / HOUR_MS), "salt": F.pmod(F.xxhash64("permalink"), F.lit(SALTS))})
+    out = rows.groupBy("hour", "salt").transformWithState(
         statefulProcessor=ReleaseWhenDue(), outputStructType="permalink STRING, created_us BIGINT",
         outputMode="Append", timeMode="eventTime")
     return out.select("permalink", F.timestamp_micros("created_us").alias("created_time"))

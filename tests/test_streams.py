@@ -6,7 +6,7 @@ import random
 from pyspark.sql import functions as F
 
 from gleaner.session import scratch_path
-from gleaner.streaming import jobs
+from gleaner.streaming import jobs, state
 
 START = datetime.datetime(2024, 1, 1)
 
@@ -40,6 +40,23 @@ def test_release_by_timers(spark):
     assert spark.read.parquet(f"{out}/rejected").count() == 3
 
 
+def test_timers_follow_the_time_and_not_the_posts():
+    """One timer for a key's rows of a batch; a firing lets all go that are due and waits for the next."""
+    from types import SimpleNamespace as N
+
+    held, timers = [], []
+    waiting = N(appendList=held.extend, get=lambda: iter(list(held)), clear=held.clear, put=lambda rows: held.__setitem__(slice(None), rows))
+    processor = state.ReleaseWhenDue()
+    processor.init(N(getListState=lambda *_: waiting, registerTimer=timers.append))
+    rows = [{"permalink": f"/p/{i}", "created_us": i, "due_ms": 1000 + i} for i in range(100)]
+    assert list(processor.handleInputRows((0, 0), iter(rows), None)) == [] and timers == [1000]
+    fire = lambda at, clock: [
+        r["permalink"] for r in processor.handleExpiredTimer(
+            (0, 0), N(getCurrentWatermarkInMs=lambda: clock), N(getExpiryTimeInMs=lambda: at))]
+    assert fire(1000, 1039) == [f"/p/{i}" for i in range(40)] and timers == [1000, 1040]
+    assert fire(1040, 2000) == [f"/p/{i}" for i in range(40, 100)] and timers == [1000, 1040] and held == []
+
+
 def accepted_one_by_one(batches):
     taken, out = set(), []
     for rows in batches:
