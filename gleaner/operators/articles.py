@@ -83,11 +83,17 @@ def known_links(articles: DataFrame, seen: DataFrame | None = None) -> DataFrame
 
 
 def unseen(rows: DataFrame, seen: DataFrame, column: str) -> DataFrame:
-    """Rows whose value of ``column`` is not a known link; null and one-byte values pass."""
-    # Their key is null and matches nothing.
-    key = F.when(urls.long_link(F.col(column)), F.col(column))
-    known = seen.select(F.col("link").alias("__key"))
-    return rows.withColumn("__key", key).join(known, "__key", "left_anti").drop("__key")
+    """Rows whose value of ``column`` is not a known link; null and one-byte values pass.
+
+    Those values match nothing, and may be many: they are spread by a hash of their row, not sent to one task as nulls are.
+    """
+    is_link = F.coalesce(urls.long_link(F.col(column)), F.lit(False))
+    hashed = [f.name for f in rows.schema if not any(x in f.dataType.simpleString() for x in ("map<", "variant"))]
+    key = F.when(is_link, F.col(column)).otherwise(F.xxhash64(*(F.col(f"`{c}`") for c in hashed)).cast("string"))
+    known = seen.select(F.col("link").alias("__known"))
+    asked = rows.withColumns({"__is_link": is_link, "__key": key})
+    matches = (F.col("__key") == F.col("__known")) & F.col("__is_link")
+    return asked.join(known, matches, "left_anti").drop("__key", "__is_link")
 
 
 def unseen_links(sources: DataFrame, seen: DataFrame) -> DataFrame:

@@ -1,5 +1,6 @@
 """Results under skew, and the shape of the plans."""
 
+import collections
 import datetime
 import random
 
@@ -235,3 +236,53 @@ def test_scan_reads_needed_columns_only(t):
     text = plan(bars.latest_bar(t("fx_bars")))
     schema = text[text.index("ReadSchema"):]
     assert "l_extendedprice" not in schema and "l_shipdate" in schema
+
+
+def test_rows_without_a_link_are_spread(spark):
+    """Null and one-byte values go to many tasks, match nothing and stay, whatever is known."""
+    raw = spark.range(4000).select("id", F.when(F.col("id") % 4 == 0, F.concat(F.lit("http://a/"), F.col("id"))).when(
+        F.col("id") % 4 == 1, "x").when(F.col("id") % 4 == 2, "").alias("canonical"), F.create_map(F.lit("a"), "id").alias("m"))
+    hashes = raw.where("canonical = 'x'").select(F.xxhash64("id", "canonical").cast("string").alias("link"))
+    seen = spark.createDataFrame([("http://a/8",), ("x",)], "link string").unionByName(hashes)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        got = articles.unseen_canonical(raw, seen).withColumn("part", F.spark_partition_id()).collect()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert sorted(r["id"] for r in got) == [i for i in range(4000) if i != 8]
+    sizes = collections.Counter(r["part"] for r in got if r["id"] % 4)
+    assert len(sizes) == 4 and max(sizes.values()) < 1500
+
+
+def test_landed_files_grow_with_the_rows(spark, t, monkeypatch):
+    from gleaner.catalog import streams
+    monkeypatch.setattr(streams, "FILE_ROWS", 1000)
+    stream = streams._batches(t, spark.range(18_000).select("id"), F.col("id") % 2, 2)
+    counts = []
+    stream.writeStream.foreachBatch(lambda batch, _: counts.append((
+        batch.select((F.col("id") % 2).alias("b")).distinct().count(), batch.select(F.input_file_name()).distinct().count(), batch.count()))).trigger(
+        availableNow=True).option("checkpointLocation", streams.scratch_path(spark, "cp")).start().awaitTermination()
+    assert counts == [(1, 9, 9000)] * 2
+
+
+def test_keywords_take_one_shuffle(spark, monkeypatch):
+    """Words are not rows; portions of any size, empty texts, repeated and null keys give the same."""
+    docs = spark.createDataFrame([
+        (1, "alpha beta gamma alpha delta"), (1, "alpha beta gamma alpha delta"), (2, "one"), (2, "one ONE"), (3, "the of"), (4, None),
+        (None, "beta alpha"), (None, "beta alpha"), (5, "zeta \U0001F600 éa zeta \uffdc")], "doc_id long, text string")
+    text = plan(ranking.keywords(docs, "doc_id"))
+    assert "Window" not in text and text.count("Exchange") == 1 and text.count("split(") == 1
+    rows = lambda: sorted((r["doc_id"] or 0, r["rank"], r["word"]) for r in ranking.keywords(docs, "doc_id").collect())
+    want = [(0, 1, "alpha"), (0, 2, "beta"), (1, 1, "alpha"), (1, 2, "beta"), (1, 3, "gamma"), (1, 4, "delta"), (2, 1, "one"), (2, 1, "one")]
+    want += [(5, 1, "zeta"), (5, 2, "éa"), (5, 3, "\uffdc")]
+    got = rows()
+    assert [r for r in got if r[0] in (0, 2)] == [r for r in want if r[0] in (0, 2)]
+    assert {r[2] for r in got if r[0] == 1} == {"alpha", "beta", "gamma", "delta"} and (1, 1, "alpha") in got
+    batch = ranking.pa.RecordBatch.from_arrays([ranking.pa.array([7, 8, 9]), ranking.pa.array(
+        [[["b", "a", "b", "c"]], [], [["x"], ["y", "z"]]])], names=["id", "lists"])
+    whole = ranking.pa.Table.from_batches(ranking._ranked_words([batch], 20)).to_pylist()
+    monkeypatch.setattr(ranking, "TOGETHER", 1)
+    split = ranking.pa.Table.from_batches(ranking._ranked_words([batch], 20)).to_pylist()
+    assert sorted(map(str, whole)) == sorted(map(str, split)) and whole[0] == {"id": 7, "rank": 1, "word": "b"}
