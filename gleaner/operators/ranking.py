@@ -12,10 +12,19 @@ The matrix is a product over words, so one damped step
 the words: sentences -> words -> sentences, minus the diagonal.  Work per step
 is linear in the words of the document; sentence pairs never appear.  All
 steps of a document run inside its row.
+
+Word graph of the keywords: neighbouring words are joined.  Many documents of
+a task are one sparse matrix, so a damped step is one pass over their edges.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from functools import partial
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -30,6 +39,8 @@ ROUNDS, DAMPING = 20, 0.85
 K1, B = 1.5, 0.75
 N_KEYWORDS = 20
 SCORE_DIGITS = 6
+# Words of the documents whose keywords are ranked at once.
+TOGETHER = 500_000
 
 
 def _iterate(step, n: Column) -> Column:
@@ -128,36 +139,72 @@ def keywords(
     Words are lower-cased, stop words dropped.  With ``forms`` (word, form) the
     forms of a word are one word; see ``vocabulary.word_forms``.
     """
-    worded = docs.select(key, tx.words(F.col(column)).alias("w")).where(F.size("w") > 0)
+    # Texts without words give empty lists; a filter here would split every text twice.
+    worded = docs.select(key, tx.words(F.col(column)).alias("w"))
     if forms is not None:
         worded = written(in_base_forms(worded, key, forms), "words")
-    single = worded.where(F.size(F.array_distinct("w")) == 1).select(
-        key, F.lit(1).alias("rank"), F.get("w", F.lit(0)).alias("word"))
-    # One shuffle by document; the windows and groupings below stay inside it.
-    tokens = worded.select(key, F.posexplode("w").alias("p", "word")).repartition(
-        shuffle_width(docs.sparkSession), key)
-    by_word, by_place = Window.partitionBy(key).orderBy("word"), Window.partitionBy(key).orderBy("p")
-    steps = (
-        tokens.withColumn("i", F.dense_rank().over(by_word) - 1)
-        .select(key, "i", "word", F.lead("i").over(by_place).alias("j"), F.lead("word").over(by_place).alias("next"))
-        .where("j <> i")
-        .select(key, F.inline(F.array(
-            F.struct("i", "word", "j"), F.struct(F.col("j").alias("i"), F.col("next").alias("word"), F.col("i").alias("j")))))
-    )
-    rows = (
-        steps.groupBy(key, "i").agg(F.sort_array(F.collect_set("j")).alias("near"), F.first("word").alias("word"))
-        .groupBy(key).agg(F.sort_array(F.collect_list(F.struct("i", "word", "near"))).alias("rows"))
-    )
-    n = F.size("rows")
-    near = F.transform("rows", lambda row: row["near"])
-
-    def step(r: Column, near: Column) -> Column:
-        given = F.zip_with(r, near, lambda score, row: score / F.size(row))
-        return let(given, lambda x: F.transform(
-            near, lambda row: (1 - DAMPING) / n + DAMPING * total(row, lambda i: F.get(x, i))))
-
-    scores = let(near, lambda lists: _iterate(lambda r: step(r, lists), n))
-    ranked = F.array_sort(F.zip_with("rows", scores, lambda row, s: F.struct(
-        (-F.round(s, SCORE_DIGITS)).alias("score"), row["word"].alias("word"))))
-    top = rows.select(key, F.posexplode(F.slice(ranked, 1, n_words)).alias("rank", "best"))
-    return top.select(key, (F.col("rank") + 1).alias("rank"), "best.word").unionByName(single)
+    # One shuffle by document; its graph is built and ranked inside a task, many documents at once.
+    lists = worded.repartition(shuffle_width(docs.sparkSession), key).groupBy(key).agg(F.collect_list("w").alias("lists"))
+    fields = f"`{key}` {lists.schema[key].dataType.simpleString()}, rank int, word string"
+    return lists.mapInArrow(partial(_ranked_words, n_words=n_words), fields)
+
+
+def _ranked_words(batches: Iterator[pa.RecordBatch], n_words: int) -> Iterator[pa.RecordBatch]:
+    """(key, lists of words) -> (key, rank, word), some documents of about ``TOGETHER`` words at a time."""
+    for batch in batches:
+        key, lists = batch.columns
+        first = np.asarray(lists.offsets)
+        ends = np.asarray(lists.values.offsets)[first] if len(lists.values) else first
+        share = (ends[1:] - ends[0]) // TOGETHER
+        for part in np.unique(share):
+            some = np.flatnonzero(share == part)
+            lo, hi = int(some[0]), int(some[-1]) + 1
+            doc, rank, word = _central_words(lists.slice(lo, hi - lo), n_words)
+            yield pa.RecordBatch.from_arrays(
+                [key.take(pa.array(doc + lo)), pa.array(rank, pa.int32()), word], names=[batch.schema.names[0], "rank", "word"])
+
+
+def _central_words(lists: pa.ListArray, n_words: int) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+    """(document, rank, word) of documents given as lists of words each; several lists of a document are read side by side.
+
+    A list of one word repeated gives that word, once for each such list, beside what the document's graph gives.
+    """
+    n_docs = len(lists)
+    owner = np.repeat(np.arange(n_docs), np.diff(np.asarray(lists.offsets)))  # document of a list
+    inner = lists.flatten()
+    size = np.diff(np.asarray(inner.offsets))
+    words = inner.flatten().dictionary_encode()
+    spelled = words.dictionary
+    by_name = np.asarray(pc.sort_indices(spelled))
+    name = np.empty(len(by_name), dtype=np.int64)
+    name[by_name] = np.arange(len(by_name))
+    code = name[np.asarray(words.indices)]  # codes in the order of the words
+    row = np.repeat(np.arange(len(size)), size)
+    start = np.cumsum(size) - size
+    place = np.arange(len(code)) - start[row]
+    differs = np.bincount(row, weights=code != code[start[row]], minlength=len(size)) > 0
+    one = np.flatnonzero(~differs & (size > 0))
+
+    order = np.lexsort((place, owner[row]))  # keeps lists of one document side by side, and single lists as they are
+    doc, code_at = owner[row][order], code[order]
+    nodes, node = np.unique(doc * len(by_name) + code_at, return_inverse=True)
+    step = (doc[1:] == doc[:-1]) & (node[1:] != node[:-1])
+    u, v = node[:-1][step], node[1:][step]
+    edges = np.unique(np.concatenate([u * len(nodes) + v, v * len(nodes) + u]))
+    u, v = edges // max(len(nodes), 1), edges % max(len(nodes), 1)
+    degree = np.bincount(u, minlength=len(nodes))
+    linked = degree > 0
+    of_doc = nodes // max(len(by_name), 1)
+    n = np.maximum(np.bincount(of_doc[linked], minlength=n_docs), 1)[of_doc]
+    scores, out = 1.0 / n, np.maximum(degree, 1)
+    for _ in range(ROUNDS):
+        scores = (1 - DAMPING) / n + DAMPING * np.bincount(v, weights=(scores / out)[u], minlength=len(nodes))
+    rounded = np.floor(scores * 10 ** SCORE_DIGITS + 0.5)
+    at = np.flatnonzero(linked)
+    at = at[np.lexsort((nodes[at], -rounded[at], of_doc[at]))]
+    count = np.bincount(of_doc[at], minlength=n_docs)
+    rank = np.arange(len(at)) - (np.cumsum(count) - count)[of_doc[at]]
+    at, rank = at[rank < n_words], rank[rank < n_words]
+    best = np.concatenate([nodes[at] % max(len(by_name), 1), code[start[one]]])
+    word = spelled.take(pa.array(by_name[best]))
+    return np.concatenate([of_doc[at], owner[one]]), np.concatenate([rank + 1, np.ones(len(one), dtype=np.int64)]), word
