@@ -16,9 +16,16 @@ def _slices(t, df, by: str, n: int = 3):
     return _batches(t, df, F.pmod(F.col(by), F.lit(n)), n)
 
 
+# Rows of a landed file, about.
+FILE_ROWS = 250_000
+
+
 def _batches(t, df, number, n: int):
-    """Land the rows in ``n`` batches by their number; each batch has the same number of files."""
-    path, files = scratch_path(t.spark, "landed"), 4
+    """Land the rows in ``n`` batches by their number; each batch has the same number of files, which grows with the rows."""
+    path, sizes = scratch_path(t.spark, "landed"), dict.fromkeys(range(n), 0)
+    sizes |= {int(r["b"]): r["n"] for r in df.groupBy(number.alias("b")).agg(F.count("*").alias("n")).collect() if r["b"] in sizes}
+    # A file without rows would not be written, so the smallest batch must fill them all.
+    files = max(4, min(-(-max(sizes.values()) // FILE_ROWS), min(sizes.values()) // 1000))
     for i in range(n):
         df.where(number == i).repartition(files).write.option("maxRecordsPerFile", 0).mode("append").parquet(path)
     return jobs.landed(t.spark, path, df.schema, files)
