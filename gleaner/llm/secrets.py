@@ -1,9 +1,8 @@
 """Secret scans with DataFrame functions only.
 
 Base patterns find assigned values, access keys and hex strings.  Further spans come from two character Markov models: one of
-random strings, one of ordinary identifiers.  Both are bigram counts over labelled samples, drawn from a bounded sample of rows
-by Spark: digests of their ids in several alphabets are the random strings; the different words of their texts and of the
-names that the Python libraries in use export, joined as names are (camel and Pascal case, snake case in both cases, dashes,
+random strings, one of ordinary identifiers.  Both are bigram counts that Spark takes over all rows: digests of
+their ids in several alphabets are the random strings; the different words of their texts and of the names that the Python libraries in use export, joined as names are (camel and Pascal case, snake case in both cases, dashes,
 with and without numbers) and alone, are the identifiers (the mean of a model of each source).  Every token of 16 characters and more that has a letter is scored by
 its log-likelihood ratio; the ratio from which it is reported is set on names made of words held out of training.  A token that overlaps a base span adds nothing.  Tokens with slashes are paths or base64: they are cut
 at slashes and equals signs, ordinary parts (words by their shape or their ratio, and what a base span holds) end a run, and
@@ -26,6 +25,8 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
+from gleaner.llm.common import pinned
+
 # Patterns of the contract (fixed values).
 ASSIGN = r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 ACCESS = r"AKIA[A-Z0-9]{16,}"
@@ -43,13 +44,13 @@ ORDINARY = -6.0
 LEAST_LENGTH = 16
 IDENTIFIER = r"(?<![A-Za-z0-9_])[A-Za-z]{2,14}(?![A-Za-z0-9_])"
 KINDS = ["assign", "access", "hex", "random"]
-#: Rows whose words and digests train the models; share of held-out identifiers that may be reported, and the log-likelihood
-#: ratio (nats) from which a token is reported at least.
-SAMPLE_ROWS = 500
+#: Share of held-out identifiers that may be reported, and the log-likelihood ratio (nats) from which a token is reported at least.
 FALSE_SHARE = 0.001
 LEAST_RATIO = 4.0
 #: Orders of the words from which names are made; observations that a bigram's prior counts for.
 SHUFFLES = 8
+#: Groups of an order whose words are neighbours: sixteen, or as many as keep them at about so many words.
+GROUPS, GROUP_WORDS = 16, 4096
 BACK_OFF = 50
 
 
@@ -101,44 +102,55 @@ def library_words() -> list[str]:
     return sorted({w.lower() for n in names for w in re.findall("[A-Z]?[a-z]+", n) if 2 <= len(w) <= 14})
 
 
-def _sample(docs: DataFrame, sample_rows: int, held: bool) -> tuple[DataFrame, DataFrame]:
-    """(random, token): identifiers of corpus (0) or library (2) words for training, or of the fifth held out; random strings (1)."""
-    order = [F.xxhash64("doc_id"), F.col("doc_id")]
-    picked = docs.select("doc_id").filter(F.col("doc_id").isNotNull()).orderBy(*order).limit(sample_rows).distinct()
-    rows = docs.join(picked, "doc_id", "left_semi").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    clean = rows.filter(~(F.col("text").rlike(ASSIGN) | F.col("text").rlike(ACCESS) | F.col("text").rlike(HEX)))
-    words = clean.select(F.explode(F.regexp_extract_all("text", F.lit(IDENTIFIER), F.lit(0))).alias("word"))
+def corpus_words(docs: DataFrame) -> DataFrame:
+    """(random, word): the different lower-case words of all texts without base matches (0) and of the library (2), written once."""
+    text = docs.filter(F.col("doc_id").isNotNull()).select(F.coalesce("text", F.lit("")).alias("text"))
+    clean = text.filter(~(F.col("text").rlike(ASSIGN) | F.col("text").rlike(ACCESS) | F.col("text").rlike(HEX)))
+    found = F.transform(F.regexp_extract_all("text", F.lit(IDENTIFIER), F.lit(0)), F.lower)
+    words = clean.select(F.explode(F.array_distinct(found)).alias("word"))
     known = docs.sparkSession.createDataFrame([(w,) for w in library_words()], "word string")
-    words = words.select(F.lit(0).alias("random"), F.lower("word").alias("word"))
-    words = words.unionByName(known.select(F.lit(2).alias("random"), "word")).distinct()
+    both = words.select(F.lit(0).alias("random"), "word").unionByName(known.select(F.lit(2).alias("random"), "word"))
+    return pinned(both.distinct(), "secret_words")
+
+
+def _identifiers(words: DataFrame, held: bool) -> DataFrame:
+    """(random, token): identifiers of the words (see ``corpus_words``) for training, or of the fifth held out."""
+    groups = max(GROUPS, -(-words.count() // GROUP_WORDS))
     fold = F.pmod(F.xxhash64("word"), F.lit(5))
     words = words.filter(fold == 0 if held else fold > 0)
     words = words.select("random", "word", F.explode(F.sequence(F.lit(0), F.lit(SHUFFLES - 1))).alias("nth"))
     near = F.sort_array(F.collect_list(F.struct(F.xxhash64("word", "nth", F.lit(1)).alias("h"), "word")))
-    rows = words.groupBy("random", "nth", F.pmod(F.xxhash64("word", "nth"), F.lit(16))).agg(near.alias("near"))
+    rows = words.groupBy("random", "nth", F.pmod(F.xxhash64("word", "nth"), F.lit(groups))).agg(near.alias("near"))
     names = rows.select("random", F.col("near.word").alias("words"))
-    names = names.select("random", F.explode(_names(F.col("words"))).alias("token")).distinct()
+    return names.select("random", F.explode(_names(F.col("words"))).alias("token")).distinct()
+
+
+def _drawn(docs: DataFrame) -> DataFrame:
+    """(random, token): random strings (1), from the digests of all ids."""
+    picked = docs.select("doc_id").filter(F.col("doc_id").isNotNull()).distinct()
     digest = F.sha2(F.col("doc_id").cast("string"), 512)
     wide = F.regexp_replace(F.base64(F.unhex(digest)), r"\s|=", "")
     letters = F.regexp_replace(wide, "[^A-Za-z]", "")
     forms = [wide, F.regexp_replace(wide, "[+/]", ""), letters, F.lower(letters), F.lower(F.regexp_replace(wide, "[+/]", "")),
              F.upper(F.regexp_replace(wide, "[+/]", "")), F.substring(digest, 1, 24)]
-    drawn = picked.select(F.lit(1).alias("random"), F.explode(F.array(*forms)).alias("token"))
-    return names, drawn
+    return picked.select(F.lit(1).alias("random"), F.explode(F.array(*forms)).alias("token"))
 
 
-def calibrated(docs: DataFrame, ratios: list[float], false_share: float = FALSE_SHARE, sample_rows: int = SAMPLE_ROWS) -> float:
+def calibrated(docs: DataFrame, ratios: list[float], false_share: float = FALSE_SHARE, words: DataFrame | None = None) -> float:
     """The ratio that `false_share` of the long identifiers of held-out words, of the worse source, exceed; LEAST_RATIO at least."""
-    names, _ = _sample(docs, sample_rows, True)
+    names = _identifiers(corpus_words(docs) if words is None else words, True)
     scores = names.filter(F.length("token") >= LEAST_LENGTH).select("random", _ratio(F.col("token"), _table(ratios)).alias("ratio"))
     found = scores.groupBy("random").agg(F.percentile_approx("ratio", 1 - false_share, 100_000).alias("at")).collect()
     return max([LEAST_RATIO, *(r["at"] for r in found)])
 
 
-def markov_ratios(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> list[float]:
-    """log P(b | a, random) - log P(b | a, identifier) at index 128 a + b, from at most `sample_rows` rows; 0 between two signs."""
-    words, drawn = _sample(docs, sample_rows, False)
-    counts = {(r["random"], r["code"]): r["n"] for r in _bigrams(words.unionByName(drawn)).collect()}
+def markov_ratios(docs: DataFrame, words: DataFrame | None = None) -> list[float]:
+    """log P(b | a, random) - log P(b | a, identifier) at index 128 a + b, from all rows; 0 between two signs.
+
+    The digests are counted apart from the names, so that their bigrams never share a shuffle with words.
+    """
+    names = _identifiers(corpus_words(docs) if words is None else words, False)
+    counts = {(r["random"], r["code"]): r["n"] for tokens in (names, _drawn(docs)) for r in _bigrams(tokens).collect()}
     kind = [0 if chr(a).islower() else 1 if chr(a).isupper() else 2 if chr(a).isdigit() else 3 for a in range(128)]
     size = [26, 26, 10, 5]
     first, second, kinds, turns = Counter(), Counter(), Counter(), Counter()
@@ -166,8 +178,9 @@ def _table(ratios: list[float]) -> Column:
 
 def trained(docs: DataFrame) -> tuple[list[float], float]:
     """The ratios learned from `docs`, and the ratio from which to report a token."""
-    ratios = markov_ratios(docs)
-    return ratios, calibrated(docs, ratios)
+    words = corpus_words(docs)
+    ratios = markov_ratios(docs, words)
+    return ratios, calibrated(docs, ratios, words=words)
 
 
 def _cut(text: Column, span: Column) -> Column:

@@ -128,3 +128,14 @@ def test_empty_table(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert secrets.calibrated(docs, secrets.markov_ratios(docs)) >= secrets.LEAST_RATIO
     assert secrets.find_secrets(docs, secrets.markov_ratios(docs)).count() == 0
+
+
+def test_models_learn_from_every_row(spark):
+    """Words and ids of every row count, however many rows there are."""
+    rows = [(i, "alpha beta gamma delta epsilon") for i in range(700)]
+    words = "".join(chr(97 + i) for i in range(26))
+    rows += [(700 + i, f"q{words[i]}zx q{words[i]}xz Q{words[i]}zx") for i in range(26)] + [(None, "unread"), (999, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    known = {r["word"] for r in secrets.corpus_words(docs).where("random = 0").collect()}
+    assert known == {"alpha", "beta", "gamma", "delta", "epsilon"} | {f"q{c}{e}" for c in words for e in ("zx", "xz")}
+    assert secrets._drawn(docs).count() == 7 * 727
