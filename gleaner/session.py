@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 #    which AQE then splits, also where that costs one more shuffle.
 #  * co-partition on a subset of the join keys: clean_articles ships text once
 #    per block and joins inside the block without another shuffle.
+#  * Arrow batches by bytes: 10,000 long texts at once are hundreds of MB in each Python worker.
 #  * state store: streams keep their state on disk, and checkpoint changes only.
 SQL_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -22,6 +23,7 @@ SQL_SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.requireAllClusterKeysForCoPartition": "false",
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(8 << 20),
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
