@@ -185,10 +185,11 @@ def _(t):
         F.col("article_id").alias("target_id"), F.array_join(both.cast("array<string>"), ",").alias("neighbours"))
 
 
-def _pool(t):
+def _pool(t, packed=False):
     articles = t("fx_article")
     table = written(cleaning.article_sentences(articles), "sentences")
-    return table, cleaning.check_sentence_pool(adjacency.adjacent_articles(articles, articles), table)
+    adjacent = adjacency.adjacent_articles(articles, articles, blocks=packed)
+    return table, cleaning.check_sentence_pool(written(adjacent, "neighbours") if packed else adjacent, table, packed)
 
 
 @query("check_sentence_pool", f"""
@@ -220,8 +221,8 @@ def _(t):
 
 @query("unique_sentences_flat", f"WITH {KEPT} SELECT target_id, CAST(pos AS INTEGER) AS pos, sentence FROM kept")
 def _(t):
-    """The form for any targets and check sentences, on a written pool."""
-    table, pool = _pool(t)
+    """The form for any targets and check sentences, on a pool of written sentences."""
+    table, pool = _pool(t, packed=True)
     return cleaning.unique_sentences(_targets(table), pool)
 
 

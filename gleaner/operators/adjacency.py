@@ -152,17 +152,22 @@ def place_targets(
 
 def adjacent_articles(
     targets: DataFrame, articles: DataFrame, n_before: int = N_BEFORE, n_after: int = N_AFTER,
-    hot_rows: int = HOT_ROWS,
+    hot_rows: int = HOT_ROWS, blocks: bool = False,
 ) -> DataFrame:
-    """(target_id, side, rank, article_id): at most 10 articles before and 5 after each target."""
+    """(target_id, side, rank, article_id): at most 10 articles before and 5 after each target.
+
+    With ``blocks`` also the block of the target (see ``place_targets``), one for all rows of a repeated id.
+    """
     placed = place_targets(targets, articles, n_before, n_after, hot_rows)
+    if blocks:
+        placed = placed.withColumn("block", F.min("block").over(Window.partitionBy("article_id")))
 
     def listed(side: str) -> Column:
         return F.transform(side, lambda i, rank: F.struct(
             F.lit(side).alias("side"), (rank + 1).alias("rank"), i.alias("article_id")))
 
     return placed.select(
-        F.col("article_id").alias("target_id"), F.inline(after_then_before(listed("after"), listed("before"))))
+        *["block"] * blocks, F.col("article_id").alias("target_id"), F.inline(after_then_before(listed("after"), listed("before"))))
 
 
 def after_then_before(after: Column, before: Column) -> Column:

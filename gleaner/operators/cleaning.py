@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections import defaultdict
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -66,8 +68,16 @@ def article_sentences(articles: DataFrame) -> DataFrame:
     return body.where(F.col("text").isNotNull()).select("article_id", tx.split_sentences(F.col("text")).alias("sentences"))
 
 
-def check_sentence_pool(adjacent: DataFrame, sentence_table: DataFrame) -> DataFrame:
-    """(target_id, side, rank, article_id, pos, sentence): all sentences of all neighbours, repeats kept."""
+def check_sentence_pool(adjacent: DataFrame, sentence_table: DataFrame, packed: bool = False) -> DataFrame:
+    """(target_id, side, rank, article_id, pos, sentence): all sentences of all neighbours, repeats kept.
+
+    ``packed``, of neighbours with the block of their target, is the pool as (block, article_id, targets, sentences): a text
+    stands there once for all targets of a block that it is next to, and a target in one block only.
+    """
+    if packed:
+        known = adjacent.where(F.col("target_id").isNotNull())
+        adjacent = known.groupBy("block", "article_id").agg(F.collect_set("target_id").alias("targets"))
+        return adjacent.join(sentence_table, "article_id").select("block", "article_id", "targets", "sentences")
     return explode_pool(adjacent.join(sentence_table, "article_id"))
 
 
@@ -98,7 +108,10 @@ def unique_sentences(targets: DataFrame, check: DataFrame) -> DataFrame:
     of their own target whose length is near enough, in arrays of about a
     thousand, so no sentence pair is ever a row.  The check sentences are
     computed once and written without repeats; all steps read that table.
+    A packed pool is never taken apart: its texts travel once per block.
     """
+    if "targets" in check.columns:
+        return _in_blocks(targets, check, judge_near=True)
     place = ["target_id", "band"]
     band = _band(F.length("sentence"))
     check = written(check.select("target_id", band.alias("band"), "sentence").distinct(), "check")
@@ -119,6 +132,55 @@ def unique_sentences(targets: DataFrame, check: DataFrame) -> DataFrame:
     return left.join(near, ["target_id", "pos"], "left_anti").select("target_id", "pos", "sentence")
 
 
+def _in_blocks(targets: DataFrame, check: DataFrame, judge_near: bool) -> DataFrame:
+    """``except_sentences`` or ``unique_sentences`` with a packed pool; a block is one group of a task.
+
+    Targets without check sentences have no block and are dealt by their own place.
+    """
+    width = shuffle_width(targets.sparkSession)
+    blocks = check.select(F.explode("targets").alias("target_id"), "block").distinct()
+    own = targets.select("target_id", "pos", "sentence").join(blocks, "target_id", "left").withColumn(
+        "block", F.coalesce("block", F.xxhash64("target_id", "pos", "sentence")))
+    shipped = check.select(F.col("block").alias("of_block"), F.col("targets").alias("for_targets"), "sentences")
+
+    def kept(own: pa.Table, shipped: pa.Table) -> pa.Table:
+        return _kept(own, shipped, judge_near)
+
+    return (
+        own.repartition(width, "block").groupBy("block")
+        .cogroup(shipped.repartition(width, "of_block").groupBy("of_block"))
+        .applyInArrow(kept, targets.select("target_id", "pos", "sentence").schema))
+
+
+def _kept(own: pa.Table, shipped: pa.Table, judge_near: bool) -> pa.Table:
+    """One block: its target sentences without those that are equal to, or near, a check sentence of their target."""
+    number: dict[str, int] = {}
+    pools = defaultdict(list)
+    for targets, sentences in zip(shipped["for_targets"].to_pylist(), shipped["sentences"].to_pylist(), strict=True):
+        codes = np.array([number.setdefault(x, len(number)) for x in sentences if x is not None], dtype=np.int64)
+        for target in targets:
+            pools[target].append(codes)
+    places = defaultdict(list)
+    for place, target in enumerate(own["target_id"].to_pylist()):
+        places[target].append(place)
+    coded = [-1 if x is None else number.setdefault(x, len(number)) for x in own["sentence"].to_pylist()]
+    coded = np.array(coded, dtype=np.int64)
+    keep, groups, open_ = np.ones(own.num_rows, dtype=bool), [], []
+    for target, found in places.items():
+        if target in pools:
+            found, pool = np.array(found), np.unique(np.concatenate(pools[target]))
+            keep[found] = ~np.isin(coded[found], pool)
+            groups.append(found[keep[found]])
+            open_.append((np.unique(coded[groups[-1]][coded[groups[-1]] >= 0]), pool))
+    if judge_near and open_:
+        # A place of a target goes as a whole, also where the target's id stands twice.
+        pos = own["pos"].to_numpy()
+        for found, (different, _), lost in zip(groups, open_, _shared(near.Sentences(list(number)), open_), strict=True):
+            gone = np.isin(coded[found], different[lost])
+            keep[found[np.isin(pos[found], pos[found[gone]])]] = False
+    return own.select(["target_id", "pos", "sentence"]).filter(pa.array(keep))
+
+
 def unshared_sentences(targets: DataFrame, articles: DataFrame, **adjacency) -> DataFrame:
     """(article_id, n_neighbours, n_check, pos, kept): a target's sentences that no neighbour has, nor one nearer than ten edits.
 

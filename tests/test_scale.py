@@ -126,6 +126,28 @@ def test_long_sentences_keep_their_band(spark):
         (2, k) for k, n in enumerate(edges) if any(abs(len(c) - n) <= 9 and dist(rows[2 * k + 1][2], c) <= 9 for g, c in check if g == 2)}
 
 
+@pytest.mark.parametrize("operator", [cleaning.unique_sentences])
+def test_packed_pool(spark, operator):
+    """Texts travel once per block, not once per target and neighbour, and the same sentences stay."""
+    rng = random.Random(11)
+    lines = ["".join(rng.choice("abcdefgh ") for _ in range(rng.randrange(5, 60))) for _ in range(80)]
+    rows = [(i if i % 50 else None, "h", DAY + datetime.timedelta(minutes=i // 3)) for i in range(400)] + [(7, "h", DAY)]
+    articles_ = spark.createDataFrame(rows, "article_id long, host string, published_time timestamp").select(
+        "*", F.lit(None).cast("timestamp").alias("source_published_time"), F.col("published_time").alias("data_entry_time"))
+    texts = [(i, [rng.choice(lines) + rng.choice(["", "x" * 9, "y" * 20]) + str(rng.randrange(30)) for _ in range(6)]) for i, *_ in rows]
+    table = spark.createDataFrame(texts, "article_id long, sentences array<string>").cache()
+    targets = table.select(F.col("article_id").alias("target_id"), F.posexplode("sentences").alias("pos", "sentence"))
+    flat = cleaning.check_sentence_pool(adjacency.adjacent_articles(articles_, articles_), table)
+    pool = cleaning.check_sentence_pool(adjacency.adjacent_articles(articles_, articles_, blocks=True), table, packed=True)
+
+    def found(check):
+        return collections.Counter(map(tuple, operator(targets, check).select("target_id", "pos", "sentence").collect()))
+
+    assert found(pool) == found(flat)
+    assert 0 < found(pool).total() < targets.count()
+    assert pool.select(F.sum(F.size("sentences"))).first()[0] < 2 * targets.count() < flat.count() / 4
+
+
 def dist(a, b):
     row = list(range(len(b) + 1))
     for i, x in enumerate(a, 1):
