@@ -86,7 +86,9 @@ def explode_pool(rows: DataFrame) -> DataFrame:
 
 
 def except_sentences(targets: DataFrame, check: DataFrame) -> DataFrame:
-    """Target sentences without an equal check sentence of the same target."""
+    """Target sentences without an equal check sentence of the same target; ``check`` may be a packed pool."""
+    if "targets" in check.columns:
+        return _in_blocks(targets, check, judge_near=False)
     return targets.join(check.select("target_id", "sentence").distinct(), ["target_id", "sentence"], "left_anti")
 
 

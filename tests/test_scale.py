@@ -126,7 +126,7 @@ def test_long_sentences_keep_their_band(spark):
         (2, k) for k, n in enumerate(edges) if any(abs(len(c) - n) <= 9 and dist(rows[2 * k + 1][2], c) <= 9 for g, c in check if g == 2)}
 
 
-@pytest.mark.parametrize("operator", [cleaning.unique_sentences])
+@pytest.mark.parametrize("operator", [cleaning.unique_sentences, cleaning.except_sentences])
 def test_packed_pool(spark, operator):
     """Texts travel once per block, not once per target and neighbour, and the same sentences stay."""
     rng = random.Random(11)
