@@ -21,7 +21,7 @@ _TRIMMED = f"regexp_replace(value, {quoted(fields.EDGE_SPACE)}, '')"
 _HOST = "try_parse_url({}, 'HOST')"
 _MARK = quoted(tx.MARK)
 _CUT = f"regexp_replace(replace(text, {_MARK}, ' '), {quoted(tx.SENTENCE_END)}, {quoted('$1' + tx.MARK + '$2')})"
-_MENDED = f"regexp_replace({_CUT}, {quoted(tx.ABBREVIATION_MARK)}, '$1$2.')"
+_MENDED = f"regexp_replace({_CUT}, {quoted(tx.ABBREVIATION_MARK)}, '.')"
 _PIECES = f"split(regexp_replace({_MENDED}, {quoted('[' + chr(92) + 'r' + chr(92) + 'n]+')}, {_MARK}), {_MARK})"
 _STOP_WORDS = ", ".join(map(quoted, ["", *tx.STOP_WORDS]))
 

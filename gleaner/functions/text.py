@@ -44,10 +44,14 @@ SENTENCE_END = "([.!?]+[\"'”’»)\\]]*)(\\s)"
 
 
 def abbreviation_mark(abbreviations: list[str], any_case: bool = False) -> str:
-    """Pattern of a cut right after one of the abbreviations."""
+    """Pattern of a cut right after one of the abbreviations, with its full stop.
+
+    Cuts are few, so the words are looked for backwards from a cut and not at every place of a text.  Looking back counts
+    UTF-16 units, of which a letter may have two.
+    """
     words = "|".join(a.replace(".", "[.]") for a in sorted(abbreviations, key=len, reverse=True)) if any_case else "|".join(
         a.replace(".", "[.]") for a in abbreviations)
-    return rf"{'(?iu)' if any_case else ''}(^|[^\p{{L}}])({words})[.]{MARK}"
+    return rf"{'(?iu)' if any_case else ''}[.]{MARK}(?<=(?<!\p{{L}}{{1,2}})(?:{words})[.]{MARK})"
 
 
 ABBREVIATION_MARK = abbreviation_mark(ABBREVIATIONS)
@@ -78,7 +82,8 @@ def normalize_text(text: Column) -> Column:
 
     Only rows with '&' or a non-ASCII character are sent to Python.
     """
-    bare = F.nullif(strip_html(F.make_valid_utf8(text)), F.lit(""))
+    valid = F.make_valid_utf8(text)
+    bare = F.nullif(F.when(valid.contains("<"), strip_html(valid)).otherwise(valid), F.lit(""))
     needs = bare.contains("&") | (F.octet_length(bare) != F.length(bare))
     return F.coalesce(_unescape_nfkc(F.when(needs, bare)), bare)
 
@@ -93,10 +98,10 @@ def split_sentences(text: Column, learned: list[str] | None = None) -> Column:
     """
     marked = F.regexp_replace(F.replace(text, F.lit(MARK), F.lit(" ")), SENTENCE_END, f"$1{MARK}$2")
     if learned is None:
-        marked = F.regexp_replace(marked, ABBREVIATION_MARK, "$1$2.")
+        marked = F.regexp_replace(marked, ABBREVIATION_MARK, ".")
     elif learned:
-        marked = F.regexp_replace(marked, abbreviation_mark(learned, any_case=True), "$1$2.")
-    pieces = F.split(F.regexp_replace(marked, r"[\r\n]+", MARK), MARK)
+        marked = F.regexp_replace(marked, abbreviation_mark(learned, any_case=True), ".")
+    pieces = F.split(marked, rf"[\r\n{MARK}]+")
     return F.filter(F.transform(pieces, lambda p: F.regexp_replace(p, SPACE_EDGE, "")), is_meaningful)
 
 

@@ -236,26 +236,25 @@ def _shared(known: near.Sentences, open_: list[tuple[np.ndarray, np.ndarray]]) -
 
     Pairs come up again for targets that are each other's neighbours, so many targets are judged together and a pair once.
     """
-    out = [np.zeros(len(own), dtype=bool) for own, _ in open_]
+    ends = np.cumsum([len(own) for own, _ in open_], dtype=np.int64)
+    out = np.zeros(int(ends[-1]) if open_ else 0, dtype=bool)
     held, waiting = [], 0
 
     def judge() -> None:
-        target, place, one, two = map(np.concatenate, zip(*held, strict=True))
+        place, one, two = map(np.concatenate, zip(*held, strict=True))
         keys, back = np.unique(np.minimum(one, two) << 32 | np.maximum(one, two), return_inverse=True)
-        found = known.near(keys >> 32, keys & ((1 << 32) - 1))[back]
-        for t in np.unique(target[found]).tolist():
-            out[t][place[found & (target == t)]] = True
+        out[place[known.near(keys >> 32, keys & ((1 << 32) - 1))[back]]] = True
 
-    for t, (own, pool) in enumerate(open_):
+    for (own, pool), end in zip(open_, ends.tolist(), strict=True):
         for place, other in near.near_in_pool(known, own, pool):
-            held.append((np.full(len(place), t), place, own[place], other))
+            held.append((end - len(own) + place, own[place], other))
             waiting += len(place)
             if waiting > TOGETHER:
                 judge()
                 held, waiting = [], 0
     if held:
         judge()
-    return out
+    return np.split(out, ends[:-1])
 
 
 _UNSHARED = pa.schema([

@@ -245,6 +245,29 @@ def test_pairs_of_sentences_against_the_distance(monkeypatch):
     assert listed == {(i, j) for i in own.tolist() for j in pool.tolist() if abs(len(texts[i]) - len(texts[j])) <= 9}
 
 
+def test_long_pairs_are_measured_in_small_portions(monkeypatch):
+    """Pairs measured at once hold so many places, however long their sentences are; the code point zero is one like others."""
+    portions, measured = [], near.Sentences._measured
+    monkeypatch.setattr(near.Sentences, "_measured", lambda self, a, b: portions.append(
+        (len(a), int(self.length[a].max()))) or measured(self, a, b))
+    texts = ["ab\0cd " * 1500, "ab\0cd " * 1500 + "\0" * 9, "\0" * 12, "\0" * 21, "b" * 12] + ["ab cd ef gh " * 600 + str(k) for k in range(200)]
+    known = near.Sentences(texts)
+    others = np.arange(5, len(texts))
+    one = np.concatenate([[0, 2, 2], np.repeat(others, 3)])
+    two = np.concatenate([[1, 3, 4], np.roll(others, 1), np.roll(others, 2), np.roll(others, 3)])
+    assert known.near(one, two).tolist() == [True, True, False] + [True] * 600
+    assert sum(n for n, _ in portions) >= 602 and all(n * longest <= near.PLACES for n, longest in portions)
+
+
+def test_abbreviations_are_looked_for_at_cuts_only(spark):
+    """Backwards from a cut: letters outside the basic plane are letters, other signs end a word."""
+    from gleaner.functions import text as tx
+    assert tx.ABBREVIATION_MARK.startswith(f"[.]{tx.MARK}")
+    rows = spark.createDataFrame([("Mr. Bo 😀Mr. Bo (Dr. Bo",), ("𐐀Mr. Bo",), ("éMr. Bo",), ("x\nU.S. Bo\r\n\nabc",)], "v string")
+    got = [r["s"] for r in rows.select(tx.split_sentences(F.col("v")).alias("s")).collect()]
+    assert got == [["Mr. Bo 😀Mr. Bo (Dr. Bo"], ["𐐀Mr."], ["éMr."], ["U.S. Bo", "abc"]]
+
+
 def test_sentences_of_articles_without_neighbours(spark, t):
     stored = t("fx_article").where("article_id IN (1001, 1002, 1004)")
     rows = cleaning.unshared_sentences(stored, stored.where("article_id = 1001")).collect()
