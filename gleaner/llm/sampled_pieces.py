@@ -17,6 +17,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -25,7 +26,7 @@ from pyspark.sql import DataFrame, functions as F
 
 THETA = 1.0
 BYTE_PENALTY = 20.0
-#: Places of words a worker remembers, and code points sampled side by side.
+#: Places of words a worker remembers before it forgets half of them, and code points sampled side by side.
 CACHE_PLACES = 700_000
 TOGETHER = 400_000
 MARK, KEPT = "▁", "\ud800"  # the blank mark; a stand-in, never valid text, for a mark in the text
@@ -101,6 +102,21 @@ class Sampler:
         self.used = 0
         self.upto = np.zeros((1 << 16, self.longest), dtype=np.float32)
         self.piece = np.zeros((1 << 16, self.longest), dtype=np.int32)
+        self.uses = np.zeros(1 << 16, dtype=np.int32)  # portions that used a word, at its first place
+
+    def _forget(self) -> None:
+        """Keep the words that the most portions used, in half the places; older uses count for less."""
+        words, base = list(self.base), np.fromiter(self.base.values(), dtype=np.int64, count=len(self.base))
+        size = np.diff(base, append=self.used)
+        order = np.argsort(-self.uses[base], kind="stable")
+        keep = np.sort(order[np.cumsum(size[order]) <= CACHE_PLACES // 2])
+        base, size = base[keep], size[keep]
+        moved = np.cumsum(size) - size
+        self.used = int(size.sum())
+        places = np.repeat(base - moved, size) + np.arange(self.used)
+        self.upto[:self.used], self.piece[:self.used] = self.upto[places], self.piece[places]
+        self.uses[moved] = self.uses[base] >> 1
+        self.base = dict(zip(map(words.__getitem__, keep.tolist()), moved.tolist(), strict=True))
 
     def _filter(self, words: list[str]) -> None:
         """Forward filtering: for every place of a word the cumulative shares of the pieces that end there, by length.
@@ -129,27 +145,28 @@ class Sampler:
         ids[bare, 0], weights[bare, 0] = -1 - codes[bare].astype(np.int64), np.exp(-BYTE_PENALTY)
         plain = bare & (codes < 128)  # one byte
         ids[plain, 0] = np.array(self.byte)[codes[plain].astype(np.int64)]
-        sums, upto = np.zeros(total), np.zeros((total, self.longest))
-        sums[base] = 1.0
+        end = self.used + total
+        while end > len(self.upto):
+            self.upto = np.concatenate([self.upto, np.zeros_like(self.upto)])
+            self.piece = np.concatenate([self.piece, np.zeros_like(self.piece)])
+            self.uses = np.concatenate([self.uses, np.zeros_like(self.uses)])
+        sums, upto = np.zeros(total), self.upto[self.used:end]
+        sums[base], upto[:] = 1.0, 2.0
         order = np.argsort(-lengths, kind="stable")
         ordered, back = base[order], np.arange(1, self.longest + 1)
         alive = np.searchsorted(-lengths[order], -np.arange(1, lengths.max() + 1), side="right")
         for j, n in enumerate(alive.tolist(), 1):
-            at = ordered[:n] + j
-            terms = sums[np.maximum(at[:, None] - back, 0)] * weights[at]
-            part = np.cumsum(terms, axis=1)
+            at, m = ordered[:n] + j, min(j, self.longest)  # no piece is longer than what lies before a place
+            part = np.cumsum(sums[at[:, None] - back[:m]] * weights[at, :m], axis=1)
             sums[at] = part[:, -1]
-            upto[at] = part / part[:, -1:]
+            part /= part[:, -1:]
+            part[part > 1 - 1e-6] = 2.0
+            upto[at, :m] = part
             if j % 16 == 0:  # only shares count, so a word's last sums are scaled together
                 scale = sums[at]
                 for k in range(min(j, self.longest - 1) + 1):
                     sums[at - k] /= scale
-        upto[upto > 1 - 1e-6] = 2.0
-        end = self.used + total
-        while end > len(self.upto):
-            self.upto = np.concatenate([self.upto, np.zeros_like(self.upto)])
-            self.piece = np.concatenate([self.piece, np.zeros_like(self.piece)])
-        self.upto[self.used:end], self.piece[self.used:end] = upto, ids
+        self.piece[self.used:end], self.uses[base + self.used] = ids, 0
         self.base.update(zip(words, (base + self.used).tolist(), strict=True))
         self.used = end
 
@@ -166,16 +183,14 @@ class Sampler:
 
     def _together(self, keys: list[int], texts: list[str]) -> list[np.ndarray]:
         if self.used > CACHE_PLACES:
-            self._clear()
+            self._forget()
         split = [_WORD.findall(MARK + t.replace(MARK, KEPT).replace(" ", MARK)) if t else [] for t in texts]
-        new: set[str] = set()
-        for words in split:
-            new.update(set(words).difference(self.base))
-        self._filter(sorted(new))
+        self._filter(sorted(set().union(*split).difference(self.base)))
         counts = np.array([len(w) for w in split])
         get = self.base.__getitem__
-        base = np.fromiter((b for words in split for b in map(get, words)), dtype=np.int64, count=counts.sum())
-        left = np.fromiter((n for words in split for n in map(len, words)), dtype=np.int64, count=counts.sum())
+        base = np.fromiter(map(get, chain.from_iterable(split)), dtype=np.int64, count=counts.sum())
+        self.uses[base] += 1
+        left = np.fromiter(map(len, chain.from_iterable(split)), dtype=np.int64, count=counts.sum())
         first = np.cumsum(counts) - counts
         nth = (np.arange(len(base)) - np.repeat(first, counts)).astype(np.uint64)
         with np.errstate(over="ignore"):
