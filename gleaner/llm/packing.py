@@ -85,7 +85,7 @@ class WordEncoder:
         self._plain([w for w in plain if w.isascii()], self.bare)
         self._plain([w for w in plain if not w.isascii()], self.tokenizer)
         rest = [w for w in words if w not in known]
-        for w, e in zip(rest, self.tokenizer.encode_batch(rest, add_special_tokens=False), strict=True):
+        for w, e in zip(rest, self.tokenizer.encode_batch_fast(rest, add_special_tokens=False), strict=True):
             known[w] = np.array(e.ids, dtype="<u4").tobytes()
 
     def _learn(self, words: set[str]) -> None:
@@ -111,10 +111,7 @@ class WordEncoder:
             if len(self.known) > self.remembered:
                 self.known, self.old = {}, self.known
             split = [t.split() if not _SEPARATOR.search(t) else _BLANK.split(t) for t in texts[at:at + TOGETHER]]
-            new: set[str] = set()
-            for words in split:
-                new.update(set(words).difference(self.known))
-            self._learn(new)
+            self._learn(set().union(*split).difference(self.known))
             get = self.known.__getitem__
             for words in split:
                 yield b"".join(map(get, words))

@@ -346,9 +346,43 @@ def test_rules_for_crossing_tokens():
     assert own.tolist() == [0, 0, 1, -1]
 
 
+def test_packing_asks_for_ids_only():
+    """Words are encoded without offsets, and a word of many texts is asked for once."""
+    encode = packing.WordEncoder(P.path("word_bpe_49k.json"), 1000)
+
+    class Fast:
+        def __init__(self, tokenizer):
+            self.tokenizer, self.asked = tokenizer, []
+
+        def encode_batch_fast(self, texts, **options):
+            self.asked += texts
+            return self.tokenizer.encode_batch_fast(texts, **options)
+
+    texts = ["new-word, x1 Straße 日本 Plain."] * 5 + ["", " x1\x1cx1 "]
+    plain = [encode.tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    encode.tokenizer = fast = Fast(encode.tokenizer)
+    assert [np.frombuffer(b, dtype="<u4").tolist() for b in encode(texts)] == plain
+    assert fast.asked.count("x1") == 1
+
+
 # sampled pieces
 
 
+def test_frequent_words_are_filtered_once(monkeypatch):
+    """A full memory keeps the words that many portions use, and draws stay the same."""
+    path, rng = P.path("piece_bpe_32k.model"), random.Random(2)
+    texts = ["the often seen words " + " ".join("".join(rng.choices("abcdefgh", k=9)) for _ in range(10)) for _ in range(200)]
+    keys = list(range(len(texts)))
+    whole = [p.tolist() for p in sampled_pieces.Sampler(path)(keys, texts)]
+    monkeypatch.setattr(sampled_pieces, "CACHE_PLACES", 1000)
+    monkeypatch.setattr(sampled_pieces, "TOGETHER", 300)
+    filtered, filter_ = collections.Counter(), sampled_pieces.Sampler._filter
+    monkeypatch.setattr(sampled_pieces.Sampler, "_filter", lambda self, words: filtered.update(words) or filter_(self, words))
+    draw = sampled_pieces.Sampler(path)
+    assert [p.tolist() for p in draw(keys, texts)] == whole
+    assert filtered["▁often"] == filtered["▁seen"] == 1 and draw.used < 2000
+
+
 def test_pieces_round_trip_and_shares(spark):
     path, rng = P.path("piece_bpe_32k.model"), random.Random(1)
     texts = [None, "", " ", "▁", "a▁ b", "é😀\x00 \n\n", "x" * 3000, "日本語" * 40, " lead  trail "]
