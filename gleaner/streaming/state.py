@@ -90,15 +90,16 @@ class KnownLinks(StatefulProcessor):
         self.known = handle.getValueState("known", "known BOOLEAN")
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
-        was_known, asked = self.known.exists(), []
-        is_known = was_known
+        is_claimed, asked = False, []
         for r in rows:
             if r["is_claim"]:
-                is_known = True
+                is_claimed = True
             else:
                 asked.append(r["row_key"])
-        if is_known and not was_known:
+        # Every call of the state costs, so a claim is stored unasked.
+        if is_claimed:
             self.known.update((True,))
+        is_known = is_claimed or self.known.exists()
         for row_key in asked:
             yield Row(row_key=row_key, is_known=is_known)
 

@@ -110,3 +110,24 @@ def test_a_list_holds_at_least_one_row(spark):
     out, checkpoint = jobs.stream_paths(spark, "lists")
     jobs.stream_capped_list(land(spark, [[("a", 1)], [("a", 2)]], "k string, n int"), "k", ["n"], 0, out, checkpoint)
     assert [(r["n"], r["rank"]) for r in jobs.read_capped_lists(spark, out, "k").collect()] == [(2, 1)]
+
+
+def test_claims_are_stored_unasked():
+    """One call of the state per key and batch."""
+    class State:
+        def __init__(self):
+            self.value, self.calls = None, []
+
+        def exists(self):
+            self.calls.append("exists")
+            return self.value is not None
+
+        def update(self, value):
+            self.calls.append("update")
+            self.value = value
+
+    links, claim, ask = state.KnownLinks(), {"is_claim": True, "row_key": None}, {"is_claim": False, "row_key": "a"}
+    links.known = kept = State()
+    answers = [[tuple(r) for r in links.handleInputRows(("x",), iter(rows), None)] for rows in ([ask], [claim], [ask], [ask, claim])]
+    assert answers == [[("a", False)], [], [("a", True)], [("a", True)]]
+    assert kept.calls == ["exists", "update", "exists", "update"]
