@@ -41,6 +41,15 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ x >> np.uint64(31)
 
 
+def _words(text: str) -> list[str]:
+    """The words of a text with one mark in front; where blanks stand alone, each begins a word."""
+    text = MARK + text.replace(MARK, KEPT)
+    if "  " in text or text.startswith(MARK + " "):
+        return _WORD.findall(text.replace(" ", MARK))
+    words = text.replace(" ", " " + MARK)
+    return list(filter(None, words.replace("\n", " \n ").split(" "))) if "\n" in words else words.split(" ")
+
+
 class Sampler:
     def __init__(self, path: str, theta: float = THETA) -> None:
         import sentencepiece
@@ -61,48 +70,55 @@ class Sampler:
         if any("\n" in p and p != "\n" or MARK in p.lstrip(MARK) for p in found):
             raise ValueError("the vocabulary has pieces across words")
         self.longest = max(map(len, found))
+        self.width = -(-self.longest // 8) * 8  # whole machine words of flags
         self.ids = np.array([-1, *(i for i, _ in found.values())], dtype=np.int32)
         self.weights = np.array([0.0, *(w for _, w in found.values())])
         with np.errstate(over="ignore"):
             self.powers = np.array([pow(int(_M1), k, 1 << 64) for k in range(self.longest)], dtype=np.uint64)
-            names = [np.array([ord(c) for c in reversed(p)], dtype=np.uint64) for p in found]
-            self.hashes = np.array([0, *((n * self.powers[:len(n)]).sum(dtype=np.uint64) + np.uint64(len(n)) for n in names)], dtype=np.uint64)
-        self._tabulate()
+        self._tabulate(list(found))
         self._clear()
 
-    def _tabulate(self) -> None:
-        """An open hash table of the pieces with probes of at most three slots."""
-        for turn in range(1, 1000):
-            slots: dict[int, int] = {}
-            with np.errstate(over="ignore"):
-                self.turn = _STEP * np.uint64(2 * turn + 1)
-                places = (self.hashes[1:] * self.turn >> np.uint64(44)).tolist()
-            for k, at in enumerate(places, 1):
-                free = next((at + i for i in range(3) if at + i not in slots), None)
-                if free is None:
-                    break
-                slots[free] = k
-            else:
-                self.slots = np.zeros((1 << 20) + 3, dtype=np.int32)
-                self.slots[list(slots)] = list(slots.values())
-                return
-        raise ValueError("no hash table without long probes")
+    def _tabulate(self, pieces: list[str]) -> None:
+        """An open hash table of all ends of pieces, by hash: the number of the piece, 0 if the end is none itself."""
+        numbers: dict[str, int] = {}
+        for k, piece in enumerate(pieces, 1):
+            numbers[piece] = k
+            for i in range(1, len(piece)):
+                numbers.setdefault(piece[i:], 0)
+        powers = self.powers.tolist()
+        hashes = [(sum(ord(c) * p for c, p in zip(reversed(end), powers)) + len(end)) % (1 << 64) for end in numbers]
+        self.shift = np.uint64(64 - max(18, (4 * len(hashes)).bit_length()))
+        size = 1 << 64 - int(self.shift)
+        self.keys, self.numbers = np.zeros(size + len(hashes), dtype=np.uint64), np.zeros(size + len(hashes), dtype=np.int32)
+        with np.errstate(over="ignore"):
+            home = (np.array(hashes, dtype=np.uint64) * _STEP >> self.shift).tolist()
+        taken: dict[int, int] = {}
+        for h, at, k in zip(hashes, home, numbers.values(), strict=True):
+            while at in taken:
+                at += 1
+            taken[at] = h
+            self.numbers[at] = k
+        self.keys[list(taken)] = np.array(list(taken.values()), dtype=np.uint64)
 
-    def _lookup(self, hashes: np.ndarray) -> np.ndarray:
-        """Number of the piece with each hash, 0 where there is none."""
-        at = (hashes * self.turn >> np.uint64(44)).astype(np.int64)
-        found = np.zeros(len(at), dtype=np.int32)
-        for i in range(3):
-            hit = self.slots[at + i]
-            found = np.where(self.hashes[hit] == hashes, hit, found)
-        return found
+    def _lookup(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Which hashes are ends of pieces, and the numbers of these pieces."""
+        at = (hashes * _STEP >> self.shift).astype(np.int64)
+        key = self.keys[at]
+        other = np.flatnonzero((key != hashes) & (key != 0))
+        while len(other):
+            at[other] += 1
+            key[other] = self.keys[at[other]]
+            other = other[(key[other] != hashes[other]) & (key[other] != 0)]
+        which = np.flatnonzero(key == hashes)
+        return which, self.numbers[at[which]]
 
     def _clear(self) -> None:
         self.base: dict[str, int] = {}
         self.used = 0
-        self.upto = np.zeros((1 << 16, self.longest), dtype=np.float32)
-        self.piece = np.zeros((1 << 16, self.longest), dtype=np.int32)
+        self.upto = np.zeros((1 << 16, self.width), dtype=np.float32)
+        self.piece = np.zeros((1 << 16, self.width), dtype=np.int32)
         self.uses = np.zeros(1 << 16, dtype=np.int32)  # portions that used a word, at its first place
+        self.size = np.zeros(1 << 16, dtype=np.int32)  # its length, too
 
     def _forget(self) -> None:
         """Keep the words that the most portions used, in half the places; older uses count for less."""
@@ -114,59 +130,70 @@ class Sampler:
         moved = np.cumsum(size) - size
         self.used = int(size.sum())
         places = np.repeat(base - moved, size) + np.arange(self.used)
-        self.upto[:self.used], self.piece[:self.used] = self.upto[places], self.piece[places]
-        self.uses[moved] = self.uses[base] >> 1
+        self.upto[:self.used], self.piece[:self.used] = self.upto.take(places, axis=0), self.piece.take(places, axis=0)
+        self.uses[moved], self.size[moved] = self.uses[base] >> 1, self.size[base]
         self.base = dict(zip(map(words.__getitem__, keep.tolist()), moved.tolist(), strict=True))
 
     def _filter(self, words: list[str]) -> None:
         """Forward filtering: for every place of a word the cumulative shares of the pieces that end there, by length.
 
-        Substrings are looked up by rolling hashes and all words advance side by side, place by place.
+        Substrings are looked up by rolling hashes, longer ones only where a piece ends so.  All words advance side by side, place
+        by place; the longest come first, so the words that have a j-th place lie together in what is kept by place.
         """
         if not words:
             return
-        lengths = np.array([len(w) for w in words])
+        words.sort(key=len, reverse=True)
+        lengths = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
         base = np.cumsum(lengths + 1) - lengths - 1
         total = int(base[-1] + lengths[-1] + 1)
-        codes = np.zeros(total, dtype=np.uint64)  # a word's first place stays zero
-        inside = np.ones(total, dtype=bool)
-        inside[base] = False
-        codes[inside] = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), dtype="<u4")
-        depth = np.arange(total) - np.repeat(base, lengths + 1)
-        ids, weights = np.zeros((total, self.longest), np.int32), np.zeros((total, self.longest))
-        with np.errstate(over="ignore"):
-            rolling = np.zeros(total, dtype=np.uint64)
-            for k in range(self.longest):
-                at = np.flatnonzero(depth > k)
-                rolling[at] += codes[at - k] * self.powers[k]
-                hit = self._lookup(rolling[at] + np.uint64(k + 1))
-                ids[at, k], weights[at, k] = self.ids[hit], self.weights[hit]
-        bare = inside & (weights[:, 0] == 0)
-        ids[bare, 0], weights[bare, 0] = -1 - codes[bare].astype(np.int64), np.exp(-BYTE_PENALTY)
-        plain = bare & (codes < 128)  # one byte
-        ids[plain, 0] = np.array(self.byte)[codes[plain].astype(np.int64)]
         end = self.used + total
         while end > len(self.upto):
             self.upto = np.concatenate([self.upto, np.zeros_like(self.upto)])
             self.piece = np.concatenate([self.piece, np.zeros_like(self.piece)])
             self.uses = np.concatenate([self.uses, np.zeros_like(self.uses)])
-        sums, upto = np.zeros(total), self.upto[self.used:end]
-        sums[base], upto[:] = 1.0, 2.0
-        order = np.argsort(-lengths, kind="stable")
-        ordered, back = base[order], np.arange(1, self.longest + 1)
-        alive = np.searchsorted(-lengths[order], -np.arange(1, lengths.max() + 1), side="right")
-        for j, n in enumerate(alive.tolist(), 1):
-            at, m = ordered[:n] + j, min(j, self.longest)  # no piece is longer than what lies before a place
-            part = np.cumsum(sums[at[:, None] - back[:m]] * weights[at, :m], axis=1)
-            sums[at] = part[:, -1]
-            part /= part[:, -1:]
-            part[part > 1 - 1e-6] = 2.0
-            upto[at, :m] = part
+            self.size = np.concatenate([self.size, np.zeros_like(self.size)])
+        upto, piece = self.upto[self.used:end], self.piece[self.used:end]
+        codes = np.zeros(total, dtype=np.uint64)  # a word's first place stays zero, which no piece holds
+        depth = np.arange(total) - np.repeat(base, lengths + 1)
+        inside = np.flatnonzero(depth)
+        codes[inside] = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), dtype="<u4")
+        alive = np.concatenate([[len(words)], np.searchsorted(-lengths, -np.arange(1, lengths[0] + 1), side="right")])
+        start = np.cumsum(alive) - alive
+        column = start[depth] + np.repeat(np.arange(len(words)), lengths + 1)
+        weights = np.zeros((self.longest, total))  # by place
+        at, rolling = inside, np.zeros(len(inside), dtype=np.uint64)
+        with np.errstate(over="ignore"):
+            for k in range(self.longest):
+                rolling = rolling + codes[at - k] * self.powers[k]
+                which, number = self._lookup(rolling + np.uint64(k + 1))
+                at, rolling = at[which], rolling[which]
+                whole = np.flatnonzero(number)
+                number, place = number[whole], at[whole]
+                weights[k, column[place]] = self.weights[number]
+                piece[place, k] = self.ids[number]
+        bare = inside[weights[0, column[inside]] == 0]
+        weights[0, column[bare]] = np.exp(-BYTE_PENALTY)
+        piece[bare, 0] = -1 - codes[bare].astype(np.int64)
+        plain = bare[codes[bare] < 128]  # one byte
+        piece[plain, 0] = np.array(self.byte)[codes[plain].astype(np.int64)]
+        sums = np.zeros(total)  # by place
+        sums[:len(words)], upto[:] = 1.0, 2.0
+        for j, (n, first) in enumerate(zip(alive[1:].tolist(), start[1:].tolist(), strict=True), 1):
+            m = min(j, self.longest)  # no piece is longer than what lies before a place
+            part = weights[:m, first:first + n]
+            for k in range(m):
+                part[k] *= sums[start[j - 1 - k]:start[j - 1 - k] + n]
+                if k:
+                    part[k] += part[k - 1]
+            sums[first:first + n] = part[-1]
+            part /= part[-1].copy()
+            np.putmask(part, part > 1 - 1e-6, 2.0)
+            upto[base[:n] + j, :m] = part.T
             if j % 16 == 0:  # only shares count, so a word's last sums are scaled together
-                scale = sums[at]
+                scale = sums[first:first + n].copy()
                 for k in range(min(j, self.longest - 1) + 1):
-                    sums[at - k] /= scale
-        self.piece[self.used:end], self.uses[base + self.used] = ids, 0
+                    sums[start[j - k]:start[j - k] + n] /= scale
+        self.uses[base + self.used], self.size[base + self.used] = 0, lengths
         self.base.update(zip(words, (base + self.used).tolist(), strict=True))
         self.used = end
 
@@ -184,13 +211,13 @@ class Sampler:
     def _together(self, keys: list[int], texts: list[str]) -> list[np.ndarray]:
         if self.used > CACHE_PLACES:
             self._forget()
-        split = [_WORD.findall(MARK + t.replace(MARK, KEPT).replace(" ", MARK)) if t else [] for t in texts]
-        self._filter(sorted(set().union(*split).difference(self.base)))
+        split = [_words(t) if t else [] for t in texts]
+        self._filter(list(set().union(*split).difference(self.base)))
         counts = np.array([len(w) for w in split])
         get = self.base.__getitem__
         base = np.fromiter(map(get, chain.from_iterable(split)), dtype=np.int64, count=counts.sum())
         self.uses[base] += 1
-        left = np.fromiter(map(len, chain.from_iterable(split)), dtype=np.int64, count=counts.sum())
+        left = self.size[base].astype(np.int64)
         first = np.cumsum(counts) - counts
         nth = (np.arange(len(base)) - np.repeat(first, counts)).astype(np.uint64)
         with np.errstate(over="ignore"):
@@ -199,19 +226,21 @@ class Sampler:
             while len(live):
                 place = base[live] + left[live]
                 u = (_mixed(seed[live] + np.uint64(step + 1) * _M2) >> np.uint64(11)).astype(np.float64) / 2**53
-                slot = (self.upto[place] <= u[:, None].astype(np.float32)).sum(axis=1)
+                below = self.upto.take(place, axis=0) <= u[:, None].astype(np.float32)
+                slot = np.bitwise_count(below.view(np.uint64)).sum(axis=1, dtype=np.int64)
                 who.append(live)
                 when.append(np.full(len(live), step, dtype=np.int32))
-                what.append(self.piece[place, slot])
+                what.append(self.piece.take(place * self.width + slot))
                 left[live] -= slot + 1
                 live = live[left[live] > 0]
                 step += 1
         if not who:
             return [np.zeros(0, dtype=np.int32) for _ in texts]
         who, when, what = np.concatenate(who), np.concatenate(when), np.concatenate(what)
-        what = what[np.lexsort((-when, who))]
-        per_word = np.bincount(who, minlength=len(base))
-        bounds = np.concatenate([[0], np.cumsum(per_word)])
+        bounds = np.concatenate([[0], np.cumsum(np.bincount(who, minlength=len(base)))])
+        ordered = np.empty_like(what)
+        ordered[bounds[who + 1] - 1 - when] = what  # a word's pieces were drawn from its end
+        what = ordered
         out = [what[bounds[a]:bounds[a + n]] for a, n in zip(first, counts, strict=True)]
         return [self._in_bytes(x) if (x < 0).any() else x for x in out]
 

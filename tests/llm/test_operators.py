@@ -383,6 +383,21 @@ def test_frequent_words_are_filtered_once(monkeypatch):
     assert filtered["▁often"] == filtered["▁seen"] == 1 and draw.used < 2000
 
 
+def test_longer_substrings_are_looked_up_only_where_a_piece_ends_so(monkeypatch):
+    """Of a word without pieces of several characters only its characters and pairs are looked up; marked words split alike."""
+    looked, lookup = [], sampled_pieces.Sampler._lookup
+    monkeypatch.setattr(sampled_pieces.Sampler, "_lookup", lambda self, hashes: looked.append(len(hashes)) or lookup(self, hashes))
+    draw = sampled_pieces.Sampler(P.path("piece_bpe_32k.model"))
+    word = "\u0416\u4e5d" * 500
+    assert draw.decode(next(draw([1], [word])).tolist()) == word
+    assert sum(looked) <= 2 * len("\u2581" + word) + 10
+    rng = random.Random(5)
+    for _ in range(3000):
+        text = "".join(rng.choices("a  \n\u2581b\t", k=rng.randint(1, 9)))
+        marked = "\u2581" + text.replace("\u2581", sampled_pieces.KEPT).replace(" ", "\u2581")
+        assert sampled_pieces._words(text) == sampled_pieces._WORD.findall(marked)
+
+
 def test_pieces_round_trip_and_shares(spark):
     path, rng = P.path("piece_bpe_32k.model"), random.Random(1)
     texts = [None, "", " ", "▁", "a▁ b", "é😀\x00 \n\n", "x" * 3000, "日本語" * 40, " lead  trail "]
