@@ -13,6 +13,7 @@ other columns are ignored; all texts are encoded whole.
 from __future__ import annotations
 
 import re
+import unicodedata
 import zlib
 from collections import defaultdict
 from collections.abc import Iterator
@@ -34,6 +35,9 @@ TOGETHER = 256
 
 _BLANK = re.compile(r"[ \t\n\r]+")
 _SEPARATOR = re.compile(r"[\x1c-\x1f]")  # blanks to Python, not to the tokenizer
+#: Marks after a letter are pre-tokens apart from it; letters below U+0250 are composed and have one small letter each.
+_MARKS = ".,;:!?*&%$#+-=~|/()[]{}"
+_FAR = re.compile("[<\u0250-\U0010ffff]")
 
 
 class WordEncoder:
@@ -54,7 +58,7 @@ class WordEncoder:
         vocabulary = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)  # ids that end a pre-token
         self.ends[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
-        self.known: dict[str, bytes] = {}
+        self.known: dict[str, bytes] = {"": b""}
         self.old: dict[str, bytes] = {}
 
     def _check(self) -> None:
@@ -65,6 +69,8 @@ class WordEncoder:
         parts = [ids(w) for w in ("word", "of", ",", "more", ".")]
         if not ids("Word  oF,\tMORE.") == sum(parts, []) == ids("word of,more.", self.bare):
             raise ValueError("not a tokenizer of separate lower-case words")
+        if any(ids(f"word{m}{m}") != parts[0] + ids(m + m) or ids(f"Évı{m}") != ids("évı", self.bare) + ids(m) for m in _MARKS):
+            raise ValueError("not a tokenizer of words apart from marks")
 
     def _plain(self, words: list[str], tokenizer) -> None:
         """Learn words of letters only, one pre-token each: they are encoded as one text and cut at the ends."""
@@ -80,41 +86,49 @@ class WordEncoder:
                 at = stop
 
     def _encode(self, words: list[str]) -> None:
+        """Learn words; those without far letters are in lower case."""
         known = self.known
-        plain = [w for w in words if w.isalpha() and w == w.lower()]
-        self._plain([w for w in plain if w.isascii()], self.bare)
-        self._plain([w for w in plain if not w.isascii()], self.tokenizer)
+        plain = [w for w in words if w.isalpha()]
+        far = set(filter(_FAR.search, plain)) if _FAR.search(" ".join(plain)) else set()
+        self._plain([w for w in plain if w not in far] if far else plain, self.bare)
+        self._plain(list(far), self.tokenizer)
         rest = [w for w in words if w not in known]
         for w, e in zip(rest, self.tokenizer.encode_batch_fast(rest, add_special_tokens=False), strict=True):
             known[w] = np.array(e.ids, dtype="<u4").tobytes()
 
     def _learn(self, words: set[str]) -> None:
         known, old = self.known, self.old
-        bare = {}
-        for w in words:
-            ids = old.get(w)
-            if ids is not None:
-                known[w] = ids
-            else:
-                b = w[:-1] if len(w) > 1 and w[-1] in ".," and w[-2].isalpha() else w
-                bare[w] = (b.lower() if b.isascii() and "<" not in b else b, "" if b is w else w[-1])
-        need = {x for pair in bare.values() for x in pair if x and x not in known}
-        for w in need & old.keys():
-            known[w] = old[w]
-        new = [w for w in need if w not in known]
-        self._encode(new)
-        for w, (b, mark) in bare.items():
-            known[w] = known[b] + known[mark] if mark else known.get(b, b"")
+        again = words & old.keys()
+        known.update(zip(again, map(old.__getitem__, again)))
+        new = list(words - again)
+        bare = [w.rstrip(_MARKS) for w in new]
+        # Some letters end in a combining mark once they are normalised, which joins the marks behind it.
+        ends = {c for c in {b[-1:] for b in bare} if unicodedata.normalize("NFC", c).lower()[-1:].isalpha()}
+        bare = [b if b[-1:] in ends else w for w, b in zip(new, bare, strict=True)]
+        marks = [w[len(b):] for w, b in zip(new, bare, strict=True)]
+        text = "\n".join(bare)
+        if _FAR.search(text):
+            bare = [b if _FAR.search(b) else b.lower() for b in bare]
+        else:
+            bare = text.lower().split("\n")
+        need = set(bare).union(marks).difference(known)
+        again = need & old.keys()
+        known.update(zip(again, map(old.__getitem__, again)))
+        self._encode(list(need - again))
+        known.update({w: known[b] + known[m] for w, b, m in zip(new, bare, marks, strict=True)})
 
     def __call__(self, texts: list[str]) -> Iterator[bytes]:
         for at in range(0, len(texts), TOGETHER):
             if len(self.known) > self.remembered:
-                self.known, self.old = {}, self.known
+                self.known, self.old = {"": b""}, self.known
             split = [t.split() if not _SEPARATOR.search(t) else _BLANK.split(t) for t in texts[at:at + TOGETHER]]
-            self._learn(set().union(*split).difference(self.known))
-            get = self.known.__getitem__
-            for words in split:
-                yield b"".join(map(get, words))
+            found = [list(map(self.known.get, words)) for words in split]
+            unknown = [[i for i, ids in enumerate(f) if ids is None] for f in found]
+            self._learn({words[i] for words, gaps in zip(split, unknown, strict=True) for i in gaps})
+            for words, f, gaps in zip(split, found, unknown, strict=True):
+                for i in gaps:
+                    f[i] = self.known[words[i]]
+                yield b"".join(f)
 
 
 @lru_cache(maxsize=2)

@@ -365,6 +365,28 @@ def test_packing_asks_for_ids_only():
     assert fast.asked.count("x1") == 1
 
 
+def test_packing_encodes_marks_apart_from_words():
+    """Marks behind a word and capitals cost no encoding of their own; all ids are those of the whole text."""
+    encode = packing.WordEncoder(P.path("word_bpe_49k.json"), 50)
+    asked, plain = [], encode.tokenizer
+    whole = lambda t: plain.encode(t, add_special_tokens=False).ids
+
+    class Seen:
+        def encode_batch_fast(self, texts, **options):
+            asked.extend(texts)
+            return plain.encode_batch_fast(texts, **options)
+
+    encode.tokenizer = Seen()
+    texts = ["dble$$$ Dble,*** Ciónmenteí. ciónmenteí!! DBLE"]
+    assert [np.frombuffer(b, dtype="<u4").tolist() for b in encode(texts)] == [whole(t) for t in texts]
+    assert sorted(asked) == ["!!", "$$$", ",***", "."]
+    rng = random.Random(3)
+    parts = ["<|endoftext|>", "<", "|>", "é", "É", "e", "\u0301", "İ", "Σ", "ß", "Ж", "日", "७", "ﷺ", "\u0958", "ª", "ǅ", "A", "z", "1", "'s", "'",
+             "…", "$", "=", "\u0338", " ", "\n", "\xa0", "\x1c", "\x85", "\u2028", "\x00", "_"]
+    texts = ["".join(rng.choices(parts + list(packing._MARKS), k=rng.randint(0, 30))) for _ in range(4000)]
+    assert [np.frombuffer(b, dtype="<u4").tolist() for b in encode(texts)] == [whole(t) for t in texts]
+
+
 # sampled pieces
 
 
