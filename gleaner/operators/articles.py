@@ -201,11 +201,14 @@ def dedup_batch(
 def accept_articles(
     sources: DataFrame, raw: DataFrame, seen: DataFrame, blocklist: DataFrame, key: str = "item_no",
 ) -> DataFrame:
-    """Sources and their extracted pages -> articles worth storing (no ids yet)."""
+    """Sources and their extracted pages -> articles worth storing (no ids yet).
+
+    What passes the rules is written once: the rounds of the deduplication and those who range-sort the result read that.
+    """
     fresh = drop_blocked_hosts(unseen_links(sources, seen), blocklist)
     pages = unseen_canonical(raw, seen)
     kept = article_quality_gate(normalize_articles(pages, fresh, key), blocklist)
-    return dedup_batch(kept, key)
+    return dedup_batch(written(kept, "batch"), key)
 
 
 def link_posts_to_articles(
@@ -224,7 +227,8 @@ def link_posts_to_articles(
     unknown = wanted.join(seen.select(F.col("link").alias("url")), "url", "left_anti")
     sources = source_from_post(unknown)
     page = F.min(F.struct("title", "text", "canonical", "pubdate")).alias("page")
-    pages = raw.groupBy("link").agg(page).select("link", "page.*")
+    asked = raw.join(sources.select("link").distinct(), "link", "left_semi")
+    pages = asked.groupBy("link").agg(page).select("link", "page.*")
     pages = sources.select("submission_id", "link").join(pages, "link").drop("link")
     made = accept_articles(sources, pages, seen, blocklist, "submission_id")
     made = assign_ids(made, ["source_published_time", "link", "submission_id"], "article_id", max_id)
