@@ -101,6 +101,8 @@ class WordEncoder:
         again = words & old.keys()
         known.update(zip(again, map(old.__getitem__, again)))
         new = list(words - again)
+        if not new:
+            return
         bare = [w.rstrip(_MARKS) for w in new]
         # Some letters end in a combining mark once they are normalised, which joins the marks behind it.
         ends = {c for c in {b[-1:] for b in bare} if unicodedata.normalize("NFC", c).lower()[-1:].isalpha()}

@@ -380,6 +380,9 @@ def test_packing_encodes_marks_apart_from_words():
     texts = ["dble$$$ Dble,*** Ciónmenteí. ciónmenteí!! DBLE"]
     assert [np.frombuffer(b, dtype="<u4").tolist() for b in encode(texts)] == [whole(t) for t in texts]
     assert sorted(asked) == ["!!", "$$$", ",***", "."]
+    assert [np.frombuffer(b, dtype="<u4").tolist() for b in encode([*texts, ""])] == [whole(texts[0]), []]  # nothing new
+    encode.known, encode.old = {"": b""}, encode.known
+    assert [np.frombuffer(b, dtype="<u4").tolist() for b in encode(texts)] == [whole(t) for t in texts]
     rng = random.Random(3)
     parts = ["<|endoftext|>", "<", "|>", "é", "É", "e", "\u0301", "İ", "Σ", "ß", "Ж", "日", "७", "ﷺ", "\u0958", "ª", "ǅ", "A", "z", "1", "'s", "'",
              "…", "$", "=", "\u0338", " ", "\n", "\xa0", "\x1c", "\x85", "\u2028", "\x00", "_"]
