@@ -227,7 +227,9 @@ def link_posts_to_articles(
     unknown = wanted.join(seen.select(F.col("link").alias("url")), "url", "left_anti")
     sources = source_from_post(unknown)
     page = F.min(F.struct("title", "text", "canonical", "pubdate")).alias("page")
-    asked = raw.join(sources.select("link").distinct(), "link", "left_semi")
+    # Written, so that Spark knows the size of the links: few ones go to the pages, and no text is shuffled for the others.
+    linked = written(sources.select("link").where(F.col("link").isNotNull()).distinct(), "asked_links")
+    asked = raw.join(linked, "link", "left_semi")
     pages = asked.groupBy("link").agg(page).select("link", "page.*")
     pages = sources.select("submission_id", "link").join(pages, "link").drop("link")
     made = accept_articles(sources, pages, seen, blocklist, "submission_id")
